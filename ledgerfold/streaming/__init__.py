@@ -1,0 +1 @@
+"""Intentionally empty: every table here is rebuilt in full by a batch run."""
