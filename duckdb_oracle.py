@@ -6,16 +6,19 @@ Division is done on integers: DuckDB divides decimals as doubles.
 from __future__ import annotations
 
 AS_OF = "DATE '2001-08-01'"
-LAST_DAY = "DATE '2001-07-31'"
+ALERT_AS_OF = "DATE '1998-12-15'"
 
 RAW_INVOICES = """
 raw_invoices AS (
-  SELECT k AS "INVOICE_ID",
+  SELECT CASE WHEN k % 1013 = 0 THEN k - 1 ELSE k END AS "INVOICE_ID",
          CASE WHEN k % 16 IN (6, 7) THEN k - 1 END AS "PARENT_INVOICE_ID",
          k * 10 + 1 AS "TRANSACTION_ID",
-         c AS "ORGANIZATION_ID",
+         CASE WHEN k % 499 = 0 THEN NULL WHEN k % 503 = 0 THEN -c ELSE c END
+           AS "ORGANIZATION_ID",
          o_orderpriority AS "TYPE",
-         CASE WHEN k % 16 <= 5 THEN 'paid'
+         CASE WHEN k % 991 = 0 THEN NULL WHEN k % 997 = 0 THEN 'disputed'
+              WHEN k % 16 <= 5 AND o_orderdate < DATE '1995-03-01' THEN 'pending'
+              WHEN k % 16 <= 5 THEN 'paid'
               ELSE ['credited', 'refunded', 'open', 'skipped', 'cancelled', 'pending',
                     'processing', 'failed', 'unpayable', 'awaiting_payment'][k % 16 - 5]
          END AS "STATUS",
@@ -25,7 +28,8 @@ raw_invoices AS (
          ['USD', 'USD', 'EUR', 'GBP', 'JPY'][(c + k) % 5 + 1] AS "PAYMENT_CURRENCY",
          CASE k % 3 WHEN 0 THEN 'card' WHEN 1 THEN 'bank_transfer' END AS "PAYMENT_METHOD",
          CASE WHEN k % 97 = 0 THEN 'n/a' WHEN k % 89 = 0 THEN '' ELSE price END AS "AMOUNT",
-         CASE WHEN k % 83 = 0 THEN NULL WHEN k % 61 = 0 THEN '100.005' ELSE price
+         CASE WHEN k % 83 = 0 THEN NULL WHEN k % 61 = 0 THEN '100.005'
+              WHEN k % 107 = 0 THEN '-' || price ELSE price
          END AS "PAYMENT_AMOUNT",
          CASE WHEN k % 79 = 0 THEN '0' WHEN k % 73 = 0 THEN '100000' WHEN k % 71 = 0 THEN NULL
               ELSE ['1', '1', '1', '0.92', '0.79', '149.5', '1'][c % 7 + 1]
@@ -33,7 +37,7 @@ raw_invoices AS (
          CASE WHEN k % 79 = 1 THEN '0'
               ELSE ['1', '1', '0.92', '0.79', '149.5'][(c + k) % 5 + 1]
          END AS "FX_RATE_PAYMENT",
-         o_orderdate + INTERVAL 13 HOUR AS "CREATED_AT"
+         CASE WHEN k % 983 <> 0 THEN o_orderdate + INTERVAL 13 HOUR END AS "CREATED_AT"
   FROM (SELECT *, o_orderkey AS k, o_custkey AS c,
                CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS price
         FROM orders)
@@ -54,10 +58,11 @@ raw_organizations AS (
 
 
 def _usd(currency: str, amount: str, rate: str) -> str:
-    """Half-up quotient at scale 8 of a non-negative amount."""
+    """Quotient at scale 8, rounded half away from zero."""
     cents = f"CAST(CAST({amount} AS DECIMAL(20,2)) * 100 AS HUGEINT)"
     units = f"CAST(CAST({rate} AS DECIMAL(21,8)) * 100000000 AS HUGEINT)"
-    quotient = f"(2 * {cents} * 100000000000000 + {units}) // (2 * {units})"
+    size = f"(2 * ABS({cents}) * 100000000000000 + {units}) // (2 * {units})"
+    quotient = f"SIGN({cents}) * ({size})"
     return f"""CASE
       WHEN {currency} = 'USD' THEN CAST({amount} AS DECIMAL(38,8))
       WHEN {currency} <> 'USD' AND {rate} <> 0 THEN {_unscale(quotient)}
@@ -104,7 +109,7 @@ organizations AS (
 )"""
 
 # signed: one row per invoice that moves a balance.
-MOVES = f"""
+MOVES = """
 signed AS (
   SELECT organization_id, created_date, status, payment_amount_usd AS delta
   FROM invoices WHERE status = 'paid' AND payment_amount_usd IS NOT NULL
@@ -117,17 +122,18 @@ moves AS (
   FROM signed GROUP BY ALL
 ),
 opening AS (
-  SELECT COALESCE(MIN(created_date), {AS_OF}) AS day FROM signed WHERE status = 'paid'
+  SELECT COALESCE(MIN(created_date), {as_of}) AS day FROM signed WHERE status = 'paid'
 )"""
 
-SNAPSHOT = f"""
+SNAPSHOT = """
 series AS (
   SELECT organization_id, MIN(day) AS first_day FROM moves GROUP BY organization_id
 ),
 calendar AS (
   SELECT organization_id,
          CAST(UNNEST(GENERATE_SERIES(GREATEST(first_day, (SELECT day FROM opening)),
-                                     {LAST_DAY}, INTERVAL 1 DAY)) AS DATE) AS snapshot_date
+                                     {as_of} - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE)
+           AS snapshot_date
   FROM series WHERE first_day IS NOT NULL
 ),
 filled AS (
@@ -193,13 +199,14 @@ def _with(*parts: str) -> str:
 def oracle_sql() -> dict[str, str]:
     invoices = _with(RAW_INVOICES, STAGED)
     orgs = _with(RAW_ORGANIZATIONS, ORGANIZATIONS)
-    moves = _with(RAW_INVOICES, STAGED, MOVES)
-    snapshot = _with(RAW_INVOICES, STAGED, MOVES, SNAPSHOT)
-    pairs = _with(RAW_INVOICES, STAGED, MOVES, SNAPSHOT, PAIRS)
-    changes = _with(RAW_INVOICES, STAGED, MOVES, SNAPSHOT, PAIRS, CHANGES)
-    everything = _with(
-        RAW_INVOICES, STAGED, MOVES, SNAPSHOT, RAW_ORGANIZATIONS, ORGANIZATIONS
+    at = lambda part, day=AS_OF: part.replace("{as_of}", day)
+    moves = invoices + "," + at(MOVES)
+    snapshot = moves + "," + at(SNAPSHOT)
+    pairs = _with(
+        RAW_INVOICES, STAGED, at(MOVES, ALERT_AS_OF), at(SNAPSHOT, ALERT_AS_OF), PAIRS
     )
+    changes = pairs + "," + CHANGES
+    everything = snapshot + "," + RAW_ORGANIZATIONS + "," + ORGANIZATIONS
 
     def check(check_id: str, table: str, column: str, failures: str) -> str:
         return (
@@ -223,7 +230,7 @@ def oracle_sql() -> dict[str, str]:
         return check(
             check_id, table, "organization_id",
             f"SELECT COUNT(*) FROM {source} WHERE organization_id NOT IN "
-            "(SELECT organization_id FROM organizations)",
+            "(SELECT organization_id FROM organizations) AND organization_id IS NOT NULL",
         )
 
     fact = "fct_daily_financial_snapshot"
@@ -307,8 +314,8 @@ def oracle_sql() -> dict[str, str]:
             net AS daily_net_change_usd FROM moves""",
         "organization_first_transaction_date": snapshot
         + " SELECT organization_id, first_day AS first_transaction_date FROM series",
-        "date_spine": moves + f""" SELECT CAST(UNNEST(GENERATE_SERIES(day, {LAST_DAY},
-            INTERVAL 1 DAY)) AS DATE) AS date_day FROM opening""",
+        "date_spine": moves + f""" SELECT CAST(UNNEST(GENERATE_SERIES(day,
+            {AS_OF} - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS date_day FROM opening""",
         "organization_daily_scaffold": snapshot
         + " SELECT snapshot_date, organization_id FROM calendar",
         "daily_net_filled": snapshot + " SELECT * FROM filled",

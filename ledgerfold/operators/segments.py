@@ -24,10 +24,10 @@ def balance_segments(stg: DataFrame, as_of: date, spine_scope: str = "paid") ->
     it opens the organisation's series but enters no balance. Where several
     days land on the start, all but the last give an empty stretch and go.
 
-    The spine start is a scalar subquery over the same daily aggregate. Both
-    uses read all its columns (a day with a payment is in the spine anyway, so
-    naming ``has_paid`` changes nothing), which lets Spark reuse the exchange
-    and scan the invoices once.
+    The spine start is a scalar subquery over the same daily aggregate. A day
+    with a payment is in the spine by definition; testing ``has_paid`` first
+    says so and keeps the column in every plan, so that both uses have the same
+    exchange, Spark runs it once, and the invoices are scanned once.
     """
     days = daily_activity(stg, as_of)
     opens = F.col("has_paid") if check_scope(spine_scope) == "paid" else F.lit(True)
@@ -45,7 +45,9 @@ def balance_segments(stg: DataFrame, as_of: date, spine_scope: str = "paid") ->
         days.select(
             "organization_id",
             "transaction_date",
-            F.greatest("transaction_date", start).alias("valid_from"),
+            F.when(F.col("has_paid"), F.col("transaction_date"))
+            .otherwise(F.greatest("transaction_date", start))
+            .alias("valid_from"),
             # A NULL organisation has days but no movements.
             F.when(
                 in_spine & F.col("organization_id").isNotNull(), F.col("daily_net_change_usd")

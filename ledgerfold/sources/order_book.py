@@ -1,8 +1,10 @@
 """Raw invoices and organisations derived from the ``orders``/``customer`` tables.
 
-Every order becomes an invoice and every customer an organisation. Order and
-customer keys select status, currency, rates and a share of missing or malformed
-values, so that each rule of staging meets data.
+Every order becomes an invoice and every customer an organisation. Keys select
+status, currency and rates, and a share of missing, malformed, negative, repeated
+or orphaned values, so that each rule of staging, balancing and checking meets
+data. No payment counts before ``FIRST_PAYMENT``, so earlier credits and refunds
+precede the date spine.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ STATUS_BY_KEY = (
     + ["credited", "refunded", "open", "skipped", "cancelled", "pending",
        "processing", "failed", "unpayable", "awaiting_payment"]
 )
+FIRST_PAYMENT = "1995-03-01"
 CURRENCY_BY_CUSTOMER = ["USD", "USD", "USD", "EUR", "GBP", "JPY", "usd"]
 RATE_BY_CUSTOMER = ["1", "1", "1", "0.92", "0.79", "149.5", "1"]
 PAYMENT_CURRENCY_BY_SUM = ["USD", "USD", "EUR", "GBP", "JPY"]
@@ -32,25 +35,32 @@ def _pick(values: list[str], key: Column) -> Column:
 def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw invoice per order."""
     k, c = F.col("o_orderkey"), F.col("o_custkey")
+    nothing = F.lit(None)
     price = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
+    early = F.col("o_orderdate") < F.lit(FIRST_PAYMENT).cast("timestamp_ntz")
+    status = _pick(STATUS_BY_KEY, k)
     rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        k.alias("INVOICE_ID"),
+        F.when(k % 1013 == 0, k - 1).otherwise(k).alias("INVOICE_ID"),
         F.when((k % 16).isin(6, 7), k - 1).alias("PARENT_INVOICE_ID"),
         (k * 10 + 1).alias("TRANSACTION_ID"),
-        c.alias("ORGANIZATION_ID"),
+        F.when(k % 499 == 0, nothing).when(k % 503 == 0, -c).otherwise(c)
+        .alias("ORGANIZATION_ID"),
         F.col("o_orderpriority").alias("TYPE"),
-        _pick(STATUS_BY_KEY, k).alias("STATUS"),
+        F.when(k % 991 == 0, nothing).when(k % 997 == 0, "disputed")
+        .when((status == "paid") & early, "pending").otherwise(status).alias("STATUS"),
         F.when(k % 101 != 0, _pick(CURRENCY_BY_CUSTOMER, c)).alias("CURRENCY"),
         _pick(PAYMENT_CURRENCY_BY_SUM, c + k).alias("PAYMENT_CURRENCY"),
         F.when(k % 3 == 0, "card").when(k % 3 == 1, "bank_transfer").alias("PAYMENT_METHOD"),
         F.when(k % 97 == 0, "n/a").when(k % 89 == 0, "").otherwise(price).alias("AMOUNT"),
-        F.when(k % 83 == 0, F.lit(None)).when(k % 61 == 0, "100.005").otherwise(price)
+        F.when(k % 83 == 0, nothing).when(k % 61 == 0, "100.005")
+        .when(k % 107 == 0, F.concat(F.lit("-"), price)).otherwise(price)
         .alias("PAYMENT_AMOUNT"),
-        F.when(k % 79 == 0, "0").when(k % 73 == 0, "100000").when(k % 71 == 0, F.lit(None))
+        F.when(k % 79 == 0, "0").when(k % 73 == 0, "100000").when(k % 71 == 0, nothing)
         .otherwise(_pick(RATE_BY_CUSTOMER, c)).alias("FX_RATE"),
         F.when(k % 79 == 1, "0").otherwise(_pick(PAYMENT_RATE_BY_SUM, c + k))
         .alias("FX_RATE_PAYMENT"),
-        (F.col("o_orderdate") + F.expr("INTERVAL 13 HOURS")).alias("CREATED_AT"),
+        F.when(k % 983 != 0, F.col("o_orderdate") + F.expr("INTERVAL 13 HOURS"))
+        .alias("CREATED_AT"),
     )
     return rows.to(RAW_INVOICES)
 

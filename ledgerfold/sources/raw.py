@@ -32,8 +32,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
-        # Quoted line breaks would make files unsplittable; none are expected.
-        .option("multiLine", False)
+        # An absent field or \N is NULL; a quoted empty field stays an empty text.
+        .option("nullValue", "\\N")
         .csv(path)
     )
     return rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
