@@ -1,0 +1,256 @@
+"""Empty and odd inputs, decimals at their limits, and the checks on bad data."""
+
+from __future__ import annotations
+
+from datetime import date, datetime
+from decimal import ROUND_HALF_EVEN, ROUND_HALF_UP, Decimal, localcontext
+
+import golden
+import pytest
+from golden import dec, invoice
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ledgerfold.functions import change
+from ledgerfold.functions.money import to_usd
+from ledgerfold.operators import alerts, quality, staging
+from ledgerfold.plans.tables import daily_snapshot, latest_day, latest_pairs
+
+PLANS = ("sparse", "dense")
+SLOW = settings(
+    max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+
+
+def snapshot(spark, rows, plan, as_of=golden.AS_OF, **kw):
+    return daily_snapshot(
+        staging.stg_invoices(golden.raw_invoices(spark, rows)), as_of, plan=plan, **kw
+    )
+
+
+def paid(number, org, amount, day):
+    return invoice(number, org, "paid", "USD", "USD", amount, amount, "1", "1", day)
+
+
+@pytest.mark.parametrize("plan", PLANS)
+@pytest.mark.parametrize("rows", [
+    [],
+    [invoice(1, "A", "refunded", "USD", "USD", "1", "1", "1", "1", "2024-01-02")],
+    [paid(1, "A", "1", None), paid(2, "B", "1", None)],
+    [paid(1, "A", "1", "2024-01-11"), paid(2, "A", "1", "2024-03-01")],
+], ids=["no rows", "nothing paid", "no dates", "all from as_of on"])
+def test_empty_snapshots(spark, rows, plan):
+    fct = snapshot(spark, rows, plan)
+    assert fct.collect() == []
+    pairs = alerts.balance_day_pairs(fct)
+    assert alerts.balance_change_alerts(pairs).collect() == []
+    assert tuple(alerts.alert_summary(pairs).first()) == (None, 0, 0)
+    assert alerts.latest_snapshot_date(fct).first()[0] is None
+
+
+def test_no_rows_from_invoices(spark):
+    stg = staging.stg_invoices(golden.raw_invoices(spark, []))
+    assert latest_pairs(stg, golden.AS_OF).collect() == []
+    assert latest_day(stg, golden.AS_OF).first()[0] is None
+
+
+@pytest.mark.parametrize("plan", PLANS)
+def test_one_day_spine(spark, plan):
+    rows = snapshot(spark, [paid(1, "A", "1", "2024-01-10")], plan).collect()
+    assert [tuple(r) for r in rows] == [(date(2024, 1, 10), "A", Decimal(1), Decimal(1))]
+
+
+@pytest.mark.parametrize("plan", PLANS)
+def test_activity_on_and_before_the_start(spark, plan):
+    refund = lambda n, day: invoice(
+        n, "A", "refunded", "USD", "USD", "7", "7", "1", "1", day
+    )
+    rows = [refund(1, "2024-01-01"), refund(2, "2024-01-02"), refund(3, "2024-01-08"),
+            paid(4, "B", "5", "2024-01-08")]
+    got = snapshot(spark, rows, plan).where("organization_id = 'A'").orderBy("snapshot_date")
+    assert [(r[0].day, r[2], r[3]) for r in got.collect()] == [
+        (8, Decimal(-7), Decimal(-7)), (9, 0, Decimal(-7)), (10, 0, Decimal(-7))
+    ]
+
+
+def test_unknown_options(spark):
+    stg = staging.stg_invoices(golden.raw_invoices(spark, []))
+    with pytest.raises(ValueError):
+        daily_snapshot(stg, golden.AS_OF, plan="other")
+    with pytest.raises(ValueError):
+        daily_snapshot(stg, golden.AS_OF, spine_scope="other")
+
+
+def test_last_days(spark):
+    stg = staging.stg_invoices(golden.raw_invoices(spark))
+    two = [daily_snapshot(stg, golden.AS_OF, plan=p, last_days=2) for p in PLANS]
+    full = daily_snapshot(stg, golden.AS_OF).where("snapshot_date >= DATE '2024-01-09'")
+    expected = sorted(map(str, full.collect()))
+    assert all(sorted(map(str, t.collect())) == expected for t in two)
+
+
+AMOUNT = st.decimals(min_value=-10**21, max_value=10**21, places=2)
+RATE = st.decimals(min_value=Decimal("0.00000001"), max_value=Decimal("99999.99999999"), places=8)
+
+
+@SLOW
+@given(st.lists(st.tuples(AMOUNT, RATE), min_size=40, max_size=40))
+def test_foreign_amounts_round_once_half_up(spark, pairs):
+    df = spark.createDataFrame(
+        [(i, "EUR", format(a, "f"), format(r, "f")) for i, (a, r) in enumerate(pairs)],
+        "i int, c string, a string, r string",
+    ).select("i", to_usd(F.col("c"), F.col("a"), F.col("r")).alias("usd"))
+    got = dict(tuple(r) for r in df.collect())
+    with localcontext() as ctx:
+        ctx.prec = 100
+        for i, (a, r) in enumerate(pairs):
+            exact = (a / r).quantize(Decimal("0.00000001"), ROUND_HALF_UP)
+            assert got[i] == exact
+
+
+def test_conversion_limits(spark):
+    rows = [
+        ("USD", "9" * 29 + ".99", None, Decimal("9" * 29 + ".99")),
+        ("EUR", "9" * 22 + ".99", "0.00000001", Decimal("9" * 22 + ".99") * 10**8),
+        ("EUR", "1" + "0" * 22, "1", None),
+        ("EUR", "1", "99999.999999995", None),
+        ("EUR", "1", "-2", Decimal("-0.5")),
+        ("EUR", "1", "0.000000001", None),
+        (None, "1", "1", None),
+        ("eur", " 1 ", "1e1", Decimal("0.1")),
+        ("EUR", "", "1", None),
+    ]
+    df = spark.createDataFrame(
+        [(i, *r[:3]) for i, r in enumerate(rows)], "i int, c string, a string, r string"
+    ).select("i", to_usd(F.col("c"), F.col("a"), F.col("r")).alias("usd"))
+    got = dict(tuple(r) for r in df.collect())
+    assert [got[i] for i in range(len(rows))] == [r[3] for r in rows]
+
+
+BALANCE = st.decimals(min_value=-10**18, max_value=10**18, places=8)
+
+
+def changes(spark, pairs, threshold=change.THRESHOLD_PERCENT):
+    schema = "i int, o decimal(38,8), n decimal(38,8)"
+    df = spark.createDataFrame([(i, o, n) for i, (o, n) in enumerate(pairs)], schema)
+    o, n = F.col("o"), F.col("n")
+    rows = df.select("i", change.pct_change(o, n), change.exceeds(o, n, threshold)).collect()
+    return {r[0]: (r[1], r[2]) for r in rows}
+
+
+@SLOW
+@given(st.lists(st.tuples(BALANCE, BALANCE), min_size=40, max_size=40))
+def test_change_is_exact(spark, pairs):
+    got = changes(spark, pairs)
+    with localcontext() as ctx:
+        ctx.prec = 100
+        for i, (o, n) in enumerate(pairs):
+            if o != 0:
+                exact = (n - o) / abs(o) * 100
+                assert got[i] == (exact.quantize(Decimal("1E-8"), ROUND_HALF_UP), abs(exact) > 50)
+
+
+def test_change_cases(spark):
+    cases = [
+        ((None, "1"), (None, False)),
+        (("1", None), (None, False)),
+        (("0", "0"), ("0", False)),
+        (("0", "0.00000001"), ("999999.99", True)),
+        (("0", "-3"), ("-999999.99", True)),
+        (("100", "150"), ("50", False)),
+        (("100000000000", "150000000000.00000001"), ("50", True)),
+        (("-100", "-60"), ("40", False)),
+        (("-100", "100"), ("200", True)),
+        (("1" + "0" * 25, "2" + "0" * 25), ("100", True)),
+    ]
+    got = changes(spark, [(dec(o), dec(n)) for (o, n), _ in cases])
+    assert [got[i] for i in range(len(cases))] == [(dec(p), x) for _, (p, x) in cases]
+
+
+def test_displays_are_half_even(spark):
+    values = ["0.125", "0.135", "-0.125", "1234567.005", "1234567.015", "-0.001", "-1234.5", "50.005"]
+    df = spark.createDataFrame([(i, Decimal(v)) for i, v in enumerate(values)],
+                               "i int, v decimal(38,8)")
+    rows = df.select(
+        "i", change.money_text(F.col("v"), "N/A"), change.pct_text(F.col("v"), F.lit(False))
+    ).collect()
+    for i, money, pct in rows:
+        value = Decimal(values[i])
+        assert money == f"{value:,.2f}"
+        assert pct == f"{value:+.2f}%"
+        rounded = abs(value).quantize(Decimal("0.01"), ROUND_HALF_EVEN)
+        assert pct.lstrip("+-") == f"{rounded}%"
+    assert df.select(change.money_text(F.lit(None).cast("decimal(38,8)"), "x")).first()[0] == "x"
+
+
+def test_checks_on_bad_data(spark):
+    df = spark.createDataFrame(
+        [(1, "a", 1), (1, "b", 1), (2, "b", None), (2, "c", None), (None, "c", 5), (None, None, 5)],
+        "k int, s string, p int",
+    )
+    one = lambda report: (report.first().failures, report.first().passed)
+    assert one(quality.unique(df, "t", "x", "k")) == (2, False)
+    assert one(quality.unique_combination(df, "t", "x", ["k", "p"])) == (3, False)
+    assert one(quality.unique_combination(df, "t", "x", ["k", "s"])) == (0, True)
+    assert one(quality.accepted_values(df, "t", "x", "s", ["a"])) == (2, False)
+    nulls = quality.not_null(df, "t", {"x": "k", "y": "s", "z": "p"}).collect()
+    assert [(r.check_id, r.column_name, r.failures) for r in nulls] == [
+        ("x", "k", 2), ("y", "s", 1), ("z", "p", 2)
+    ]
+    parent = spark.createDataFrame([(1,), (1,), (None,)], "k int")
+    assert one(quality.relationships(df, "t", "x", "k", parent, "k")) == (2, False)
+    assert one(quality.relationships(parent, "t", "x", "k", df, "k")) == (0, True)
+
+
+def test_fallen_balance(spark):
+    schema = T.StructType([
+        T.StructField("snapshot_date", T.DateType()),
+        T.StructField("organization_id", T.StringType()),
+        T.StructField("daily_net_change_usd", T.DecimalType(38, 8)),
+        T.StructField("cumulative_net_financial_balance_usd", T.DecimalType(38, 8)),
+    ])
+    rows = [
+        (date(2024, 1, 1), "A", Decimal(0), Decimal(-1)),
+        (date(2024, 1, 2), "A", Decimal(1), Decimal(2)),
+        (date(2024, 1, 3), "A", Decimal(0), Decimal(1)),
+        (date(2024, 1, 4), "A", Decimal(-1), Decimal(0)),
+        (date(2024, 1, 1), "B", Decimal(5), Decimal(5)),
+    ]
+    fallen = quality.balance_consistency(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((r[0].day, r[1], r[3]) for r in fallen) == [
+        (1, "A", Decimal(0)), (3, "A", Decimal(2))
+    ]
+
+
+STATUS = st.sampled_from(["paid", "paid", "credited", "refunded", "open"])
+MOVE = st.tuples(
+    st.sampled_from(["A", "B", "C", None]), STATUS,
+    st.integers(0, 10**6), st.integers(0, 14),
+)
+
+
+@SLOW
+@given(st.lists(MOVE, max_size=30), st.sampled_from(["paid", "all"]))
+def test_plans_agree_and_series_add_up(spark, moves, scope):
+    day = lambda d: datetime.fromordinal(date(2024, 1, 1).toordinal() + d).isoformat()
+    rows = [
+        invoice(i, org, status, "USD", "EUR", f"{c / 100:.2f}", f"{c / 100:.2f}", "1", "3", day(d))
+        for i, (org, status, c, d) in enumerate(moves)
+    ]
+    sparse, dense = (
+        sorted(
+            (tuple(r) for r in snapshot(spark, rows, p, spine_scope=scope).collect()),
+            key=lambda r: (str(r[1]), r[0]),
+        )
+        for p in PLANS
+    )
+    assert sparse == dense
+    series = {}
+    for r in sparse:
+        series.setdefault(r[1], []).append(r)
+    for one in series.values():
+        days = [r[0].toordinal() for r in one]
+        assert days == list(range(days[0], date(2024, 1, 11).toordinal()))
+        assert one[-1][3] == sum(r[2] for r in one)
