@@ -123,6 +123,11 @@ def last_day(as_of: date) -> date:
     return as_of - timedelta(days=1)
 
 
+def shuffle_tasks(df: DataFrame) -> int:
+    """The session's shuffle partition count, for shuffles adaptive execution must not merge."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def days_between(first: Column, last: Column) -> Column:
     """Generator of the days first..last; callers filter to first <= last.
 

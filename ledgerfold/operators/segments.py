@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerfold.operators.balances import (
-    check_scope, daily_activity, days_between, last_day, zero_usd,
+    check_scope, daily_activity, days_between, last_day, shuffle_tasks, zero_usd,
 )
 from ledgerfold.schemas import USD, with_comments
 
@@ -40,7 +40,7 @@ def balance_segments(stg: DataFrame, as_of: date, spine_scope: str = "paid") ->
     history = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # A row here becomes many days. A fixed partition count keeps adaptive
     # execution from merging these small partitions and generating in few tasks.
-    tasks = int(stg.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = shuffle_tasks(stg)
     return (
         days.select(
             "organization_id",

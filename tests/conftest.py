@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -20,6 +21,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="ledgerfold-warehouse-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
