@@ -49,7 +49,7 @@ def exceeds(old: Column, new: Column, threshold: Decimal = THRESHOLD_PERCENT) ->
     although the rounded percentage equals it.
     """
     o, n = old.try_cast(_OPERAND), new.try_cast(_OPERAND)
-    limit = F.lit(Decimal(threshold)).cast("decimal(10,2)")
+    limit = _limit(threshold)
     exact = F.abs(n - o) * _hundred() > limit * F.abs(o)
     o2, n2 = old.cast("double"), new.cast("double")
     rough = F.abs(n2 - o2) * 100.0 > limit.cast("double") * F.abs(o2)
@@ -61,6 +61,13 @@ def exceeds(old: Column, new: Column, threshold: Decimal = THRESHOLD_PERCENT) ->
     )
 
 
+def _limit(threshold: Decimal) -> Column:
+    value = Decimal(threshold)
+    if not 0 <= value < 10**8 or value != round(value, 2):
+        raise ValueError(f"threshold must be a percentage with two decimals, not {threshold}")
+    return F.lit(value).cast("decimal(10,2)")
+
+
 def money_text(value: Column, missing: str) -> Column:
     """Thousands separators and two decimals, half-even."""
     return F.coalesce(F.format_number(value, 2), F.lit(missing))
