@@ -90,13 +90,28 @@ def daily_net_aggregates(stg: DataFrame) -> DataFrame:
     return daily_activity(stg).drop("has_paid")
 
 
-def organization_first_transaction_date(daily_net: DataFrame) -> DataFrame:
-    """Earliest day with activity per organisation."""
-    return daily_net.groupBy("organization_id").agg(
-        F.min("transaction_date").alias("first_transaction_date")
+def organization_spans(stg: DataFrame) -> DataFrame:
+    """First day with activity, and with a valued payment, per organisation.
+
+    Straight from the invoices: the minima are taken map-side, so a shuffle
+    carries one row per organisation and task, however many invoices it has.
+    """
+    day = F.col("created_date")
+    return (
+        relevant_invoices(stg)
+        .groupBy("organization_id")
+        .agg(
+            F.min(day).alias("first_transaction_date"),
+            F.min(F.when(F.col("status") == INFLOW_STATUS, day)).alias("first_paid_date"),
+        )
     )
 
 
+def organization_first_transaction_date(stg: DataFrame) -> DataFrame:
+    """Earliest day with activity per organisation."""
+    return organization_spans(stg).drop("first_paid_date")
+
+
 def global_min_invoice_date(stg: DataFrame, as_of: date, spine_scope: str = "paid") -> DataFrame:
     """One row: the day the date spine starts, ``as_of`` if nothing was paid.
 
@@ -145,16 +160,27 @@ def date_spine(global_min: DataFrame, as_of: date) -> DataFrame:
 
 
 def organization_daily_scaffold(
-    first_dates: DataFrame, global_min: DataFrame, as_of: date
+    spans: DataFrame, as_of: date, spine_scope: str = "paid"
 ) -> DataFrame:
     """Every organisation on every spine day from its first activity on.
 
     Each organisation generates its own days, so nothing is paired and dropped.
+    The spine start is a scalar over the same spans. An organisation that began
+    with a payment began in the spine; testing that first keeps both columns in
+    both uses, and Spark aggregates the spans once.
     """
     end = F.lit(last_day(as_of))
+    first, first_paid = F.col("first_transaction_date"), F.col("first_paid_date")
+    spans = spans.where(first.isNotNull())
+    opens = first_paid if check_scope(spine_scope) == "paid" else first
+    start = spans.agg(F.coalesce(F.min(opens), F.lit(as_of))).scalar()
     return (
-        first_dates.where(F.col("first_transaction_date").isNotNull())
-        .withColumn("_start", F.greatest("first_transaction_date", global_min.scalar()))
+        spans.select(
+            "organization_id",
+            F.when(first_paid == first, first).otherwise(F.greatest(first, start)).alias("_start"),
+        )
+        # A row becomes many days: keep these small partitions apart.
+        .repartition(shuffle_tasks(spans), "organization_id")
         .where(F.col("_start") <= end)
         .select(days_between(F.col("_start"), end).alias("snapshot_date"), "organization_id")
     )

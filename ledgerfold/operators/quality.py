@@ -12,23 +12,37 @@ from collections.abc import Iterable, Mapping
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerfold.schemas import INFLOW_STATUS, OUTFLOW_STATUSES
 
 
-def not_null(df: DataFrame, table: str, checks: Mapping[str, str]) -> DataFrame:
-    """NULLs per column, for {check_id: column}, in one pass over the table."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(i) for i, c in checks.items()])
+def flagged_rows(
+    df: DataFrame, table: str, checks: Mapping[str, tuple[str, Column]]
+) -> DataFrame:
+    """Rows that meet a condition, for {check_id: (column, condition)}, in one pass."""
+    counts = df.agg(*[F.count_if(bad).alias(i) for i, (_, bad) in checks.items()])
     rows = [
-        F.struct(F.lit(i).alias("check_id"), F.lit(c).alias("column_name"), F.col(i).alias("failures"))
-        for i, c in checks.items()
+        F.struct(
+            F.lit(i).alias("check_id"), F.lit(c).alias("column_name"), F.col(i).alias("failures")
+        )
+        for i, (c, _) in checks.items()
     ]
     flat = counts.select(F.inline(F.array(*rows)))
     return _report(flat.withColumn("table_name", F.lit(table)))
 
 
+def is_null(checks: Mapping[str, str]) -> dict[str, tuple[str, Column]]:
+    """Conditions of not-null checks, for {check_id: column}."""
+    return {i: (c, F.col(c).isNull()) for i, c in checks.items()}
+
+
+def not_null(df: DataFrame, table: str, checks: Mapping[str, str]) -> DataFrame:
+    """NULLs per column, for {check_id: column}, in one pass over the table."""
+    return flagged_rows(df, table, is_null(checks))
+
+
 def unique(df: DataFrame, table: str, check_id: str, column: str) -> DataFrame:
     """Number of distinct non-NULL values that occur more than once."""
     repeated = _repeated(df.where(F.col(column).isNotNull()), [column])
@@ -67,18 +81,26 @@ def relationships(
     return _single(orphans.agg(failures.alias("failures")), table, check_id, column)
 
 
+def is_paid_missing_usd() -> Column:
+    return (F.col("status") == INFLOW_STATUS) & F.col("payment_amount_usd").isNull()
+
+
+def is_negative_missing_usd() -> Column:
+    return F.col("status").isin(*OUTFLOW_STATUSES) & F.col("amount_usd").isNull()
+
+
 def paid_missing_usd(stg: DataFrame) -> DataFrame:
     """Paid invoices without a USD payment amount."""
-    return stg.where(
-        (F.col("status") == INFLOW_STATUS) & F.col("payment_amount_usd").isNull()
-    ).select("invoice_id", "organization_id", "status", "payment_amount_usd")
+    return stg.where(is_paid_missing_usd()).select(
+        "invoice_id", "organization_id", "status", "payment_amount_usd"
+    )
 
 
 def negative_missing_usd(stg: DataFrame) -> DataFrame:
     """Credits and refunds without a USD amount."""
-    return stg.where(
-        F.col("status").isin(*OUTFLOW_STATUSES) & F.col("amount_usd").isNull()
-    ).select("invoice_id", "organization_id", "status", "amount_usd")
+    return stg.where(is_negative_missing_usd()).select(
+        "invoice_id", "organization_id", "status", "amount_usd"
+    )
 
 
 def balance_consistency(snapshot: DataFrame) -> DataFrame:

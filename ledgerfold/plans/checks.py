@@ -59,15 +59,24 @@ def unique_combination(tables: Tables) -> DataFrame:
     )
 
 
-def row_checks(tables: Tables) -> DataFrame:
-    stg, fact = tables["stg_invoices"], tables[FACT]
-    return q.combine([
-        q.no_rows(q.paid_missing_usd(stg), "stg_invoices", "Q19", "payment_amount_usd"),
-        q.no_rows(q.negative_missing_usd(stg), "stg_invoices", "Q20", "amount_usd"),
-        q.no_rows(
-            q.balance_consistency(fact), FACT, "Q21", "cumulative_net_financial_balance_usd"
-        ),
-    ])
+def consistency(tables: Tables) -> DataFrame:
+    return q.no_rows(
+        q.balance_consistency(tables[FACT]), FACT, "Q21", "cumulative_net_financial_balance_usd"
+    )
+
+
+def flagged(tables: Tables) -> DataFrame:
+    """All checks on single rows, one pass per table."""
+    extra = {
+        "stg_invoices": {
+            "Q19": ("payment_amount_usd", q.is_paid_missing_usd()),
+            "Q20": ("amount_usd", q.is_negative_missing_usd()),
+        }
+    }
+    return q.combine(
+        q.flagged_rows(tables[t], t, {**q.is_null(checks), **extra.get(t, {})})
+        for t, checks in NOT_NULL.items()
+    )
 
 
 def relationships(tables: Tables) -> DataFrame:
@@ -88,11 +97,11 @@ def run_suite(tables: Tables, with_relationships: bool = False) -> DataFrame:
     they are already grouped by organisation.
     """
     reports = [
-        not_null(tables),
+        flagged(tables),
         unique(tables),
         accepted_values(tables),
         unique_combination(tables),
-        row_checks(tables),
+        consistency(tables),
     ]
     if with_relationships:
         reports.append(relationships(tables))

@@ -31,13 +31,11 @@ def daily_snapshot(
         return segments.expand_days(segments.balance_segments(stg, as_of, spine_scope), first)
     if plan != "dense":
         raise ValueError(f"plan must be 'sparse' or 'dense', not {plan!r}")
-    daily_net = balances.daily_net_aggregates(stg)
     scaffold = balances.organization_daily_scaffold(
-        balances.organization_first_transaction_date(daily_net),
-        balances.global_min_invoice_date(stg, as_of, spine_scope),
-        as_of,
+        balances.organization_spans(stg), as_of, spine_scope
     )
-    snapshot = balances.running_balance(balances.daily_net_filled(scaffold, daily_net))
+    filled = balances.daily_net_filled(scaffold, balances.daily_net_aggregates(stg))
+    snapshot = balances.running_balance(filled)
     return snapshot if first is None else snapshot.where(F.col("snapshot_date") >= F.lit(first))
 
 

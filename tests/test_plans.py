@@ -6,7 +6,7 @@ import golden
 import pytest
 
 import __spark_entry__ as contract
-from ledgerfold.operators import staging
+from ledgerfold.operators import balances, staging
 from ledgerfold.plans.tables import daily_snapshot, latest_pairs
 from ledgerfold.sources import raw
 
@@ -75,3 +75,9 @@ def test_no_python_and_no_row_pairing(spark, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     for operator in ("Python", "Pandas", "BroadcastNestedLoopJoin", "CartesianProduct"):
         assert operator not in plan
+
+
+def test_scaffold_aggregates_spans_once(stg):
+    spans = balances.organization_spans(stg)
+    plan = list(executed(balances.organization_daily_scaffold(spans, golden.AS_OF)))
+    assert sum("FileScan" in line for line in plan) == 1, "\n".join(plan)
