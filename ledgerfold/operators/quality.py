@@ -73,11 +73,14 @@ def relationships(
     Rows are counted per key first: the join sees each key once, and a key with
     very many rows cannot overload one task.
     """
-    keys = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_key"))
-    orphans = keys.agg(F.count(F.lit(1)).alias("_rows")).join(
+    keys = df.groupBy(F.col(column).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    orphans = keys.join(
         parent.select(F.col(parent_column).alias("_key")), "_key", "left_anti"
     )
-    failures = F.coalesce(F.sum("_rows"), F.lit(0).cast("bigint"))
+    # NULL keys are left out here and not by a filter, which would sink to the
+    # scan and keep the snapshot's checks from sharing one aggregate.
+    rows = F.sum(F.when(F.col("_key").isNotNull(), F.col("_rows")))
+    failures = F.coalesce(rows, F.lit(0).cast("bigint"))
     return _single(orphans.agg(failures.alias("failures")), table, check_id, column)
 
 

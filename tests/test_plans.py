@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as contract
 from ledgerfold.operators import balances, staging
+from ledgerfold.plans import checks
 from ledgerfold.plans.tables import daily_snapshot, latest_pairs
 from ledgerfold.sources import raw
 
@@ -81,3 +82,20 @@ def test_scaffold_aggregates_spans_once(stg):
     spans = balances.organization_spans(stg)
     plan = list(executed(balances.organization_daily_scaffold(spans, golden.AS_OF)))
     assert sum("FileScan" in line for line in plan) == 1, "\n".join(plan)
+
+
+def test_suite_builds_the_snapshot_from_one_scan(spark, stg):
+    """Nine columns make the snapshot; its five checks share one scan of them."""
+    orgs = stg.selectExpr(
+        "organization_id", "1 legal_entity_country_code", "created_date organization_created_date"
+    )
+    built = {
+        "stg_invoices": stg,
+        "stg_organizations": orgs,
+        "dim_organizations": orgs,
+        checks.FACT: daily_snapshot(stg, golden.AS_OF),
+    }
+    plan = list(executed(checks.run_suite(built, with_relationships=True)))
+    full = [x for x in plan if "FileScan" in x and "CREATED_AT" in x and "ORGANIZATION_ID" in x
+            and "FX_RATE_PAYMENT" in x and "INVOICE_ID" not in x]
+    assert len(full) == 1, "\n".join(full)
