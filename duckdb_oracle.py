@@ -281,7 +281,11 @@ def oracle_sql() -> dict[str, str]:
     union = lambda checks: everything + " UNION ALL ".join(checks)
 
     pct = _unscale("p")
-    shown_pct = _cents("ABS(p)")
+    size = "(ABS(n - o) * 10000)"
+    shown_pct = f"""({size} // ABS(o) + CASE
+        WHEN 2 * ({size} % ABS(o)) > ABS(o)
+          OR (2 * ({size} % ABS(o)) = ABS(o) AND ({size} // ABS(o)) % 2 = 1)
+        THEN 1 ELSE 0 END)"""
     alerts = f"""{changes} SELECT organization_id, snapshot_date, previous_day_balance,
           current_balance, {pct} AS pct_change, o = 0 AS from_zero,
           {_money_text("o")} AS previous_display, {_money_text("n")} AS current_display,

@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerfold.schemas import USD
+from ledgerfold.schemas import MONEY, USD
 
 # The alert threshold and the change shown for a move off zero.
 THRESHOLD_PERCENT = Decimal("50.00")
@@ -73,10 +73,28 @@ def money_text(value: Column, missing: str) -> Column:
     return F.coalesce(F.format_number(value, 2), F.lit(missing))
 
 
-def pct_text(pct: Column, from_zero: Column) -> Column:
-    """Signed percentage with two decimals, half-even."""
-    sign = F.when(pct >= 0, "+").otherwise("-")
-    digits = F.bround(F.abs(pct), 2).cast("decimal(38,2)").cast("string")
-    return F.when(from_zero, F.lit(FROM_ZERO_TEXT)).otherwise(
-        F.concat(sign, digits, F.lit("%"))
+def _hundredths(old: Column, new: Column) -> Column:
+    """|pct_change| in hundredths of a percent, half-even, from the exact quotient."""
+    o, n = old.try_cast(_OPERAND), new.try_cast(_OPERAND)
+    size = F.abs(n - o) * F.lit(10000).cast("decimal(5,0)")
+    # NULL instead of an error where nothing is divided: the caller shows other text.
+    base = F.nullif(F.abs(o), F.lit(0).cast(_OPERAND))
+    rest = size % base
+    whole = ((size - rest) / base).cast("decimal(36,0)")
+    twice = rest * 2
+    up = (twice > base) | ((twice == base) & (whole % 2 == 1))
+    return F.when(up, whole + 1).otherwise(whole).cast("decimal(36,0)")
+
+
+def pct_text(old: Column, new: Column) -> Column:
+    """Signed percentage change with two decimals, half-even.
+
+    Rounded from the exact quotient: the eight-decimal percentage may sit on a
+    tie that the quotient does not.
+    """
+    exact = _hundredths(old, new) * F.lit(Decimal("0.01")).cast("decimal(2,2)")
+    rough = F.bround(F.abs(pct_change(old, new)), 2)
+    digits = F.coalesce(exact.cast(MONEY), rough.cast(MONEY)).cast("string")
+    return F.when((old == 0) & (new != 0), FROM_ZERO_TEXT).otherwise(
+        F.concat(F.when(new >= old, "+").otherwise("-"), digits, F.lit("%"))
     )

@@ -73,7 +73,7 @@ def balance_change_alerts(
             "from_zero",
             money_text(F.col("previous_day_balance"), FIRST_DAY_TEXT).alias("previous_display"),
             money_text(F.col("current_balance"), MISSING_TEXT).alias("current_display"),
-            pct_text(F.col("pct_change"), F.col("from_zero")).alias("change_display"),
+            _change(pct_text).alias("change_display"),
         )
     )
 

@@ -169,22 +169,54 @@ def test_change_cases(spark):
     assert [got[i] for i in range(len(cases))] == [(dec(p), x) for _, (p, x) in cases]
 
 
-def test_displays_are_half_even(spark):
-    values = ["0.125", "0.135", "-0.125", "1234567.005", "1234567.015", "-0.001", "-1234.5", "50.005"]
+def test_money_display_is_half_even(spark):
+    values = ["0.125", "0.135", "-0.125", "1234567.005", "1234567.015", "-0.001", "-1234.5"]
     df = spark.createDataFrame([(i, Decimal(v)) for i, v in enumerate(values)],
                                "i int, v decimal(38,8)")
-    rows = df.select(
-        "i", change.money_text(F.col("v"), "N/A"), change.pct_text(F.col("v"), F.lit(False))
-    ).collect()
-    for i, money, pct in rows:
-        value = Decimal(values[i])
-        assert money == f"{value:,.2f}"
-        assert pct == f"{value:+.2f}%"
-        rounded = abs(value).quantize(Decimal("0.01"), ROUND_HALF_EVEN)
-        assert pct.lstrip("+-") == f"{rounded}%"
+    for i, money in df.select("i", change.money_text(F.col("v"), "N/A")).collect():
+        assert money == f"{Decimal(values[i]):,.2f}"
     assert df.select(change.money_text(F.lit(None).cast("decimal(38,8)"), "x")).first()[0] == "x"
 
 
+def change_texts(spark, pairs):
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)],
+                               "i int, o decimal(38,8), n decimal(38,8)")
+    return dict(
+        tuple(r) for r in df.select("i", change.pct_text(F.col("o"), F.col("n"))).collect()
+    )
+
+
+TIES = [
+    ("100", "150.005"), ("100", "150.015"), ("100", "49.995"), ("-100", "-160.125"),
+    ("100", "100"), ("1", "1"), ("3", "1"), ("7", "8"), ("1000000", "999999.99"),
+    # One hundred-millionth off a tie, far below the eighth decimal of the percentage.
+    ("10000000000", "15001499999.99999999"), ("10000000000", "15001500000.00000001"),
+    ("0.00000001", "9999999999999999999.99999999"),
+]
+
+
+@SLOW
+@given(st.lists(st.tuples(BALANCE, BALANCE), min_size=40, max_size=40))
+def test_change_display_is_half_even(spark, drawn):
+    pairs = [(dec(o), dec(n)) for o, n in TIES] + [p for p in drawn if p[0] != 0]
+    got = change_texts(spark, pairs)
+    with localcontext() as ctx:
+        ctx.prec = 100
+        for i, (o, n) in enumerate(pairs):
+            exact = (n - o) / abs(o) * 100
+            digits = abs(exact).quantize(Decimal("0.01"), ROUND_HALF_EVEN)
+            assert got[i] == f"{'-' if n < o else '+'}{digits:f}%", (o, n)
+
+
+def test_change_display_cases(spark):
+    pairs = [("0", "5"), ("0", "-5"), ("0", "0"), (None, "5"),
+             ("1" + "0" * 25, "2" + "0" * 25)]
+    got = change_texts(spark, [(dec(o), dec(n)) for o, n in pairs])
+    assert [got[i] for i in range(5)] == [
+        change.FROM_ZERO_TEXT, change.FROM_ZERO_TEXT, "+0.00%", None, "+100.00%"
+    ]
+
+
 def test_checks_on_bad_data(spark):
     df = spark.createDataFrame(
         [(1, "a", 1), (1, "b", 1), (2, "b", None), (2, "c", None), (None, "c", 5), (None, None, 5)],
