@@ -10,6 +10,7 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from ledgerfold.operators import alerts, staging
+from ledgerfold.plans import checks
 from ledgerfold.plans import tables as plans
 from ledgerfold.schemas import RAW_INVOICES, RAW_ORGANIZATIONS
 from ledgerfold.sources import marts, raw
@@ -114,14 +115,15 @@ def test_only_two_days_are_read(spark, tmp_path):
 
 def test_refresh_and_views(spark, tmp_path):
     orgs = spark.createDataFrame(
-        [(1, None, None, 840, 0, None)],
-        "ORGANIZATION_ID long, FIRST_PAYMENT_DATE date, LAST_PAYMENT_DATE date, "
+        [("A", None, None, 840, 0, None)],
+        "ORGANIZATION_ID string, FIRST_PAYMENT_DATE date, LAST_PAYMENT_DATE date, "
         "LEGAL_ENTITY_COUNTRY_CODE int, COUNT_TOTAL_CONTRACTS_ACTIVE long, "
         "CREATED_DATE timestamp_ntz",
     )
     built = plans.build_tables(golden.raw_invoices(spark), orgs, golden.AS_OF)
     stored = marts.refresh(built, golden.AS_OF, str(tmp_path))
     assert set(stored) == set(built)
+    assert by_key(checks.run_suite(stored, True)) == by_key(checks.run_suite(built, True))
     marts.register_views(stored)
     count = lambda t: spark.sql(f"SELECT count(*) FROM {t}").first()[0]
     assert count("fct_daily_financial_snapshot") == 39
