@@ -6,6 +6,7 @@ the executors that hold the segments.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, Window
@@ -30,12 +31,14 @@ def balance_segments(stg: DataFrame, as_of: date, spine_scope: str = "paid") ->
     exchange, Spark runs it once, and the invoices are scanned once.
     """
     days = daily_activity(stg, as_of)
-    opens = F.col("has_paid") if check_scope(spine_scope) == "paid" else F.lit(True)
+    paid = F.col("has_paid")
+    # For "all", every day opens the spine; has_paid is never NULL.
+    opens = paid if check_scope(spine_scope) == "paid" else paid.isNotNull()
     start = days.agg(
         F.coalesce(F.min(F.when(opens, F.col("transaction_date"))), F.lit(as_of))
     ).scalar()
 
-    in_spine = F.col("has_paid") | (F.col("transaction_date") >= start)
+    in_spine = paid | (F.col("transaction_date") >= start)
     by_day = Window.partitionBy("organization_id").orderBy("transaction_date")
     history = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # A row here becomes many days. A fixed partition count keeps adaptive
@@ -45,7 +48,7 @@ def balance_segments(stg: DataFrame, as_of: date, spine_scope: str = "paid") ->
         days.select(
             "organization_id",
             "transaction_date",
-            F.when(F.col("has_paid"), F.col("transaction_date"))
+            F.when(paid, F.col("transaction_date"))
             .otherwise(F.greatest("transaction_date", start))
             .alias("valid_from"),
             # A NULL organisation has days but no movements.
@@ -68,15 +71,12 @@ def balance_segments(stg: DataFrame, as_of: date, spine_scope: str = "paid") ->
 
 
 def expand_days(
-    segments: DataFrame, first: date | None = None, last: date | None = None, *keep: str
+    segments: DataFrame, first: date | None = None, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Daily snapshot rows of the segments, optionally only first..last."""
+    """Daily snapshot rows of the segments, optionally only from ``first`` on."""
     lower, upper = F.col("valid_from"), F.col("valid_to")
     if first is not None:
         lower = F.greatest(lower, F.lit(first))
-    if last is not None:
-        upper = F.least(upper, F.lit(last))
-    if first is not None or last is not None:
         segments = segments.where(lower <= upper)
     daily = segments.select("*", days_between(lower, upper).alias("snapshot_date")).select(
         "snapshot_date",

@@ -37,9 +37,10 @@ def executed(df):
             yield line
 
 
-def test_snapshot_scans_invoices_once(stg):
+@pytest.mark.parametrize("scope", ["paid", "all"])
+def test_snapshot_scans_invoices_once(stg, scope):
     """The spine start reuses the exchange of the daily sums."""
-    plan = list(executed(daily_snapshot(stg, golden.AS_OF)))
+    plan = list(executed(daily_snapshot(stg, golden.AS_OF, spine_scope=scope)))
     assert sum("FileScan" in line for line in plan) == 1, "\n".join(plan)
     assert sum("ReusedExchange" in line for line in plan) == 1
 
