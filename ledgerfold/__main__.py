@@ -2,7 +2,7 @@
 
     ingest  CSV files          -> raw parquet table
     build   raw tables         -> stored marts
-    check   raw tables         -> quality report, exit code 1 if a check fails
+    check   raw tables, marts  -> quality report, exit code 1 if a check fails
     alerts  stored snapshot    -> alerts of its latest day
 """
 
@@ -41,7 +41,8 @@ def build(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def check(spark: SparkSession, args: argparse.Namespace) -> int:
-    report = checks.run_suite(_raw_tables(spark, args), args.relationships)
+    stored = {**_raw_tables(spark, args), **marts.load(spark, args.marts)}
+    report = checks.run_suite(stored, args.relationships)
     marts.write_table(report, args.out)
     return 0 if spark.read.parquet(args.out).where("NOT passed").isEmpty() else 1
 
@@ -70,6 +71,7 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--invoices", required=True)
         sub.add_argument("--organizations", required=True)
         sub.add_argument("--as-of", type=date.fromisoformat, default=date.today())
+    sub.add_argument("--marts", required=True, help="folder written by build")
     sub.add_argument("--relationships", action="store_true")
     sub = command(alerts)
     sub.add_argument("--snapshot", required=True)

@@ -13,24 +13,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerfold.operators.balances import (
-    check_scope, daily_activity, days_between, last_day, shuffle_tasks, zero_usd,
+    check_scope, days_between, last_day, shuffle_tasks, zero_usd,
 )
 from ledgerfold.schemas import USD, with_comments
 
 
-def balance_segments(stg: DataFrame, as_of: date, spine_scope: str = "paid") -> DataFrame:
+def balance_segments(days: DataFrame, as_of: date, spine_scope: str = "paid") -> DataFrame:
     """(organization_id, valid_from, valid_to, net_change_usd, balance_usd) rows.
 
-    Activity before the spine start is moved to the start with a change of 0:
-    it opens the organisation's series but enters no balance. Where several
-    days land on the start, all but the last give an empty stretch and go.
+    ``days`` is the daily activity, lazy or stored. Activity before the spine
+    start is moved to the start with a change of 0: it opens the organisation's
+    series but enters no balance. Where several days land on the start, all but
+    the last give an empty stretch and go.
 
-    The spine start is a scalar subquery over the same daily aggregate. A day
-    with a payment is in the spine by definition; testing ``has_paid`` first
-    says so and keeps the column in every plan, so that both uses have the same
-    exchange, Spark runs it once, and the invoices are scanned once.
+    The spine start is a scalar subquery over the same activity. A day with a
+    payment is in the spine by definition; testing ``has_paid`` first says so
+    and keeps the column in every plan, so that both uses of lazy activity have
+    the same exchange, Spark runs it once, and the invoices are scanned once.
+    From stored activity the subquery reads two columns.
     """
-    days = daily_activity(stg, as_of)
+    days = days.where(F.col("transaction_date") < F.lit(as_of))
     paid = F.col("has_paid")
     # For "all", every day opens the spine; has_paid is never NULL.
     opens = paid if check_scope(spine_scope) == "paid" else paid.isNotNull()
@@ -43,7 +45,7 @@ def balance_segments(stg: DataFrame, as_of: date, spine_scope: str = "paid") ->
     history = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # A row here becomes many days. A fixed partition count keeps adaptive
     # execution from merging these small partitions and generating in few tasks.
-    tasks = shuffle_tasks(stg)
+    tasks = shuffle_tasks(days)
     return (
         days.select(
             "organization_id",

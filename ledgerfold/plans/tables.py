@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
@@ -26,9 +26,10 @@ def daily_snapshot(
     only (balances still carry the full history). ``plan="dense"`` follows the
     definition literally and gives the same rows.
     """
-    first = None if last_days is None else date.fromordinal(as_of.toordinal() - last_days)
+    first = None if last_days is None else as_of - timedelta(days=last_days)
     if plan == "sparse":
-        return segments.expand_days(segments.balance_segments(stg, as_of, spine_scope), first)
+        days = balances.daily_activity(stg, as_of)
+        return segments.expand_days(segments.balance_segments(days, as_of, spine_scope), first)
     if plan != "dense":
         raise ValueError(f"plan must be 'sparse' or 'dense', not {plan!r}")
     scaffold = balances.organization_daily_scaffold(

@@ -33,7 +33,8 @@ def test_jobs(spark, folder):
     assert main(["ingest", "--table", "organizations", "--csv", f"{folder}/orgs.csv",
                  "--out", f"{folder}/orgs"]) == 0
     assert main(["build", *sources, "--out", f"{folder}/marts"]) == 0
-    assert main(["check", *sources, "--relationships", "--out", f"{folder}/report"]) == 1
+    assert main(["check", *sources, "--marts", f"{folder}/marts", "--relationships",
+                 "--out", f"{folder}/report"]) == 1
     fact = f"{folder}/marts/fct_daily_financial_snapshot"
     assert main(["alerts", "--snapshot", fact, "--out", f"{folder}/alerts"]) == 0
 
