@@ -2,21 +2,34 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
+    """The name of a fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
 
-    A temporary folder is used only where that setting is missing and the
-    session runs in one local JVM, as in tests.
+    Where that setting is missing, as in tests, the folder is below the warehouse,
+    which is shared by definition: catalog tables are there.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="ledgerfold-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/ledgerfold-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, path: str | None = None, *partition_by: str) -> DataFrame:
+    """Write ``df`` as parquet to ``path`` (a fresh shared folder) and read it back.
+
+    This cuts the lineage: what is read next outlives lost executors, and ids
+    that were made on the way are fixed.
+    """
+    path = path or shared_folder(df.sparkSession)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a written table through Spark's file system."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(hadoop, True)
