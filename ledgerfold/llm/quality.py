@@ -5,9 +5,12 @@ score into grades: P(grade <= k) = sigmoid(threshold_k - score). From the
 probabilities follow the expected grade and the tail probability of reaching a
 grade, by which documents are selected.
 
-Features of a text are its distinct words, the marks that end them, and classes of
-how often words repeat. The model is fitted on a bounded sample of rated rows,
-those with the smallest hash of their id; every row of the table is scored.
+Features of a text are its distinct words, the beginnings of words (families of words
+share them), the marks that end words, and classes of how often words repeat, carry marks or are in capitals. Ratings are noisy and most
+words are rare, so features below ``MIN_COUNT`` texts are left out of the fit and
+weights shrink to zero unless they earn their place. The model is fitted on a bounded
+sample of rated rows, those with the smallest hash of their id; every row of the
+table is scored.
 """
 
 from __future__ import annotations
@@ -25,8 +28,8 @@ from pyspark.sql import functions as F
 from ledgerfold.llm.packing import slices
 
 BITS = 18
-FIT_ROWS = 8000
-ROUNDS, BATCH, RATE, SHRINK = 12, 64, 0.1, 1e-5
+FIT_ROWS = 12_000
+STEPS, BATCH, RATE, SHRINK, MIN_COUNT = 2000, 64, 0.1, 1e-3, 5
 MIN_TAIL = 0.5
 KNOWN_WORDS = 1 << 19
 
@@ -39,13 +42,18 @@ class Features:
     """Hashed features of texts. Each distinct word of a slice is hashed once and kept."""
 
     def __init__(self):
-        self.known: dict[str, tuple[int, int]] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
 
-    def _word(self, word: str) -> tuple[int, int]:
+    def _word(self, word: str) -> tuple[int, ...]:
         if word not in self.known:
-            core = word.strip("\"'()[]{}<>.,;:!?").lower()
-            letters = len(core.rstrip("#$%&*|_~^=+-/\\@"))
-            self.known[word] = (_feature("w " + core[:letters]), _feature("m " + core[letters:]))
+            core = word.strip(STOPS + "\"'()[]{}<>")
+            letters = core.rstrip(STOPS + MARKS)
+            mark = core[len(letters):].strip(STOPS)
+            lower = letters.lower()
+            self.known[word] = (
+                len(letters) > 1 and letters.isupper(), _feature("m " + mark), _feature("w " + lower),
+                *(_feature("b " + lower[:n]) for n in BEGINNINGS),
+            )
         return self.known[word]
 
     def of(self, texts: pa.Array) -> list[np.ndarray]:
@@ -55,21 +63,23 @@ class Features:
         split = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
         coded = split.flatten().dictionary_encode()
         bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])
-        words = np.array([self._word(w) for w in coded.dictionary.to_pylist()], np.int64).reshape(-1, 2)
+        words = np.array([self._word(w) for w in coded.dictionary.to_pylist()], np.int64).reshape(-1, 3 + len(BEGINNINGS))
         index = coded.indices.to_numpy(zero_copy_only=False)
         out = []
         for a, b in zip(bounds[:-1], bounds[1:]):
             own = index[a:b]
             distinct = np.unique(own)
-            new = len(distinct) / max(len(own), 1)
-            again = np.count_nonzero(own[1:] == own[:-1]) / max(len(own), 1)
-            marks = np.bincount(words[own, 1] != PLAIN, minlength=2)[1] / max(len(own), 1)
-            classes = [_feature(f"{name} {int(10 * x)}") for name, x in
-                       (("new", new), ("again", again), ("marks", marks))]
-            out.append(np.unique(np.concatenate([words[distinct].ravel(), classes]).astype(np.int64)))
+            shares = {
+                "new": len(distinct), "again": np.count_nonzero(own[1:] == own[:-1]),
+                "marks": np.count_nonzero(words[own, 1] != PLAIN), "capitals": words[own, 0].sum(),
+            }
+            classes = [_feature(f"{name} {int(10 * n / max(len(own), 1))}") for name, n in shares.items()]
+            out.append(np.unique(np.concatenate([words[distinct, 1:].ravel(), classes]).astype(np.int64)))
         return out
 
 
+STOPS, MARKS = ".,;:", "!?#$%&*|_~^=+-/\\@"
+BEGINNINGS = (4, 5)
 PLAIN = _feature("m ")
 
 
@@ -92,7 +102,7 @@ def _sigmoid(x):
 
 
 def fit(features: Sequence[np.ndarray], ratings: Sequence[int]) -> Model:
-    """Maximum likelihood by adaptive gradient steps, in an order fixed by a seed.
+    """Maximum likelihood with an L1 penalty by adaptive proximal steps, in an order fixed by a seed.
 
     Grades are those that occur. Thresholds stay ordered, as the gaps between them
     are exponentials. Without ratings, or with one grade, every text has that grade.
@@ -106,9 +116,11 @@ def fit(features: Sequence[np.ndarray], ratings: Sequence[int]) -> Model:
         return np.cumsum(np.concatenate([free[:1], np.exp(free[1:])]))
 
     if cuts:
+        common = np.bincount(np.concatenate(features), minlength=1 << BITS) >= MIN_COUNT
+        features = [x[common[x]] if common[x].any() else x[:1] for x in features]
         grade = np.searchsorted(grades, ratings)
         random = np.random.default_rng(17)
-        for _ in range(ROUNDS):
+        for _ in range(-(-STEPS * BATCH // len(grade))):
             order = random.permutation(len(grade))
             for at in range(0, len(order), BATCH):
                 rows = order[at:at + BATCH]
@@ -120,9 +132,11 @@ def fit(features: Sequence[np.ndarray], ratings: Sequence[int]) -> Model:
                 p = np.maximum(up - down, 1e-9)
                 by_score = (1 - up - down) / len(rows)
                 touched, place = np.unique(columns, return_inverse=True)
-                slope = np.bincount(place, np.repeat(by_score, sizes)) + SHRINK * weights[touched]
+                slope = np.bincount(place, np.repeat(by_score, sizes))
                 squares[touched] += slope**2
-                weights[touched] -= RATE * slope / np.sqrt(squares[touched])
+                step = RATE / np.sqrt(squares[touched])
+                moved = weights[touched] - step * slope
+                weights[touched] = np.sign(moved) * np.maximum(np.abs(moved) - step * SHRINK, 0)
                 by_edge = np.bincount(grade[rows] + 1, -up * (1 - up) / p, cuts + 2)
                 by_edge += np.bincount(grade[rows], down * (1 - down) / p, cuts + 2)
                 by_free = np.cumsum(by_edge[1:-1][::-1])[::-1] / len(rows)
@@ -164,9 +178,10 @@ def fit_on(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Mode
         extract, "doc_id long, rating int, features array<int>"
     )
     table = rows.orderBy("doc_id", F.hash("features")).limit(fit_rows).toArrow()
-    return fit(
-        [np.array(x, np.int64) for x in table["features"].to_pylist()], table["rating"].to_pylist()
-    )
+    lists = table["features"].combine_chunks()
+    flat, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+    features = [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+    return fit(features, table["rating"].to_pylist())
 
 
 def grade(text: Column, model: Model, spark) -> Column:
