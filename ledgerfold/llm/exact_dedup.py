@@ -9,7 +9,8 @@ digest, and only texts that still share their prefix are read again.
 
 Scale: the row side of each join may have a hot key (a third of all rows can be
 copies of one text); the group side is written first, so both sides are plain
-exchanges and adaptive execution can split the hot partition. Groups are counted
+exchanges and adaptive execution can split the hot partition. The join is a merge
+join at every size, as the groups grow with the documents. Groups are counted
 map-side. No group is ever gathered into one task.
 """
 
@@ -106,7 +107,7 @@ def _split(state: DataFrame, width: int, level: int, groups_path: str) -> DataFr
         counted.where("size > 1").withColumn("next", F.monotonically_increasing_id()), groups_path
     )
     goes_on = F.col("next").isNotNull() & (F.lit(level == 1) | ~F.col("ended"))
-    joined = digits.join(groups, keys, "left")
+    joined = digits.join(groups.hint("merge"), keys, "left")
     return joined.select(
         (F.monotonically_increasing_id() if level == 1 else F.col("uid")).alias("uid"),
         "doc_id", "n", "text_sha256", "row", F.col("next").alias("group"),
