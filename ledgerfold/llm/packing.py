@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections import Counter
+from functools import cache
 from itertools import accumulate
 
 import numpy as np
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 from ledgerfold.sources.workspace import shared_folder, written
 
 CAPACITY = 2048
-SLICE_BYTES = 2 << 20
-KNOWN_WORDS = 1 << 19
+SLICE_BYTES = 8 << 20
+KNOWN_WORDS, RUN_WORDS = 1 << 20, 1024
 
 Pattern = tuple[int, list[tuple[int, int]]]
 
@@ -38,41 +39,87 @@ Pattern = tuple[int, list[tuple[int, int]]]
 class WordEncoder:
     """Token ids of whole texts for a tokenizer that never joins across white space.
 
-    Each distinct word of a slice is encoded once and kept; texts are put together
-    from their words' ids. ``known`` only saves time and starts afresh when full.
+    Runs between white space that are letters and digits, then ASCII punctuation, are
+    split there, as the punctuation is always a pre-token of its own. Each
+    distinct core and tail of a slice is encoded once and kept, and texts are put
+    together from their ids. Runs with letters beyond Latin-1, which may change their
+    kind when normalised, and those that may hold a special token stay whole. What is
+    kept only saves time; it starts afresh when full.
     """
 
+    PLAIN = "^[!-~À-ÖØ-öø-ÿ]*$"
+    MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+    LETTERS = "".join(chr(i) for i in range(256) if chr(i).isascii() and chr(i).isalnum() or i >= 0xC0 and i not in (0xD7, 0xF7))
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
-
-    def _words(self, words: list[str]) -> list[np.ndarray]:
-        if len(self.known) > KNOWN_WORDS:
-            self.known = {}
-        new = [w for w in words if w not in self.known]
-        for word, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, np.uint32)
-        return [self.known[w] for w in words]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode new words; plain ones in runs, where each is one pre-token."""
+        plain, others = [], []
+        for word in words:
+            (plain if word.isalpha() and (word.isascii() or max(word) <= "ÿ") else others).append(word)
+        ids, lengths = [], []
+        for at in range(0, len(plain), RUN_WORDS):
+            run = plain[at:at + RUN_WORDS]
+            found = self.tokenizer.encode(" ".join(run), add_special_tokens=False)
+            ids.append(np.array(found.ids, np.uint32))
+            lengths.append(np.bincount(found.word_ids, minlength=len(run)))
+        for found in self.tokenizer.encode_batch(others, add_special_tokens=False):
+            ids.append(np.array(found.ids, np.uint32))
+            lengths.append([len(found.ids)])
+        for number, word in enumerate([*plain, *others], len(self.known)):
+            self.known[word] = number
+        self.ids = np.concatenate([self.ids, *ids])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(lengths))])
+
+    def _numbers(self, words: pa.Array) -> np.ndarray:
+        """The numbers of words under which their ids are kept."""
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        numbers = [self.known.get(w, -1) for w in distinct]
+        if -1 in numbers:
+            self._learn([w for w, number in zip(distinct, numbers) if number < 0])
+            numbers = [self.known[w] for w in distinct]
+        return np.array(numbers, np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of every text; none for NULL."""
+        if len(self.known) > KNOWN_WORDS:
+            self._forget()
         split = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
-        coded = split.flatten().dictionary_encode()
         bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])
-        ids = self._words(coded.dictionary.to_pylist())
-        lengths = np.array([len(x) for x in ids], np.int64)
-        first = np.concatenate([[0], np.cumsum(lengths)])
-        store = np.concatenate([*ids, np.zeros(0, np.uint32)]).astype(np.uint32)
-        word = coded.indices.to_numpy(zero_copy_only=False)
-        ends = np.concatenate([[0], np.cumsum(lengths[word])])
-        stream = store[np.repeat(first[word] - ends[:-1], lengths[word]) + np.arange(ends[-1])]
-        at = ends[bounds]
+        coded = split.flatten().dictionary_encode()
+        runs = coded.dictionary
+        plain = pc.and_not(pc.match_substring_regex(runs, self.PLAIN), pc.match_substring(runs, "<|"))
+        runs = pc.if_else(plain, pc.utf8_lower(runs), runs)
+        cores, tails = pc.utf8_rtrim(runs, self.MARKS), pc.utf8_ltrim(runs, self.LETTERS)
+        meet = pc.equal(pc.add(pc.binary_length(cores), pc.binary_length(tails)), pc.binary_length(runs))
+        split_up = pc.and_(plain, meet)
+        cores, tails = pc.if_else(split_up, cores, runs), pc.if_else(split_up, tails, "")
+        both = np.stack([self._numbers(cores), self._numbers(tails)], axis=1)
+        unit = both[coded.indices.to_numpy(zero_copy_only=False)].ravel()
+        lengths = np.diff(self.ends)[unit]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        stream = self.ids[np.repeat(self.ends[unit] - ends[:-1], lengths) + np.arange(ends[-1])]
+        at = ends[2 * bounds]
         return [stream[a:b] for a, b in zip(at[:-1], at[1:])]
 
 
+@cache
+def word_encoder(path: str) -> WordEncoder:
+    """One encoder for all tasks that a worker runs."""
+    return WordEncoder(path)
+
+
 def slices(batch: pa.RecordBatch, column: int = 0) -> list[pa.RecordBatch]:
     """The batch in runs of rows of about SLICE_BYTES of text; a longer text stands alone."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
@@ -96,7 +143,7 @@ def pieces(
     """
 
     def cut(batches):
-        encoder, seen = WordEncoder(tokenizer), Counter()
+        encoder, seen = word_encoder(tokenizer), Counter()
         block = TaskContext.get().partitionId()
         for batch in batches:
             for part in slices(batch, 1):
