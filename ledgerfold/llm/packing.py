@@ -120,12 +120,12 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def slices(batch: pa.RecordBatch, column: int = 0) -> list[pa.RecordBatch]:
-    """The batch in runs of rows of about SLICE_BYTES of text; a longer text stands alone."""
+def slices(batch: pa.RecordBatch, column: int = 0, most: int = SLICE_BYTES) -> list[pa.RecordBatch]:
+    """The batch in runs of rows of up to ``most`` bytes of text; a longer text stands alone."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     cuts, size = [0], 0
     for i, n in enumerate(sizes):
-        if size and size + n > SLICE_BYTES:
+        if size and size + n > most:
             cuts.append(i)
             size = 0
         size += n

@@ -24,7 +24,7 @@ from ledgerfold.llm.packing import slices
 
 LEAVES = 64
 LOOKAHEAD = 2
-KNOWN = 1 << 19
+KNOWN, SLICE_BYTES = 1 << 18, 1 << 19
 
 Edit = tuple[int, int, str]
 
@@ -163,7 +163,7 @@ def count_tokens(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     def build(batches):
         encoder = Encoder(ranks, pattern)
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, SLICE_BYTES):
                 trees = [CountTree.of(x.as_py() or "", encoder) for x in part.column(1)]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, *_columns(trees)], names=["doc_id", "text", *TREE]
@@ -187,7 +187,7 @@ def apply_edits(counted: DataFrame, ranks: str, pattern: str) -> DataFrame:
     def edit(batches):
         encoder = Encoder(ranks, pattern)
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, SLICE_BYTES):
                 trees, texts, encoded, scripts = [], [], [], []
                 for row in part.select(["text", "leaf_chars", "leaf_tokens", "edits"]).to_pylist():
                     tree = CountTree(*(np.frombuffer(row[x], "<i4").tolist() for x in ("leaf_chars", "leaf_tokens")))
