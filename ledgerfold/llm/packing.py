@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from ledgerfold.sources.workspace import shared_folder, written
 
 CAPACITY = 2048
-SLICE_BYTES = 8 << 20
-KNOWN_WORDS, RUN_WORDS = 1 << 20, 1024
+SLICE_BYTES = 4 << 20
+KNOWN_WORDS, RUN_WORDS = 1 << 19, 1024
 
 Pattern = tuple[int, list[tuple[int, int]]]
 

@@ -31,7 +31,7 @@ BITS = 18
 FIT_ROWS = 12_000
 STEPS, BATCH, RATE, SHRINK, MIN_COUNT = 2000, 64, 0.1, 1e-3, 5
 MIN_TAIL = 0.5
-KNOWN_WORDS = 1 << 19
+KNOWN_WORDS, SLICE_BYTES = 1 << 17, 1 << 21
 
 
 def _feature(name: str) -> int:
@@ -168,7 +168,7 @@ def fit_on(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Mode
     def extract(batches):
         features = Features()
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, SLICE_BYTES):
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(2), pa.array(features.of(part.column(1)), pa.list_(pa.int32()))],
                     names=["doc_id", "rating", "features"],
@@ -191,7 +191,7 @@ def grade(text: Column, model: Model, spark) -> Column:
     def of_batch(texts: pa.Array) -> pa.Array:
         model, features = shared.value, Features()
         batch = pa.RecordBatch.from_arrays([texts], names=["text"])
-        found = [x for part in slices(batch) for x in features.of(part.column(0))]
+        found = [x for part in slices(batch, 0, SLICE_BYTES) for x in features.of(part.column(0))]
         tails = model.tails(found).reshape(len(texts), -1)
         steps = np.diff(model.grades)
         return pa.StructArray.from_arrays(
