@@ -170,7 +170,18 @@ def pieces(
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Pattern]:
-    """Patterns (times used, [(length, pieces of it)]) that use up all counts."""
+    """Patterns (times used, [(length, pieces of it)]) that use up all counts.
+
+    Exact combinations of many pieces can starve longer gaps, so plans with up to
+    three, two, one and no pieces in a combination are made, and the one with the
+    fewest sequences is taken.
+    """
+    plans = [_plan(counts, capacity, most) for most in (3, 2, 1, 0)]
+    return min(plans, key=lambda patterns: sum(times for times, _ in patterns))
+
+
+def _plan(counts: dict[int, int], capacity: int, most: int) -> list[Pattern]:
+    """The plan with exact combinations of up to ``most`` pieces."""
     left = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
         left[length] = n
@@ -186,7 +197,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Pattern]:
     sums = _pair_sums(left, capacity)
     for length in range(capacity, 0, -1):
         while left[length]:
-            filled = _exact(left, sums, length, capacity)
+            filled = _exact(left, sums, length, capacity, most)
             if filled is None:
                 break
             before = left > 0
@@ -220,24 +231,24 @@ def _pair_sums(left: np.ndarray, capacity: int) -> np.ndarray:
     return sums > 0.5
 
 
-def _exact(left: np.ndarray, sums: np.ndarray, length: int, capacity: int) -> list[int] | None:
-    """Up to three lengths whose sum is the gap, longest first; None without any."""
+def _exact(left: np.ndarray, sums: np.ndarray, length: int, capacity: int, most: int) -> list[int] | None:
+    """Up to ``most`` lengths whose sum is the gap, longest first; None without any."""
     gap = capacity - length
     free = left.copy()
     free[length] -= 1
     if gap == 0:
         return []
-    if free[gap] > 0:
+    if most >= 1 and free[gap] > 0:
         return [gap]
-    there = free > 0
-    if gap >= 2 and sums[gap] and (pair := _pair(free, there, gap)):
+    if most >= 2 and gap >= 2 and sums[gap] and (pair := _pair(free, free > 0, gap)):
         return pair
-    longest = np.arange(min(gap - 2, length), 0, -1)
-    for a in longest[there[longest] & sums[gap - longest]].tolist():
-        free[a] -= 1
-        if pair := _pair(free, free > 0, gap - a):
-            return [a, *pair]
-        free[a] += 1
+    if most >= 3:
+        longest = np.arange(min(gap - 2, length), 0, -1)
+        for a in longest[(free > 0)[longest] & sums[gap - longest]].tolist():
+            free[a] -= 1
+            if pair := _pair(free, free > 0, gap - a):
+                return [a, *pair]
+            free[a] += 1
     return None
 
 

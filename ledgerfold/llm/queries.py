@@ -68,12 +68,13 @@ def op5_disclosing_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data and terms that disclose it, in every document."""
     found = pii.personal_data(_table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s.kind < len(pii.BASE))
+
+    def many(kind: int):
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long")
+
     return found.select(
         "doc_id",
-        *[
-            F.size(F.filter("spans", lambda s, i=i: s.kind == i)).cast("long").alias(f"n_{kind}")
-            for i, kind in enumerate(pii.BASE)
-        ],
+        *[many(i).alias(f"n_{kind}") for i, kind in enumerate(pii.BASE)],
         F.sha2(pii.span_text(base), 256).alias("base_sha256"),
         pii.span_text(F.col("spans")).alias("spans"),
     )

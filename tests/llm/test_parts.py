@@ -1,0 +1,179 @@
+"""Parts of the corpus operators against plain versions on random input."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+
+import brute
+from ledgerfold.llm import line_dedup, mixing, packing, pii, quality, simhash, token_counts, top_k
+from ledgerfold.llm.components import connected_components
+
+
+def _random_texts(alphabet, n, length, seed=5):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, length))) for _ in range(n)]
+
+
+def test_word_encoder_equals_the_tokenizer():
+    alphabet = [*"abcABC019 \n\t.,;'!-<|>éÉñß", "'s", "<|endoftext|>", "<|ENDOFTEXT|>", "İ", "Σ", "ς", "́",
+                "ﬁ", "中", " ", "”", "²", "🙂", "\x1c", "\x85", "ª", "µ", "ÿ", "Ÿ"]
+    texts = [*_random_texts(alphabet, 20_000, 30), "", None]
+    encoder = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    expected = [x.ids for x in encoder.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert [x.tolist() for x in encoder.encode(pa.array(texts))] == expected
+
+
+def test_base_spans_equal_the_patterns():
+    alphabet = [*"a1.@+- ()%_\n5", "4111 1111 1111 1111", "10.0.0.1", "+1 (555) 123-4567", "a.b@c-d.e.f", "é"]
+    for text in _random_texts(alphabet, 20_000, 30):
+        assert pii.base_spans(text) == brute.spans(text)
+
+
+def test_patterns_are_linear_on_long_runs():
+    for text in ("a" * 300_000, "1" * 300_000, "1." * 150_000, "a@" * 150_000, "+1 " * 100_000, "a@b." * 80_000):
+        pii.base_spans(text)
+
+
+def test_terms_that_disclose(spark):
+    rng = random.Random(1)
+    rows = []
+    for i in range(300):
+        noise = " ".join(rng.choice(["lorem", "ipsum", "dolor", "amet"]) for _ in range(12))
+        rows.append((i, noise if i % 10 else f"{noise} number {i} Zorblax wrote x.y@mail.org today"))
+    rows += [(1000 + i, "copied Quux text u@v.org") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii.personal_data(docs).collect()}
+    texts = dict(rows)
+    terms = Counter(texts[d][s.start:s.end] for d, spans in found.items() for s in spans if s.kind >= 4)
+    assert terms["Zorblax"] == 30 and "lorem" not in terms
+    assert "Quux" not in terms  # copies of one line are no evidence
+    spans = pa.array([[{"start": s.start, "kind": s.kind, "end": s.end} for s in found[10]]])
+    clean = pii.sanitised(texts[10], [(s["start"], s["kind"], s["end"]) for s in spans[0].as_py()])
+    assert "x.y@mail.org" not in clean and "Zorblax" not in clean and "[email]" in clean
+
+
+def test_tree_follows_random_edits():
+    encoder = token_counts.Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    rng = random.Random(7)
+    alphabet = [*"ab12 \n\t.'", "'re", "  ", "é", "🙂", "hello"]
+    for _ in range(400):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 400)))
+        tree = token_counts.CountTree.of(text, encoder)
+        for _ in range(6):
+            start = rng.randint(0, len(text))
+            end = min(len(text), start + rng.choice([0, 0, 1, 3, 40]))
+            new = "".join(rng.choice(alphabet) for _ in range(rng.choice([0, 1, 5, 30])))
+            text, _ = tree.edit(text, (start, end, new), encoder)
+            whole = token_counts.CountTree.of(text, encoder)
+            assert tree.leaves() == whole.leaves()
+            assert tree.total == whole.total == len(encoder.encoding.encode_ordinary(text))
+    with pytest.raises(ValueError):
+        tree.edit(text, (0, len(text) + 1, ""), encoder)
+
+
+def test_a_small_edit_encodes_little():
+    encoder = token_counts.Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    text = "some words of a text " * 5000
+    _, encoded = token_counts.CountTree.of(text, encoder).edit(text, (50_000, 50_004, "new"), encoder)
+    assert encoded < 10
+
+
+def test_plan_uses_all_counts():
+    rng = random.Random(2)
+    for _ in range(30):
+        capacity = rng.choice([8, 50, 300])
+        counts = {rng.randint(1, capacity): rng.randint(1, 50) for _ in range(rng.randint(0, 60))}
+        used, sequences = Counter(), 0
+        for times, items in packing.plan(counts, capacity):
+            assert times > 0 and sum(length * n for length, n in items) <= capacity
+            sequences += times
+            for length, n in items:
+                used[length] += times * n
+        assert used == Counter(counts)
+        best_fit = _best_fit_decreasing(counts, capacity)
+        assert sequences <= best_fit * 1.02 + 1
+
+
+def _best_fit_decreasing(counts, capacity):
+    bins = []
+    for length in sorted(Counter(counts).elements(), reverse=True):
+        fits = [i for i, gap in enumerate(bins) if gap >= length]
+        if fits:
+            bins[min(fits, key=lambda i: bins[i])] -= length
+        else:
+            bins.append(capacity - length)
+    return len(bins)
+
+
+def test_top_k_on_random_vectors(spark):
+    rng = np.random.default_rng(0)
+    vectors = rng.integers(-3, 4, (400, 6))
+    vectors[50:120] = vectors[50]  # a group of equal vectors
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<long>")
+    queries = df.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
+    got = top_k.top_k(queries, df, 5, group_rows=90, query_rows=7).collect()
+    for q in range(0, 400, 20):
+        scores = sorted((-int(vectors[q] @ vectors[i]), i) for i in range(400) if i != q)[:5]
+        own = sorted((r["rank"], -r.score, r.vec_id) for r in got if r.query_id == q)
+        assert [(s, i) for _, s, i in own] == scores
+
+
+@pytest.mark.parametrize("max_bits", [0, 1, 2, 3])
+@pytest.mark.parametrize("bucket", [1, 32])
+def test_links_reach_all_pairs(spark, max_bits, bucket, monkeypatch):
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    rng = random.Random(max_bits)
+    centres = [rng.getrandbits(64) for _ in range(20)]
+    prints = {c ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))) for c in centres for _ in range(5)}
+    prints = sorted({*prints, 0, 1, 3, (1 << 64) - 1})
+    df = spark.createDataFrame([(simhash._signed(p),) for p in prints], "fp long")
+    links = simhash.links(df, max_bits)
+    pairs = links.collect()
+    assert all(((x.a ^ x.b) % (1 << 64)).bit_count() <= max_bits for x in pairs)
+    roots = {r.node: r.root for r in connected_components(links).collect()}
+    expected = brute.components([(simhash._signed(p), p) for p in prints], max_bits)
+    assert {p: roots.get(p, p) for p in expected} == expected
+
+
+def test_components_of_a_long_chain(spark):
+    rng = random.Random(4)
+    names = rng.sample(range(10_000), 300)
+    links = spark.createDataFrame(list(zip(names, names[1:])) + [(20_000, 20_001)], "a long, b long")
+    roots = {r.node: r.root for r in connected_components(links).collect()}
+    assert {roots[n] for n in names} == {min(names)} and roots[20_001] == 20_000
+
+
+def test_line_dedup_on_random_lines(spark):
+    rng = random.Random(9)
+    docs = [(i, "\n".join(rng.choice("abc") for _ in range(rng.randint(0, 12)))) for i in range(80)]
+    rows = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    expected = brute.line_dedup(docs)
+    assert {r.doc_id: r.text for r in rows} == {d: "\n".join(x) for d, x in expected.items()}
+
+
+def test_fit_orders_grades():
+    rng = np.random.default_rng(0)
+    features, ratings = [], []
+    for i in range(900):
+        grade = i % 3
+        features.append(np.unique([grade * 10 + rng.integers(0, 3), *(100 + rng.integers(0, 500, 20))]))
+        ratings.append(grade)
+    model = quality.fit(features, ratings)
+    assert (np.diff(model.thresholds) > 0).all()
+    tails = model.tails(features)
+    assert (tails[:, 0] >= tails[:, 1]).all()
+    expected = tails.sum(axis=1)
+    assert [expected[i::3].mean().round() for i in range(3)] == [0, 1, 2]
+
+
+def test_shares_need_room():
+    with pytest.raises(ValueError):
+        mixing.period_shares([1, 1], 1)
+    assert mixing.period_shares([1], 10) == [10]
