@@ -6,17 +6,17 @@ Division is done on integers: DuckDB divides decimals as doubles.
 from __future__ import annotations
 
 AS_OF = "DATE '2001-08-01'"
-ALERT_AS_OF = "DATE '1998-12-15'"
 
 RAW_INVOICES = """
 raw_invoices AS (
   SELECT CASE WHEN k % 1013 = 0 THEN k - 1 ELSE k END AS "INVOICE_ID",
          CASE WHEN k % 16 IN (6, 7) THEN k - 1 END AS "PARENT_INVOICE_ID",
          k * 10 + 1 AS "TRANSACTION_ID",
-         CASE WHEN k % 499 = 0 THEN NULL WHEN k % 503 = 0 THEN -c ELSE c END
+         CASE WHEN k % 41 <= 1 THEN 10000000 + k // 41 WHEN k % 499 = 0 THEN NULL WHEN k % 503 = 0 THEN -c ELSE c END
            AS "ORGANIZATION_ID",
          o_orderpriority AS "TYPE",
-         CASE WHEN k % 991 = 0 THEN NULL WHEN k % 997 = 0 THEN 'disputed'
+         CASE WHEN k % 123 = 1 AND o_orderdate < DATE '1995-03-01' THEN 'pending'
+              WHEN k % 123 = 1 THEN 'paid' WHEN k % 41 = 1 THEN 'refunded' WHEN k % 991 = 0 THEN NULL WHEN k % 997 = 0 THEN 'disputed'
               WHEN k % 16 <= 5 AND o_orderdate < DATE '1995-03-01' THEN 'pending'
               WHEN k % 16 <= 5 THEN 'paid'
               ELSE ['credited', 'refunded', 'open', 'skipped', 'cancelled', 'pending',
@@ -27,8 +27,10 @@ raw_invoices AS (
          END AS "CURRENCY",
          ['USD', 'USD', 'EUR', 'GBP', 'JPY'][(c + k) % 5 + 1] AS "PAYMENT_CURRENCY",
          CASE k % 3 WHEN 0 THEN 'card' WHEN 1 THEN 'bank_transfer' END AS "PAYMENT_METHOD",
-         CASE WHEN k % 97 = 0 THEN 'n/a' WHEN k % 89 = 0 THEN '' ELSE price END AS "AMOUNT",
-         CASE WHEN k % 83 = 0 THEN NULL WHEN k % 61 = 0 THEN '100.005'
+         CASE WHEN huge THEN '123456789012345678901234.56'
+              WHEN k % 97 = 0 THEN 'n/a' WHEN k % 89 = 0 THEN '' ELSE price END AS "AMOUNT",
+         CASE WHEN huge THEN '123456789012345678901234.56'
+              WHEN k % 83 = 0 THEN NULL WHEN k % 61 = 0 THEN '100.005'
               WHEN k % 107 = 0 THEN '-' || price ELSE price
          END AS "PAYMENT_AMOUNT",
          CASE WHEN k % 79 = 0 THEN '0' WHEN k % 73 = 0 THEN '100000' WHEN k % 71 = 0 THEN NULL
@@ -37,8 +39,11 @@ raw_invoices AS (
          CASE WHEN k % 79 = 1 THEN '0'
               ELSE ['1', '1', '0.92', '0.79', '149.5'][(c + k) % 5 + 1]
          END AS "FX_RATE_PAYMENT",
-         CASE WHEN k % 983 <> 0 THEN o_orderdate + INTERVAL 13 HOUR END AS "CREATED_AT"
+         CASE WHEN k % 41 = 0 THEN TIMESTAMP '2001-07-31 13:00:00'
+              WHEN k % 41 = 1 AND k % 123 <> 1 THEN TIMESTAMP '1995-01-15 13:00:00'
+              WHEN k % 983 <> 0 THEN o_orderdate + INTERVAL 13 HOUR END AS "CREATED_AT"
   FROM (SELECT *, o_orderkey AS k, o_custkey AS c,
+               o_orderkey % 16 = 8 AND o_orderkey % 9 = 0 AS huge,
                CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS price
         FROM orders)
 )"""
@@ -59,13 +64,17 @@ raw_organizations AS (
 
 def _usd(currency: str, amount: str, rate: str) -> str:
     """Quotient at scale 8, rounded half away from zero."""
-    cents = f"CAST(CAST({amount} AS DECIMAL(20,2)) * 100 AS HUGEINT)"
+    cents = f"ABS(CAST(REPLACE(CAST({amount} AS VARCHAR), '.', '') AS HUGEINT))"
     units = f"CAST(CAST({rate} AS DECIMAL(21,8)) * 100000000 AS HUGEINT)"
-    size = f"(2 * ABS({cents}) * 100000000000000 + {units}) // (2 * {units})"
-    quotient = f"SIGN({cents}) * ({size})"
+    size = (
+        f"(({cents} // {units}) * 100000000000000"
+        f" + (2 * ({cents} % {units}) * 100000000000000 + {units}) // (2 * {units}))"
+    )
     return f"""CASE
       WHEN {currency} = 'USD' THEN CAST({amount} AS DECIMAL(38,8))
-      WHEN {currency} <> 'USD' AND {rate} <> 0 THEN {_unscale(quotient)}
+      WHEN {currency} <> 'USD' AND {rate} <> 0 THEN CAST(
+        CASE WHEN {amount} < 0 THEN '-' ELSE '' END || CAST({size} // 100000000 AS VARCHAR) || '.'
+        || LPAD(CAST({size} % 100000000 AS VARCHAR), 8, '0') AS DECIMAL(38,8))
     END"""
 
 
@@ -199,12 +208,10 @@ def _with(*parts: str) -> str:
 def oracle_sql() -> dict[str, str]:
     invoices = _with(RAW_INVOICES, STAGED)
     orgs = _with(RAW_ORGANIZATIONS, ORGANIZATIONS)
-    at = lambda part, day=AS_OF: part.replace("{as_of}", day)
+    at = lambda part: part.replace("{as_of}", AS_OF)
     moves = invoices + "," + at(MOVES)
     snapshot = moves + "," + at(SNAPSHOT)
-    pairs = _with(
-        RAW_INVOICES, STAGED, at(MOVES, ALERT_AS_OF), at(SNAPSHOT, ALERT_AS_OF), PAIRS
-    )
+    pairs = snapshot + "," + PAIRS
     changes = pairs + "," + CHANGES
     everything = snapshot + "," + RAW_ORGANIZATIONS + "," + ORGANIZATIONS
 

@@ -3,7 +3,8 @@
     ingest  CSV files          -> raw parquet table
     build   raw tables         -> stored marts
     check   raw tables, marts  -> quality report, exit code 1 if a check fails
-    alerts  stored snapshot    -> alerts of its latest day
+    alerts  stored marts       -> alerts of their latest day and a summary row,
+                                  exit code 2 if there is no day to look at
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerfold.functions.change import THRESHOLD_PERCENT
-from ledgerfold.operators.alerts import balance_day_pairs
+from ledgerfold.operators.alerts import alert_summary, balance_change_alerts, balance_day_pairs
 from ledgerfold.plans import checks, tables
 from ledgerfold.schemas import RAW_INVOICES, RAW_ORGANIZATIONS
 from ledgerfold.sources import marts, raw
@@ -48,9 +49,14 @@ def check(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def alerts(spark: SparkSession, args: argparse.Namespace) -> int:
-    pairs = balance_day_pairs(marts.read_snapshot(spark, args.snapshot))
-    marts.write_table(tables.alert_report(pairs, args.threshold), args.out)
-    return 0
+    stored = marts.load(spark, args.marts)
+    pairs = balance_day_pairs(stored[marts.FACT], stored[marts.LATEST].scalar())
+    marts.write_table(balance_change_alerts(pairs, args.threshold), f"{args.out}/alerts")
+    marts.write_table(alert_summary(pairs, args.threshold), f"{args.out}/summary")
+    summary = spark.read.parquet(f"{args.out}/summary").first()
+    print(f"{summary.snapshot_date}: {summary.organizations_processed} organisations,"
+          f" {summary.alerts_raised} alerts")
+    return 0 if summary.organizations_processed else 2
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -70,11 +76,12 @@ def _parser() -> argparse.ArgumentParser:
         sub = command(job)
         sub.add_argument("--invoices", required=True)
         sub.add_argument("--organizations", required=True)
-        sub.add_argument("--as-of", type=date.fromisoformat, default=date.today())
+        sub.add_argument("--as-of", type=date.fromisoformat, required=True,
+                         help="the day after the last one; nothing reads the clock")
     sub.add_argument("--marts", required=True, help="folder written by build")
     sub.add_argument("--relationships", action="store_true")
     sub = command(alerts)
-    sub.add_argument("--snapshot", required=True)
+    sub.add_argument("--marts", required=True, help="folder written by build")
     sub.add_argument("--threshold", type=Decimal, default=THRESHOLD_PERCENT)
     return parser
 
@@ -87,6 +94,8 @@ def main(argv: list[str] | None = None) -> int:
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
+    # Malformed keys and dates in CSV files must fail.
+    spark.conf.set("spark.sql.ansi.enabled", "true")
     return args.job(spark, args)
 
 

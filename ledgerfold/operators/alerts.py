@@ -17,18 +17,17 @@ MONTH = "snapshot_month"
 def latest_snapshot_date(snapshot: DataFrame) -> DataFrame:
     """One row: the latest day, NULL for an empty snapshot.
 
-    A stored snapshot is partitioned by month; only the newest month is read.
+    This reads the days of the whole snapshot. A refresh of stored marts knows its
+    latest day and stores it beside them.
     """
-    if MONTH in snapshot.columns:
-        newest = snapshot.agg(F.max(MONTH)).scalar()
-        snapshot = snapshot.where(F.col(MONTH) == newest)
     return snapshot.agg(F.max("snapshot_date").alias("latest_snapshot_date"))
 
 
 def balance_day_pairs(snapshot: DataFrame, latest: Column | None = None) -> DataFrame:
     """Current and previous balance per organisation on the latest day.
 
-    ``latest`` may be given where it is known; otherwise it is looked up. The
+    ``latest`` should be given where it is known, as a literal or the scalar of a
+    stored row; a stored snapshot is then read in one or two months only. The
     two days are selected before the window, so only they are sorted. Series
     have no gaps, hence the previous row is the previous day; a series that
     starts on the latest day has a NULL previous balance.

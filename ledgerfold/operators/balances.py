@@ -13,6 +13,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerfold.functions.money import negated
 from ledgerfold.schemas import (
     BALANCE_STATUSES, INFLOW_STATUS, OUTFLOW_STATUSES, USD, with_comments,
 )
@@ -26,8 +27,7 @@ def signed_change() -> Column:
     """Inflow at the paid amount, outflow at minus the invoice amount, else NULL."""
     return (
         F.when(F.col("status") == INFLOW_STATUS, F.col("payment_amount_usd"))
-        # Unary minus keeps scale 8, a product with -1 would not.
-        .when(F.col("status").isin(*OUTFLOW_STATUSES), -F.col("amount_usd"))
+        .when(F.col("status").isin(*OUTFLOW_STATUSES), negated(F.col("amount_usd")))
     )
 
 

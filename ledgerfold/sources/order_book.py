@@ -4,7 +4,10 @@ Every order becomes an invoice and every customer an organisation. Keys select
 status, currency and rates, and a share of missing, malformed, negative, repeated
 or orphaned values, so that each rule of staging, balancing and checking meets
 data. No payment counts before ``FIRST_PAYMENT``, so earlier credits and refunds
-precede the date spine.
+precede the date spine. Two orders in 41 belong to an organisation of their own: one
+opens its series, with a payment or, two times in three, a refund before the spine,
+which keeps it at zero; the other moves it on ``LAST_DAY``. So balances move and leave
+zero, both ways, on the day alerts look at. Some open invoices have amounts of 24 digits.
 """
 
 from __future__ import annotations
@@ -21,6 +24,9 @@ STATUS_BY_KEY = (
        "processing", "failed", "unpayable", "awaiting_payment"]
 )
 FIRST_PAYMENT = "1995-03-01"
+OPENING, LAST_DAY = "1995-01-15 13:00:00", "2001-07-31 13:00:00"
+FIRST_OWN_ORGANIZATION = 10_000_000
+HUGE = "123456789012345678901234.56"
 CURRENCY_BY_CUSTOMER = ["USD", "USD", "USD", "EUR", "GBP", "JPY", "usd"]
 RATE_BY_CUSTOMER = ["1", "1", "1", "0.92", "0.79", "149.5", "1"]
 PAYMENT_CURRENCY_BY_SUM = ["USD", "USD", "EUR", "GBP", "JPY"]
@@ -39,27 +45,32 @@ def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
     early = F.col("o_orderdate") < F.lit(FIRST_PAYMENT).cast("timestamp_ntz")
     status = _pick(STATUS_BY_KEY, k)
+    moves, opens, pays = k % 41 == 0, k % 41 == 1, k % 123 == 1
+    huge = (k % 16 == 8) & (k % 9 == 0)
     rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         F.when(k % 1013 == 0, k - 1).otherwise(k).alias("INVOICE_ID"),
         F.when((k % 16).isin(6, 7), k - 1).alias("PARENT_INVOICE_ID"),
         (k * 10 + 1).alias("TRANSACTION_ID"),
-        F.when(k % 499 == 0, nothing).when(k % 503 == 0, -c).otherwise(c)
+        F.when(moves | opens, F.floor(k / 41) + FIRST_OWN_ORGANIZATION).when(k % 499 == 0, nothing).when(k % 503 == 0, -c).otherwise(c)
         .alias("ORGANIZATION_ID"),
         F.col("o_orderpriority").alias("TYPE"),
-        F.when(k % 991 == 0, nothing).when(k % 997 == 0, "disputed")
+        F.when(opens, F.when(pays & ~early, "paid").when(pays, "pending").otherwise("refunded"))
+        .when(k % 991 == 0, nothing).when(k % 997 == 0, "disputed")
         .when((status == "paid") & early, "pending").otherwise(status).alias("STATUS"),
         F.when(k % 101 != 0, _pick(CURRENCY_BY_CUSTOMER, c)).alias("CURRENCY"),
         _pick(PAYMENT_CURRENCY_BY_SUM, c + k).alias("PAYMENT_CURRENCY"),
         F.when(k % 3 == 0, "card").when(k % 3 == 1, "bank_transfer").alias("PAYMENT_METHOD"),
-        F.when(k % 97 == 0, "n/a").when(k % 89 == 0, "").otherwise(price).alias("AMOUNT"),
-        F.when(k % 83 == 0, nothing).when(k % 61 == 0, "100.005")
+        F.when(huge, HUGE).when(k % 97 == 0, "n/a").when(k % 89 == 0, "").otherwise(price).alias("AMOUNT"),
+        F.when(huge, HUGE).when(k % 83 == 0, nothing).when(k % 61 == 0, "100.005")
         .when(k % 107 == 0, F.concat(F.lit("-"), price)).otherwise(price)
         .alias("PAYMENT_AMOUNT"),
         F.when(k % 79 == 0, "0").when(k % 73 == 0, "100000").when(k % 71 == 0, nothing)
         .otherwise(_pick(RATE_BY_CUSTOMER, c)).alias("FX_RATE"),
         F.when(k % 79 == 1, "0").otherwise(_pick(PAYMENT_RATE_BY_SUM, c + k))
         .alias("FX_RATE_PAYMENT"),
-        F.when(k % 983 != 0, F.col("o_orderdate") + F.expr("INTERVAL 13 HOURS"))
+        F.when(moves, F.lit(LAST_DAY).cast("timestamp_ntz"))
+        .when(opens & ~pays, F.lit(OPENING).cast("timestamp_ntz"))
+        .when(k % 983 != 0, F.col("o_orderdate") + F.expr("INTERVAL 13 HOURS"))
         .alias("CREATED_AT"),
     )
     return rows.to(RAW_INVOICES)

@@ -28,8 +28,18 @@ def written(df: DataFrame, path: str | None = None, *partition_by: str) -> DataF
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, by Spark's file system."""
+    files, hadoop = _file_system(spark, path)
+    return files.exists(hadoop)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a written table through Spark's file system."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, hadoop = _file_system(spark, path)
     files.delete(hadoop, True)

@@ -114,7 +114,8 @@ def test_conversion_limits(spark):
     rows = [
         ("USD", "9" * 29 + ".99", None, Decimal("9" * 29 + ".99")),
         ("EUR", "9" * 22 + ".99", "0.00000001", Decimal("9" * 22 + ".99") * 10**8),
-        ("EUR", "1" + "0" * 22, "1", None),
+        ("EUR", "1" + "0" * 22, "1", Decimal("1" + "0" * 22)),
+        ("EUR", "1" + "0" * 22, "0.00000001", None),
         ("EUR", "1", "99999.999999995", None),
         ("EUR", "1", "-2", Decimal("-0.5")),
         ("EUR", "1", "0.000000001", None),

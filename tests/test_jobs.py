@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 import golden
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerfold.__main__ import main
+from ledgerfold.sources import marts
 from ledgerfold.schemas import RAW_INVOICES
 
 NUMBER = {org: n for n, org in enumerate("ABCDEFGHIJKL")}
@@ -35,21 +38,30 @@ def test_jobs(spark, folder):
     assert main(["build", *sources, "--out", f"{folder}/marts"]) == 0
     assert main(["check", *sources, "--marts", f"{folder}/marts", "--relationships",
                  "--out", f"{folder}/report"]) == 1
-    fact = f"{folder}/marts/fct_daily_financial_snapshot"
-    assert main(["alerts", "--snapshot", fact, "--out", f"{folder}/alerts"]) == 0
+    assert main(["alerts", "--marts", f"{folder}/marts", "--out", f"{folder}/out"]) == 0
 
-    assert spark.read.parquet(fact).count() == 39
-    assert spark.read.parquet(f"{folder}/marts/dim_organizations").count() == 11
+    stored = marts.load(spark, f"{folder}/marts")
+    assert stored[marts.FACT].count() == 39
+    assert stored[marts.DIMENSION].count() == 11
+    summary = spark.read.parquet(f"{folder}/out/summary").collect()
+    assert [tuple(r) for r in summary] == [(golden.AS_OF - timedelta(days=1), 9, len(golden.ALERTS))]
     failing = spark.read.parquet(f"{folder}/report").where("NOT passed").collect()
     assert {(r.check_id, r.failures) for r in failing} == {
         ("Q07", 1), ("Q16", 7), ("Q19", 4), ("Q20", 1), ("Q22", 3), ("Q23", 3)
     }
-    rows = spark.read.parquet(f"{folder}/alerts").collect()
+    rows = spark.read.parquet(f"{folder}/out/alerts").collect()
     assert {r.organization_id: r.change_display for r in rows} == {
         NUMBER[org]: shown for org, (_, _, shown) in golden.ALERTS.items()
     }
 
 
+def test_alerts_without_a_day(spark, folder):
+    early = ["--invoices", f"{folder}/inv", "--organizations", f"{folder}/orgs", "--as-of", "2020-01-01"]
+    assert main(["build", *early, "--out", f"{folder}/none"]) == 0
+    assert main(["alerts", "--marts", f"{folder}/none", "--out", f"{folder}/no-alerts"]) == 2
+    assert spark.read.parquet(f"{folder}/no-alerts/alerts").isEmpty()
+
+
 def test_threshold_must_have_two_decimals(spark):
     from ledgerfold.operators.alerts import alert_summary
 

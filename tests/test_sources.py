@@ -5,6 +5,8 @@ from __future__ import annotations
 import glob
 import os
 
+from datetime import timedelta
+
 import golden
 import pytest
 from pyspark.errors import AnalysisException
@@ -86,7 +88,7 @@ def test_stored_snapshot(spark, tmp_path, files):
     fresh = plans.daily_snapshot(stg, as_of)
     assert by_key(stored.drop(marts.MONTH)) == by_key(fresh)
     assert len(glob.glob(f"{path}/{marts.MONTH}=*")) == 3
-    assert len(glob.glob(f"{path}/{marts.MONTH}=2024-01-01/*.parquet")) <= (files or 1)
+    assert len(glob.glob(f"{path}/{marts.MONTH}=2024-01-01/*.parquet")) <= (files or 2)  # eight tasks over three months
     assert stored.schema["snapshot_date"].metadata["comment"]
     pairs = alerts.balance_day_pairs(stored)
     assert by_key(pairs) == by_key(plans.latest_pairs(stg, as_of))
@@ -109,9 +111,54 @@ def test_latest_day_at_a_month_start(spark, tmp_path):
 def test_only_two_days_are_read(spark, tmp_path):
     stg = staging.stg_invoices(golden.raw_invoices(spark))
     marts.write_snapshot(daily_activity(stg), golden.AS_OF.replace(month=6), f"{tmp_path}/fct")
-    pairs = alerts.balance_day_pairs(marts.read_snapshot(spark, f"{tmp_path}/fct"))
+    latest = spark.createDataFrame([(golden.AS_OF.replace(month=5, day=31),)], "d date").scalar()
+    pairs = alerts.balance_day_pairs(marts.read_snapshot(spark, f"{tmp_path}/fct"), latest)
+    pairs.collect()
     plan = pairs._jdf.queryExecution().executedPlan().toString()
-    assert f"{marts.MONTH}#" in plan.split("PartitionFilters: ")[1].split("]")[0]
+    scans = plan.split("PartitionFilters: ")[1:]
+    assert scans and all(f"{marts.MONTH}#" in scan.split("]")[0] for scan in scans)
+
+
+def test_no_month_of_an_earlier_snapshot_stays(spark, tmp_path):
+    stg = staging.stg_invoices(golden.raw_invoices(spark))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for as_of in (golden.AS_OF.replace(month=6), golden.AS_OF.replace(month=2)):
+            marts.write_snapshot(daily_activity(stg, as_of), as_of, f"{tmp_path}/fct")
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    latest = alerts.latest_snapshot_date(marts.read_snapshot(spark, f"{tmp_path}/fct")).first()[0]
+    assert latest == as_of - timedelta(days=1)
+
+
+def test_a_short_history_uses_all_tasks(spark, tmp_path):
+    rows = [(n, f"2024-01-{3 + n % 5:02d}") for n in range(400)]
+    days = spark.createDataFrame(rows, "organization_id long, day string").selectExpr(
+        "organization_id", "date(day) AS transaction_date", "CAST(1 AS decimal(38,8)) AS daily_net_change_usd",
+        "true AS has_paid",
+    )
+    marts.write_snapshot(days, golden.AS_OF, f"{tmp_path}/fct")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(glob.glob(f"{tmp_path}/fct/{marts.MONTH}=2024-01-01/*.parquet")) > tasks // 2
+
+
+def test_a_failed_refresh_keeps_the_last_one(spark, tmp_path, monkeypatch):
+    orgs = spark.createDataFrame([], "ORGANIZATION_ID string, FIRST_PAYMENT_DATE date, LAST_PAYMENT_DATE date, "
+                                 "LEGAL_ENTITY_COUNTRY_CODE int, COUNT_TOTAL_CONTRACTS_ACTIVE long, "
+                                 "CREATED_DATE timestamp_ntz")
+    built = plans.build_tables(golden.raw_invoices(spark), orgs, golden.AS_OF)
+    marts.refresh(built, golden.AS_OF, str(tmp_path))
+    with monkeypatch.context() as patch:
+        patch.setattr(marts, "write_snapshot", lambda *a, **b: (_ for _ in ()).throw(OSError("full")))
+        with pytest.raises(OSError):
+            marts.refresh(built, golden.AS_OF, str(tmp_path))
+    assert marts.load(spark, str(tmp_path))[marts.FACT].count() == 39
+    for _ in range(2):
+        marts.refresh(built, golden.AS_OF, str(tmp_path))
+    assert marts.load(spark, str(tmp_path))[marts.FACT].count() == 39
+    assert len(marts.published(spark, str(tmp_path))) == 3
+    with pytest.raises(FileNotFoundError):
+        marts.load(spark, f"{tmp_path}/none")
 
 
 def test_refresh_and_views(spark, tmp_path):
@@ -123,7 +170,7 @@ def test_refresh_and_views(spark, tmp_path):
     )
     built = plans.build_tables(golden.raw_invoices(spark), orgs, golden.AS_OF)
     stored = marts.refresh(built, golden.AS_OF, str(tmp_path))
-    assert set(stored) - set(built) == {"int_daily_activity"}
+    assert set(stored) - set(built) == {"int_daily_activity", "latest_snapshot_date"}
     assert by_key(checks.run_suite(stored, True)) == by_key(checks.run_suite(built, True))
     marts.register_views(stored)
     count = lambda t: spark.sql(f"SELECT count(*) FROM {t}").first()[0]
