@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerfold.sources.workspace import written
+
 PERIOD, BLOCK_SIZE, MAX_SOURCES, RUN_ROWS = 1000, 1 << 16, 256, 512
 
 
@@ -122,7 +124,7 @@ def mix(
         .otherwise(F.xxhash64(F.lit(4), "doc_id")).bitwiseAND(F.lit((1 << 63) - 1)).alias("key"),
         F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in carry]).alias("row"),
     )
-    sums = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    sums = written(rows.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")))
     largest = sums.orderBy(F.desc("size"), F.asc_nulls_last("source")).limit(max_sources).collect()
     everything = sums.agg(F.sum("size").alias("size"), F.sum("n").alias("n")).first()
     names = [x.source for x in largest]
