@@ -22,12 +22,24 @@ def flagged_rows(
     df: DataFrame, table: str, checks: Mapping[str, tuple[str, Column]]
 ) -> DataFrame:
     """Rows that meet a condition, for {check_id: (column, condition)}, in one pass."""
-    counts = df.agg(*[F.count_if(bad).alias(i) for i, (_, bad) in checks.items()])
+    counts = df.agg(*count_each(checks))
+    return reported(counts, table, {i: c for i, (c, _) in checks.items()})
+
+
+def count_each(checks: Mapping[str, tuple[str, Column]]) -> list[Column]:
+    """Aggregates that count the rows of each condition, named by check id."""
+    return [F.count_if(bad).alias(i) for i, (_, bad) in checks.items()]
+
+
+def reported(counts: DataFrame, table: str, checks: Mapping[str, str]) -> DataFrame:
+    """One row of failures, a column for each of {check_id: column}, as a row per check."""
     rows = [
         F.struct(
-            F.lit(i).alias("check_id"), F.lit(c).alias("column_name"), F.col(i).alias("failures")
+            F.lit(i).alias("check_id"),
+            F.lit(c).alias("column_name"),
+            F.coalesce(i, F.lit(0).cast("bigint")).alias("failures"),
         )
-        for i, (c, _) in checks.items()
+        for i, c in checks.items()
     ]
     flat = counts.select(F.inline(F.array(*rows)))
     return _report(flat.withColumn("table_name", F.lit(table)))
@@ -108,12 +120,9 @@ def negative_missing_usd(stg: DataFrame) -> DataFrame:
 
 def balance_consistency(snapshot: DataFrame) -> DataFrame:
     """Days on which the balance fell although the day's change was not negative."""
-    by_day = Window.partitionBy("organization_id").orderBy("snapshot_date")
-    balance = F.col("cumulative_net_financial_balance_usd")
-    previous = F.lag(balance, 1, Decimal(0)).over(by_day)
     return (
-        snapshot.select("*", previous.alias("previous_day_balance"))
-        .where((F.col("daily_net_change_usd") >= 0) & (balance < F.col("previous_day_balance")))
+        snapshot.select("*", previous_day_balance().alias("previous_day_balance"))
+        .where(fell_without_outflow(F.col("previous_day_balance")))
         .select(
             "snapshot_date",
             "organization_id",
@@ -124,9 +133,28 @@ def balance_consistency(snapshot: DataFrame) -> DataFrame:
     )
 
 
-def no_rows(offending: DataFrame, table: str, check_id: str, column: str) -> DataFrame:
-    """Suite form of a row check: it fails with as many failures as rows."""
-    return _counted(offending, table, check_id, column)
+_BY_DAY = ("organization_id", "snapshot_date")
+
+
+def previous_day_balance() -> Column:
+    by_day = Window.partitionBy(_BY_DAY[0]).orderBy(_BY_DAY[1])
+    return F.lag("cumulative_net_financial_balance_usd", 1, Decimal(0)).over(by_day)
+
+
+def fell_without_outflow(previous: Column) -> Column:
+    balance = F.col("cumulative_net_financial_balance_usd")
+    return (F.col("daily_net_change_usd") >= 0) & (balance < previous)
+
+
+def second_of_its_day() -> Column:
+    """True for one row of each (organisation, day) that repeats; NULLs compare equal.
+
+    Days are compared as structs, so that a missing day differs from no row at all.
+    """
+    by_day = Window.partitionBy(_BY_DAY[0]).orderBy(_BY_DAY[1])
+    day = F.struct(_BY_DAY[1])
+    first, second = (F.lag(day, n).over(by_day) for n in (1, 2))
+    return day.eqNullSafe(first) & ~day.eqNullSafe(second)
 
 
 def combine(reports: Iterable[DataFrame]) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from ledgerfold.functions import change
 from ledgerfold.functions.money import to_usd
 from ledgerfold.operators import alerts, quality, staging
+from ledgerfold.plans import checks
 from ledgerfold.plans.tables import daily_snapshot, latest_day, latest_pairs
 
 PLANS = ("sparse", "dense")
@@ -257,6 +258,44 @@ def test_fallen_balance(spark):
     ]
 
 
+def test_suite_on_broken_tables_agrees_with_the_single_checks(spark):
+    day, usd = date(2024, 1, 1), Decimal(1)
+    fact = spark.createDataFrame(
+        [(day, 1, usd, usd)] * 3 + [(None, 1, usd, usd)] * 2 + [(None, None, None, usd)] * 2
+        + [(day, 2, usd, usd), (date(2024, 1, 2), 2, usd, Decimal(0)), (day, 9, None, None)],
+        "snapshot_date date, organization_id long, daily_net_change_usd decimal(38,8), "
+        "cumulative_net_financial_balance_usd decimal(38,8)",
+    )
+    orgs = spark.createDataFrame(
+        [(1, 840, day), (1, None, day), (2, 840, None), (None, 840, day), (None, 840, day)],
+        "organization_id long, legal_entity_country_code int, organization_created_date date",
+    )
+    invoices = spark.createDataFrame(
+        [(1, 1, "paid", day, None, None), (1, 1, "lost", day, None, None), (2, 9, "lost", None, usd, usd),
+         (None, None, None, day, usd, usd), (3, 9, "refunded", day, usd, None)],
+        "invoice_id long, organization_id long, status string, created_date date, "
+        "payment_amount_usd decimal(38,8), amount_usd decimal(38,8)",
+    )
+    for rows in (lambda df: df, lambda df: df.limit(0)):
+        built = {
+            "stg_invoices": rows(invoices), "stg_organizations": rows(orgs),
+            "dim_organizations": rows(orgs), checks.FACT: rows(fact),
+        }
+        found = {(r.check_id, r.table_name, r.column_name): r.failures
+                 for r in checks.run_suite(built, with_relationships=True).collect()}
+        single = quality.combine([
+            checks.not_null(built), checks.unique(built), checks.accepted_values(built),
+            checks.unique_combination(built), checks.relationships(built),
+        ])
+        for r in single.collect():
+            assert found.pop((r.check_id, r.table_name, r.column_name)) == r.failures, r
+        assert {i: n for (i, _, _), n in found.items()} == {
+            "Q19": quality.paid_missing_usd(built["stg_invoices"]).count(),
+            "Q20": quality.negative_missing_usd(built["stg_invoices"]).count(),
+            "Q21": quality.balance_consistency(built[checks.FACT]).count(),
+        }
+
+
 STATUS = st.sampled_from(["paid", "paid", "credited", "refunded", "open"])
 MOVE = st.tuples(
     st.sampled_from(["A", "B", "C", None]), STATUS,
