@@ -301,6 +301,7 @@ def oracle_sql() -> dict[str, str]:
              || '.' || LPAD(CAST({shown_pct} % 100 AS VARCHAR), 2, '0') || '%')
           END AS change_display
         FROM changes WHERE {_ALERT}"""
+    suite = union(not_null + unique + domain + grain + rows + parents)
     return {
         "scan_invoices": _with(RAW_INVOICES) + " SELECT * FROM raw_invoices",
         "scan_organizations": _with(RAW_ORGANIZATIONS) + " SELECT * FROM raw_organizations",
@@ -331,6 +332,7 @@ def oracle_sql() -> dict[str, str]:
         + " SELECT snapshot_date, organization_id FROM calendar",
         "daily_net_filled": snapshot + " SELECT * FROM filled",
         fact: snapshot + " SELECT * FROM snapshot",
+        "fct_snapshot_by_scaffold": snapshot + " SELECT * FROM snapshot",
         "latest_snapshot_date": snapshot
         + " SELECT MAX(snapshot_date) AS latest_snapshot_date FROM snapshot",
         "balance_day_pairs": pairs + " SELECT * FROM pairs",
@@ -349,5 +351,6 @@ def oracle_sql() -> dict[str, str]:
         "dq_negative_missing_usd": invoices + negative_gap,
         "dq_balance_consistency": snapshot + fallen,
         "dq_relationships": union(parents),
-        "dq_suite": union(not_null + unique + domain + grain + rows + parents),
+        "dq_stored_suite": suite,
+        "dq_suite": suite,
     }

@@ -1,10 +1,12 @@
 """Batch jobs: ``python -m ledgerfold`` or ``spark-submit``.
 
-    ingest  CSV files          -> raw parquet table
-    build   raw tables         -> stored marts
+    ingest  CSV files          -> raw parquet table, or a catalog table with comments
+    build   raw tables         -> stored marts, in a folder or a database
     check   raw tables, marts  -> quality report, exit code 1 if a check fails
     alerts  stored marts       -> alerts of their latest day and a summary row,
                                   exit code 2 if there is no day to look at
+
+Raw tables are given by folder, or by name as ``database.table``.
 """
 
 from __future__ import annotations
@@ -19,37 +21,48 @@ from ledgerfold.functions.change import THRESHOLD_PERCENT
 from ledgerfold.operators.alerts import alert_summary, balance_change_alerts, balance_day_pairs
 from ledgerfold.plans import checks, tables
 from ledgerfold.schemas import RAW_INVOICES, RAW_ORGANIZATIONS
-from ledgerfold.sources import marts, raw
+from ledgerfold.sources import catalog, marts, raw
 
 
 def _raw_tables(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame]:
     return tables.build_tables(
-        raw.read_invoices(spark, args.invoices),
-        raw.read_organizations(spark, args.organizations),
+        raw.read_table(spark, args.invoices, RAW_INVOICES),
+        raw.read_table(spark, args.organizations, RAW_ORGANIZATIONS),
         args.as_of,
     )
 
 
+def _marts(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame]:
+    return catalog.load(spark, args.database) if args.database else marts.load(spark, args.marts)
+
+
 def ingest(spark: SparkSession, args: argparse.Namespace) -> int:
     schema = RAW_INVOICES if args.table == "invoices" else RAW_ORGANIZATIONS
-    raw.ingest_csv(spark, args.csv, args.out, schema)
+    if args.database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {args.database}")
+        catalog.save_table(raw.read_csv(spark, args.csv, schema), f"{args.database}.raw_{args.table}")
+    else:
+        raw.ingest_csv(spark, args.csv, args.out, schema)
     return 0
 
 
 def build(spark: SparkSession, args: argparse.Namespace) -> int:
-    marts.refresh(_raw_tables(spark, args), args.as_of, args.out)
+    if args.database:
+        catalog.refresh(_raw_tables(spark, args), args.as_of, args.database)
+    else:
+        marts.refresh(_raw_tables(spark, args), args.as_of, args.out)
     return 0
 
 
 def check(spark: SparkSession, args: argparse.Namespace) -> int:
-    stored = {**_raw_tables(spark, args), **marts.load(spark, args.marts)}
+    stored = {**_raw_tables(spark, args), **_marts(spark, args)}
     report = checks.run_suite(stored, args.relationships)
     marts.write_table(report, args.out)
     return 0 if spark.read.parquet(args.out).where("NOT passed").isEmpty() else 1
 
 
 def alerts(spark: SparkSession, args: argparse.Namespace) -> int:
-    stored = marts.load(spark, args.marts)
+    stored = _marts(spark, args)
     pairs = balance_day_pairs(stored[marts.FACT], stored[marts.LATEST].scalar())
     marts.write_table(balance_change_alerts(pairs, args.threshold), f"{args.out}/alerts")
     marts.write_table(alert_summary(pairs, args.threshold), f"{args.out}/summary")
@@ -66,7 +79,13 @@ def _parser() -> argparse.ArgumentParser:
     def command(job) -> argparse.ArgumentParser:
         sub = commands.add_parser(job.__name__)
         sub.set_defaults(job=job)
-        sub.add_argument("--out", required=True, help="table or folder to replace")
+        reads_marts = job in (check, alerts)
+        place = sub if reads_marts else sub.add_mutually_exclusive_group(required=True)
+        place.add_argument("--out", required=reads_marts, help="folder to replace")
+        if reads_marts:
+            place = sub.add_mutually_exclusive_group(required=True)
+            place.add_argument("--marts", help="folder written by build")
+        place.add_argument("--database", help="database of catalog tables")
         return sub
 
     sub = command(ingest)
@@ -78,10 +97,8 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--organizations", required=True)
         sub.add_argument("--as-of", type=date.fromisoformat, required=True,
                          help="the day after the last one; nothing reads the clock")
-    sub.add_argument("--marts", required=True, help="folder written by build")
     sub.add_argument("--relationships", action="store_true")
     sub = command(alerts)
-    sub.add_argument("--marts", required=True, help="folder written by build")
     sub.add_argument("--threshold", type=Decimal, default=THRESHOLD_PERCENT)
     return parser
 

@@ -78,7 +78,9 @@ TABLE_COMMENTS: dict[str, str] = {
     "raw_organizations": "Organisations as delivered",
     "stg_organizations": "Organisations with typed and renamed columns",
     "stg_invoices": "Invoices with typed columns and USD amounts",
+    "int_daily_activity": "One row per organisation and day with movements",
     "dim_organizations": "One row per organisation",
+    "latest_snapshot_date": "The latest day of the snapshot, one row",
     "fct_daily_financial_snapshot": "One row per organisation and day with its running balance",
 }
 

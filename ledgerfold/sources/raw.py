@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,13 @@ def read_organizations(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_ORGANIZATIONS).parquet(path)
 
 
+def read_table(spark: SparkSession, place: str, schema: T.StructType) -> DataFrame:
+    """A raw table by its path, or by its name in the catalog, ``database.table``."""
+    if re.fullmatch(r"\w+\.\w+", place):
+        return spark.table(place).select(*schema.names)
+    return spark.read.schema(schema).parquet(place)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read headed CSV files as text and cast strictly to ``schema``.
 

@@ -55,6 +55,25 @@ def test_jobs(spark, folder):
     }
 
 
+def test_jobs_on_tables_by_name(spark, folder):
+    db = ["--database", "ledger_jobs"]
+    assert main(["ingest", "--csv", f"{folder}/csv/*.csv", *db]) == 0
+    assert main(["ingest", "--table", "organizations", "--csv", f"{folder}/orgs.csv", *db]) == 0
+    sources = ["--invoices", "ledger_jobs.raw_invoices", "--organizations", "ledger_jobs.raw_organizations",
+               "--as-of", golden.AS_OF.isoformat()]
+    assert main(["build", *sources, *db]) == 0
+    assert main(["check", *sources, *db, "--relationships", "--out", f"{folder}/db-report"]) == 1
+    assert main(["alerts", *db, "--out", f"{folder}/db-out"]) == 0
+    failing = spark.read.parquet(f"{folder}/db-report").where("NOT passed").collect()
+    assert {(r.check_id, r.failures) for r in failing} == {
+        ("Q07", 1), ("Q16", 7), ("Q19", 4), ("Q20", 1), ("Q22", 3), ("Q23", 3)
+    }
+    rows = spark.read.parquet(f"{folder}/db-out/alerts").collect()
+    assert {r.organization_id for r in rows} == {NUMBER[org] for org in golden.ALERTS}
+    described = spark.sql("DESCRIBE EXTENDED ledger_jobs.raw_invoices").collect()
+    assert any("Invoices as delivered" in (r.data_type or "") for r in described)
+
+
 def test_alerts_without_a_day(spark, folder):
     early = ["--invoices", f"{folder}/inv", "--organizations", f"{folder}/orgs", "--as-of", "2020-01-01"]
     assert main(["build", *early, "--out", f"{folder}/none"]) == 0

@@ -16,7 +16,7 @@ from ledgerfold.operators.balances import daily_activity
 from ledgerfold.plans import checks
 from ledgerfold.plans import tables as plans
 from ledgerfold.schemas import RAW_INVOICES, RAW_ORGANIZATIONS
-from ledgerfold.sources import marts, raw
+from ledgerfold.sources import catalog, marts, raw
 from ledgerfold.sources.workspace import shared_folder
 
 HEADER = ",".join(f.name for f in RAW_INVOICES)
@@ -180,12 +180,52 @@ def test_refresh_and_views(spark, tmp_path):
     assert str(spark.table("int_global_min_invoice_date").first()[0]) == "2024-01-03"
 
 
+def test_catalog_marts(spark):
+    """Bucketed tables behind views: the same checks, without a shuffle of the snapshot."""
+    orgs = spark.createDataFrame(
+        [("A", None, None, 840, 0, None)],
+        "ORGANIZATION_ID string, FIRST_PAYMENT_DATE date, LAST_PAYMENT_DATE date, "
+        "LEGAL_ENTITY_COUNTRY_CODE int, COUNT_TOTAL_CONTRACTS_ACTIVE long, CREATED_DATE timestamp_ntz",
+    )
+    as_of = golden.AS_OF.replace(month=3)
+    built = plans.build_tables(golden.raw_invoices(spark), orgs, as_of)
+    for _ in range(3):
+        stored = catalog.refresh(built, as_of, "catalog_marts", buckets=4)
+    names = {t.name for t in spark.catalog.listTables("catalog_marts")}
+    assert {f"{checks.FACT}{v}" for v in ("", "_v2", "_v3")} == {n for n in names if checks.FACT in n}
+    fact = stored[checks.FACT]
+    assert by_key(fact.drop(marts.MONTH)) == by_key(built[checks.FACT])
+    assert stored["latest_snapshot_date"].first()[0] == as_of - timedelta(days=1)
+    assert by_key(checks.run_suite(stored, True)) == by_key(checks.run_suite(built, True))
+    report = checks.snapshot_checks(stored, with_relationships=False)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and plan.count("Exchange ") == plan.count("Exchange SinglePartition") == 1
+    pairs = alerts.balance_day_pairs(fact, stored["latest_snapshot_date"].scalar())
+    assert by_key(pairs) == by_key(plans.latest_pairs(built["stg_invoices"], as_of))
+    described = {r.col_name: (r.comment or "") + (r.data_type or "")
+                 for r in spark.sql(f"DESCRIBE EXTENDED catalog_marts.{checks.FACT}").collect()}
+    assert "Day of the balance" in described["snapshot_date"]
+    assert "One row per organisation and day" in described["Comment"]
+
+
+def test_buckets_follow_the_size(spark, monkeypatch):
+    days = daily_activity(staging.stg_invoices(golden.raw_invoices(spark)))
+    as_of = golden.AS_OF.replace(year=2030)
+    assert catalog.bucket_count(days, as_of) == 1
+    monkeypatch.setattr(catalog, "ROWS_PER_FILE", 100)
+    organizations = days.select("organization_id").distinct().count()
+    assert catalog.bucket_count(days, as_of) == organizations * 30 // 100  # some thirty days a month
+    monkeypatch.setattr(catalog, "ROWS_PER_FILE", 1)
+    assert catalog.bucket_count(days, as_of) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert catalog.bucket_count(days.limit(0), as_of) == 1
+
+
 def test_catalog_table_keeps_comments(spark):
     stg = staging.stg_invoices(golden.raw_invoices(spark))
     spark.sql("CREATE DATABASE IF NOT EXISTS marts_test")
     name = "marts_test.fct_daily_financial_snapshot"
-    marts.save_table(plans.daily_snapshot(stg, golden.AS_OF), name)
-    marts.save_table(plans.daily_snapshot(stg, golden.AS_OF), name)
+    catalog.save_table(plans.daily_snapshot(stg, golden.AS_OF), name)
+    catalog.save_table(plans.daily_snapshot(stg, golden.AS_OF), name)
     assert spark.table(name).count() == 39
     described = spark.sql(f"DESCRIBE EXTENDED {name}").collect()
     text = {r.col_name: (r.comment or "") + (r.data_type or "") for r in described}
