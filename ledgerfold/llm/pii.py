@@ -179,7 +179,8 @@ def term_lines(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for text in batch.column(0):
                 for line in (text.as_py() or "").split("\n"):
-                    counts.update(set(TERM.findall(line.lower())))
+                    # Found first, as lowering may add marks that are no letters.
+                    counts.update({term.lower() for term in TERM.findall(line)})
                 if len(counts) >= TERMS_AT_ONCE:
                     yield rows(counts)
                     counts.clear()

@@ -58,6 +58,17 @@ def test_terms_that_disclose(spark):
     assert "x.y@mail.org" not in clean and "Zorblax" not in clean and "[email]" in clean
 
 
+def test_terms_whose_lower_case_has_marks(spark):
+    rows = [(i, f"number{chr(97 + i)} Zeynep İZMİRLİ wrote x.y@mail.org") for i in range(9)]
+    rows += [(100 + i, f"plain line {chr(97 + i)}") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    terms = Counter(
+        rows[r.doc_id][1][s.start:s.end] for r in pii.personal_data(docs).where("doc_id < 9").collect()
+        for s in r.spans if s.kind >= 4
+    )
+    assert terms["İZMİRLİ"] == terms["Zeynep"] == 9
+
+
 def test_tree_follows_random_edits():
     encoder = token_counts.Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     rng = random.Random(7)
