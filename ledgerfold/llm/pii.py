@@ -1,13 +1,22 @@
 """Personal data: patterns, and information-theoretic sanitisation of terms around them.
 
 Emails, IP addresses, cards and phone numbers are found by fixed patterns. Each
-value found is a protected entity. Terms near it on the same line are judged by how
-much they disclose: with counts over all lines, the pointwise mutual information
-PMI(entity; term) = log(lines * both / (entity * term)) over the entity's own
-information content log(lines / entity) is the share of it that the term gives
-away. A term that occurs with an entity on ``support`` different lines and discloses
-at least ``generalise`` of it is generalised there, at least ``remove`` removed.
-Equal lines count once towards support, so copies of a text are no evidence.
+value found is a protected entity. Terms are judged by how much they disclose, once
+with counts over all lines and once with counts over all documents: the pointwise
+mutual information PMI(entity; term) = log(units * both / (entity * term)) over the
+entity's own information content log(units / entity) is the share of it that the
+term gives away. A term that occurs with an entity in ``support`` different lines, or
+in as many different documents, and discloses at least ``generalise`` of it by those
+counts is generalised, at least ``remove`` removed, wherever it stands: without the
+value beside it, it discloses most. Equal lines and equal texts count once towards
+support, so copies of a text are no evidence.
+
+A term is a run of letters and digits of any length, in lower case; in Chinese and
+Japanese letters and Korean syllables, which are written without blanks or with
+endings, every two neighbours.
+
+Pairs are made only for entities with enough support, and terms are counted and
+placed only where a bitmap of fixed size may hold them; joins on the term then decide.
 """
 
 from __future__ import annotations
@@ -15,7 +24,9 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
+from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -33,10 +44,12 @@ DIGITS = re.compile(r"[0-9]+")
 IP_REST = re.compile(r"(?:\.[0-9]+){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-TERM = re.compile(r"[^\W\d_]{4,}")
+UNSPACED = "\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff"
+WORD = re.compile(rf"[^\W_{UNSPACED}]+")
+RUN = re.compile(rf"[{UNSPACED}]+")
 
-SUPPORT, GENERALISE, REMOVE, NEAR = 3, 0.7, 0.9, 80
-TERMS_AT_ONCE = 1 << 18
+SUPPORT, GENERALISE, REMOVE = 3, 0.7, 0.9
+TERMS_AT_ONCE, PAIRS_AT_ONCE, BUCKETS = 1 << 18, 1 << 16, 1 << 20
 
 Span = tuple[int, int, int]
 
@@ -107,8 +120,23 @@ def base_spans(text: str) -> list[Span]:
     return sorted(spans)
 
 
-def _contexts(text: str, spans: list[Span]) -> list[dict]:
-    """For each entity on a line: itself (term empty), and each term near it with its places."""
+def _neighbours(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, term) of every two neighbours of the runs without blanks, and of runs of one."""
+    out = []
+    for run in RUN.finditer(text) if not text.isascii() else ():
+        first, last = run.span()
+        out += [(a, a + 2, text[a:a + 2]) for a in range(first, last - 1)] or [(first, last, run[0])]
+    return out
+
+
+def terms(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, term) of every term."""
+    # Found first, as lowering may add marks that are no letters.
+    return [(*m.span(), m[0].lower()) for m in WORD.finditer(text)] + _neighbours(text)
+
+
+def _outside(text: str, spans: list[Span]) -> list[tuple[int, int, str]]:
+    """The terms that touch none of the spans."""
     starts, ends = [], []  # of the spans, merged
     for start, _, end in spans:
         if ends and start < ends[-1]:
@@ -116,107 +144,260 @@ def _contexts(text: str, spans: list[Span]) -> list[dict]:
         else:
             starts.append(start)
             ends.append(end)
-    out: dict[tuple, set] = {}
-    first = last = line = -1
-    for start, kind, end in spans:
-        if start > last:
-            first, last = text.rfind("\n", max(last, 0), start) + 1 or max(last + 1, 0), text.find("\n", end)
-            last = len(text) if last < 0 else last
-            line = xxhash.xxh64_intdigest(text[first:last]) - (1 << 63)
-        entity = (first, line, BASE[kind], text[start:end])
-        out.setdefault((*entity, ""), set())
-        low, high = max(first, start - NEAR), min(last, end + NEAR)
-        for term in TERM.finditer(text, low, high):
-            a, b = term.span()
-            cut = (a == low > first and text[a - 1].isalpha()) or (b == high < last and text[b].isalpha())
-            before = bisect_left(starts, b) - 1
-            if not cut and (before < 0 or ends[before] <= a):
-                out.setdefault((*entity, term[0].lower()), set()).add((a, b))
-    return [
-        {"line": line, "kind": kind, "value": value, "term": term,
-         "places": [{"start": a, "end": b} for a, b in sorted(places)]}
-        for (_, line, kind, value, term), places in out.items()
-    ]
+    out = []
+    for a, b, term in terms(text):
+        before = bisect_left(starts, b) - 1
+        if before < 0 or ends[before] <= a:
+            out.append((a, b, term))
+    return out
+
+
+def _hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text) - (1 << 63)
+
+
+def _lines(text: str, spans: list[Span]) -> list[tuple[int, int]]:
+    """Start and end of the line of each span, as far as the line in which the span ends."""
+    out = []
+    for start, _, end in spans:
+        last = text.find("\n", end)
+        out.append((text.rfind("\n", 0, start) + 1, len(text) if last < 0 else last))
+    return out
 
 
 SPAN = "struct<start: long, kind: int, end: long>"
-CONTEXT = "struct<line: long, kind: string, value: string, term: string, places: array<struct<start: long, end: long>>>"
 _SPAN = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
-_CONTEXT = pa.struct([
-    ("line", pa.int64()), ("kind", pa.string()), ("value", pa.string()), ("term", pa.string()),
-    ("places", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+_VALUE = pa.struct([("kind", pa.string()), ("value", pa.string()), ("line", pa.int64())])
+_PLACES = pa.struct([
+    ("term", pa.string()), ("places", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
 ])
 
 
 def found_in(docs: DataFrame) -> DataFrame:
-    """doc_id, n_lines, spans and contexts of every row."""
+    """n_lines, twin (a hash of the text), text and values of every row; the text only where it has values."""
 
     def find(batches):
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            spans = [base_spans(t) for t in texts]
-            contexts = [_contexts(t, s) if s else [] for t, s in zip(texts, spans)]
+            texts = [t or "" for t in batch.column(0).to_pylist()]
+            values = []
+            for text in texts:
+                spans = base_spans(text)
+                values.append([
+                    {"kind": kind, "value": value, "line": line} for kind, value, line in dict.fromkeys(
+                        (BASE[kind], text[start:end], _hash(text[first:last]))
+                        for (start, kind, end), (first, last) in zip(spans, _lines(text, spans))
+                    )
+                ])
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
                     pa.array([t.count("\n") + 1 for t in texts], pa.int64()),
-                    pa.array([[dict(zip(("start", "kind", "end"), x)) for x in s] for s in spans], pa.list_(_SPAN)),
-                    pa.array(contexts, pa.list_(_CONTEXT)),
+                    pa.array([_hash(t) for t in texts], pa.int64()),
+                    pa.array([t if v else None for t, v in zip(texts, values)], pa.string()),
+                    pa.array(values, pa.list_(_VALUE)),
                 ],
-                names=["doc_id", "n_lines", "spans", "contexts"],
+                names=["n_lines", "twin", "text", "values"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        find, f"doc_id long, n_lines long, spans array<{SPAN}>, contexts array<{CONTEXT}>"
+    return docs.select("text").mapInArrow(
+        find, "n_lines long, twin long, text string, values array<struct<kind: string, value: string, line: long>>"
     )
 
 
-def term_lines(docs: DataFrame) -> DataFrame:
-    """(term, lines): in how many lines of all texts a term occurs. Summed in each task first."""
+PAIRS = "by string, unit long, kind string, value string, term string, n long"
+
+
+def together(found: DataFrame, support: int = SUPPORT) -> DataFrame:
+    """(by, kind, value, term, support, both): in how many lines and documents an entity and a term occur.
+
+    ``by`` is line or document. The row of an entity itself has the empty term.
+    """
+    values = found.select("twin", F.inline("values"))
+    common = values.groupBy("kind", "value").agg(
+        F.count_distinct("line").alias("lines"), F.count_distinct("twin").alias("texts")
+    ).where((F.col("lines") >= support) | (F.col("texts") >= support)).select("kind", "value")
+    entities = values.join(common, ["kind", "value"]).groupBy("twin").agg(
+        F.collect_set(F.struct("kind", "value")).alias("entities")
+    )
+    texts = found.where("text is not null").groupBy("twin").agg(
+        F.first("text").alias("text"), F.count(F.lit(1)).alias("copies")
+    ).join(entities, "twin").select("twin", "text", "copies", "entities")
+
+    def pair(batches):
+        rows: list[tuple] = []
+        for batch in batches:
+            for twin, text, copies, entities in zip(*[c.to_pylist() for c in batch.columns]):
+                for row in pairs(twin, text, copies, {(e["kind"], e["value"]) for e in entities}):
+                    rows.append(row)
+                    if len(rows) >= PAIRS_AT_ONCE:
+                        yield of_rows(rows)
+                        rows = []
+        yield of_rows(rows)
+
+    def pairs(twin, text, copies, entities):
+        spans = base_spans(text)
+        outside = _outside(text, spans)
+        ordered = sorted(outside)
+        starts = [a for a, _, _ in ordered]
+        whole = {term for _, _, term in outside}
+        for kind, value in entities:
+            yield "document", twin, kind, value, "", copies
+            for term in whole:
+                yield "document", twin, kind, value, term, copies
+        by_line: dict[tuple[int, int], set] = {}
+        for (start, kind, end), place in zip(spans, _lines(text, spans)):
+            if (BASE[kind], text[start:end]) in entities:
+                by_line.setdefault(place, set()).add((BASE[kind], text[start:end]))
+        for (first, last), own in by_line.items():
+            line = _hash(text[first:last])
+            beside = {t for _, _, t in ordered[bisect_left(starts, first):bisect_left(starts, last)]}
+            for kind, value in own:
+                yield "line", line, kind, value, "", copies
+                for term in beside:
+                    yield "line", line, kind, value, term, copies
+
+    def of_rows(rows):
+        columns = list(zip(*rows)) or [()] * 6
+        types = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64()]
+        names = ["by", "unit", "kind", "value", "term", "n"]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+
+    per_unit = texts.mapInArrow(pair, PAIRS).groupBy("by", "kind", "value", "term", "unit").agg(F.sum("n").alias("n"))
+    return per_unit.groupBy("by", "kind", "value", "term").agg(
+        F.count(F.lit(1)).alias("support"), F.sum("n").alias("both")
+    ).where(F.col("support") >= support)
+
+
+def _bitmap(some: DataFrame):
+    """Broadcast bytes that are 1 at the hash of every term of ``some``."""
+    bits = np.zeros(BUCKETS, np.uint8)
+    rows = some.select(F.crc32(F.encode("term", "utf-8")).bitwiseAND(F.lit(BUCKETS - 1)).alias("bucket"))
+    for batch in rows.distinct().toArrow().to_batches():
+        bits[batch.column(0).to_numpy()] = 1
+    return some.sparkSession.sparkContext.broadcast(bits.tobytes())
+
+
+class _Wanted(dict):
+    """The term of a spelling where its bit is set, else None; spellings met are remembered."""
+
+    def __init__(self, bits: bytes):
+        self.bits, self.any = bits, 1 in bits
+
+    def __missing__(self, word: str) -> str | None:
+        term = word.lower()
+        self[word] = found = term if self.bits[crc32(term.encode()) & (BUCKETS - 1)] else None
+        return found
+
+    def of(self, text: str) -> set[str]:
+        if not self.any:
+            return set()
+        if len(self) > TERMS_AT_ONCE:
+            self.clear()
+        out = {self[word] for word in {*WORD.findall(text), *[t for _, _, t in _neighbours(text)]}}
+        out.discard(None)
+        return out
+
+
+def term_counts(docs: DataFrame, some: DataFrame) -> DataFrame:
+    """(term, lines, documents): in how many of each a term occurs. Summed in each task first.
+
+    Has every term of ``some``, and may have others.
+    """
+    wanted = _bitmap(some)
 
     def count(batches):
-        counts: Counter = Counter()
+        lines: Counter = Counter()
+        documents: Counter = Counter()
+        known = _Wanted(wanted.value)
         for batch in batches:
-            for text in batch.column(0):
+            for text in batch.column(0) if known.any else ():
+                whole = set()
                 for line in (text.as_py() or "").split("\n"):
-                    # Found first, as lowering may add marks that are no letters.
-                    counts.update({term.lower() for term in TERM.findall(line)})
-                if len(counts) >= TERMS_AT_ONCE:
-                    yield rows(counts)
-                    counts.clear()
-        yield rows(counts)
-
-    def rows(counts):
+                    own = known.of(line)
+                    lines.update(own)
+                    whole |= own
+                documents.update(whole)
+                if len(documents) >= TERMS_AT_ONCE:
+                    yield rows(lines, documents)
+                    lines.clear(), documents.clear()
+        yield rows(lines, documents)
+
+    def rows(lines, documents):
         return pa.RecordBatch.from_arrays(
-            [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())],
-            names=["term", "lines"],
+            [pa.array(documents.keys(), pa.string()), pa.array([lines[t] for t in documents], pa.int64()),
+             pa.array(documents.values(), pa.int64())],
+            names=["term", "lines", "documents"],
         )
 
-    counted = docs.select("text").mapInArrow(count, "term string, lines long")
-    return counted.groupBy("term").agg(F.sum("lines").alias("lines"))
+    counted = docs.select("text").mapInArrow(count, "term string, lines long, documents long")
+    return counted.groupBy("term").agg(F.sum("lines").alias("lines"), F.sum("documents").alias("documents"))
 
 
 def disclosures(
-    contexts: DataFrame, terms: DataFrame, n_lines: Column,
-    support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE,
+    pairs: DataFrame, counts: DataFrame, n_lines: Column, n_documents: Column,
+    generalise: float = GENERALISE, remove: float = REMOVE,
 ) -> DataFrame:
-    """Terms that disclose an entity: kind, value, term, share disclosed, level (a kind's number)."""
-    per_line = contexts.groupBy("kind", "value", "term", "line").agg(F.count(F.lit(1)).alias("n"))
-    pairs = per_line.groupBy("kind", "value", "term").agg(
-        F.count(F.lit(1)).alias("support"), F.sum("n").alias("both")
-    ).where(F.col("support") >= support)
-    entities = pairs.where("term = ''").select("kind", "value", F.col("both").alias("entity"))
-    judged = pairs.where("term != ''").join(entities, ["kind", "value"]).join(terms, "term")
-    content = F.log(n_lines / F.col("entity"))
-    pmi = F.log(n_lines * F.col("both") / (F.col("entity") * F.col("lines")))
+    """Terms that disclose an entity: by, kind, value, term, share disclosed, level (a kind's number)."""
+    entities = pairs.where("term = ''").select("by", "kind", "value", F.col("both").alias("entity"))
+    judged = pairs.where("term != ''").join(entities, ["by", "kind", "value"]).join(counts, "term")
+    by_line = F.col("by") == "line"
+    units = F.when(by_line, n_lines).otherwise(n_documents)
+    occurs = F.when(by_line, F.col("lines")).otherwise(F.col("documents"))
+    content = F.log(units / F.col("entity"))
+    pmi = F.log(units * F.col("both") / (F.col("entity") * occurs))
     share = F.when(content > 0, pmi / content)
-    return judged.select("kind", "value", "term", share.alias("share")).where(
+    return judged.select("by", "kind", "value", "term", share.alias("share")).where(
         F.col("share") >= generalise
     ).withColumn(
         "level", F.when(F.col("share") >= remove, KINDS.index("remove")).otherwise(KINDS.index("generalise"))
     )
 
 
+def placed_in(docs: DataFrame, some: DataFrame) -> DataFrame:
+    """doc_id, spans and the places of terms of every row; has all places of the terms of ``some``, and may have others."""
+    wanted = _bitmap(some)
+
+    def places(text, spans, known):
+        own, out = known.of(text), {}
+        if own:
+            for a, b, term in _outside(text, spans):
+                if term in own:
+                    out.setdefault(term, []).append({"start": a, "end": b})
+        return [{"term": term, "places": at} for term, at in out.items()]
+
+    def place(batches):
+        known = _Wanted(wanted.value)
+        for batch in batches:
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            spans = [base_spans(t) for t in texts]
+            terms = [places(t, s, known) for t, s in zip(texts, spans)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array([[dict(zip(("start", "kind", "end"), x)) for x in s] for s in spans], pa.list_(_SPAN)),
+                    pa.array(terms, pa.list_(_PLACES)),
+                ],
+                names=["doc_id", "spans", "terms"],
+            )
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        place,
+        f"doc_id long, spans array<{SPAN}>,"
+        " terms array<struct<term: string, places: array<struct<start: long, end: long>>>>",
+    )
+
+
+def flagged_terms(
+    docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE
+) -> DataFrame:
+    """The rows of ``disclosures`` for ``docs``, from a written table."""
+    folder = shared_folder(docs.sparkSession)
+    found = written(found_in(docs), f"{folder}/found")
+    pairs = written(together(found, support), f"{folder}/pairs")
+    n_lines, n_documents = found.agg(F.sum("n_lines")).scalar(), found.agg(F.count(F.lit(1))).scalar()
+    counts = term_counts(docs, pairs.where("term != ''"))
+    return written(disclosures(pairs, counts, n_lines, n_documents, generalise, remove), f"{folder}/flagged")
+
+
 def personal_data(
     docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE
 ) -> DataFrame:
@@ -227,25 +408,17 @@ def personal_data(
     repeat a doc_id are judged each. An empty table gives no rows. Other columns of
     ``docs`` are not read, whatever their names.
     """
-    folder = shared_folder(docs.sparkSession)
-    found = written(
-        found_in(docs).withColumn("uid", F.monotonically_increasing_id()), f"{folder}/found"
-    )
-    contexts = found.select("uid", F.inline("contexts"))
-    n_lines = found.agg(F.sum("n_lines")).scalar()
-    flagged = written(
-        disclosures(contexts, term_lines(docs), n_lines, support, generalise, remove), f"{folder}/flagged"
-    )
-    terms = (
-        contexts.join(flagged.select("kind", "value", "term", "level"), ["kind", "value", "term"])
+    flagged = flagged_terms(docs, support, generalise, remove).groupBy("term").agg(F.max("level").alias("level"))
+    placed = written(placed_in(docs, flagged).withColumn("uid", F.monotonically_increasing_id()))
+    more = (
+        placed.select("uid", F.inline("terms")).join(flagged, "term")
         .select("uid", "level", F.inline("places"))
-        .groupBy("uid", "start", "end").agg(F.max("level").alias("level"))
         .groupBy("uid")
         .agg(F.collect_list(F.struct("start", F.col("level").alias("kind"), "end")).alias("more"))
     )
-    joined = found.select("uid", "doc_id", "spans").join(terms, "uid", "left")
-    more = F.coalesce("more", F.array().cast(f"array<{SPAN}>"))
-    return joined.select("doc_id", F.array_sort(F.concat("spans", more)).alias("spans"))
+    joined = placed.select("uid", "doc_id", "spans").join(more, "uid", "left")
+    added = F.coalesce("more", F.array().cast(f"array<{SPAN}>"))
+    return joined.select("doc_id", F.array_sort(F.concat("spans", added)).alias("spans"))
 
 
 def span_text(spans: Column) -> Column:

@@ -69,6 +69,22 @@ def test_terms_whose_lower_case_has_marks(spark):
     assert terms["İZMİRLİ"] == terms["Zeynep"] == 9
 
 
+def _flagged(spark, rows):
+    found = pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    return {r.doc_id: {rows[r.doc_id][1][s.start:s.end] for s in r.spans if s.kind >= 4} for r in found}
+
+
+def test_terms_of_any_length_in_the_whole_document(spark):
+    fill = " ".join(["lorem"] * 30)
+    rows = [(i, f"note {chr(97 + i)}{i} by Li and 王小明\nuser77 {fill} x.y@mail.org\nend") for i in range(6)]
+    rows += [(6, "Li and 王小明 met user77"), (7, "nobody met")]
+    rows += [(8 + i, f"plain lorem line {i}, end and note by the way") for i in range(60)]
+    terms = _flagged(spark, rows)
+    for i in range(6):
+        assert {"Li", "王小", "小明", "user77"} <= terms[i] and not terms[i] & {"lorem", "end", "and"}
+    assert terms[6] == {"Li", "王小", "小明", "user77"} and not terms[7] and not terms[8]
+
+
 def test_tree_follows_random_edits():
     encoder = token_counts.Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     rng = random.Random(7)
