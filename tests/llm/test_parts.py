@@ -85,6 +85,13 @@ def test_terms_of_any_length_in_the_whole_document(spark):
     assert terms[6] == {"Li", "王小", "小明", "user77"} and not terms[7] and not terms[8]
 
 
+def test_a_line_copied_into_different_documents_is_evidence(spark):
+    rows = [(i, f"text {chr(97 + i)}\nJane Roe <j@x.org>") for i in range(9)]
+    rows += [(9 + i, f"text {i}\nplain") for i in range(40)]
+    terms = _flagged(spark, rows)
+    assert all(terms[i] == {"Jane", "Roe"} for i in range(9)) and not terms[10]
+
+
 def test_tree_follows_random_edits():
     encoder = token_counts.Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     rng = random.Random(7)
