@@ -1,15 +1,16 @@
 """Mixing sources to target weights with Pfair scheduling.
 
-A source is cut into blocks of ``block_size``. With weight w, its block k (from 0)
-is released at slot floor(k / w) and due by slot ceil((k + 1) / w). The blocks
-released are taken earliest deadline first; as the weights sum to one, every
-deadline is met, so after any number of slots each source has had its share to
-within less than one block.
-
-Weights are multiples of 1 / ``period``, so the schedule repeats: one period is
-made on the driver and the slot of any block follows from it. When a source ends,
-the others go on with weights scaled up, which begins a new phase. Every row is
-placed; none is dropped or repeated.
+A source is cut into blocks of ``block_size``. In the fluid mix, all sources that have
+not ended are read at once, each at a rate in proportion to its target; block k (from
+0) of a source is read there from slot S(k / target) to S((k + 1) / target), where
+S(v) = sum over the sources of min(target * v, blocks). A block is released at the
+slot in which the fluid mix begins it and due by the one in which that ends it. The
+blocks released are taken earliest deadline first; as the fluid mix fills every slot
+exactly, every deadline is met, so after any number of slots each source has had its
+share to within less than one block. When a source ends, S goes on with the others at
+higher rates. Every row is placed; none is dropped or repeated.
+
+Targets are used as they are. The schedule is made on the driver, a number per block.
 
 Within a source, rows follow one another by a hash of their doc_id. Sizes are
 summed per run of hashes, so that a source with a third of all rows is spread over
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from ledgerfold.sources.workspace import written
 
 PERIOD, BLOCK_SIZE, MAX_SOURCES, RUN_ROWS = 1000, 1 << 16, 256, 512
+ROUNDING = 1e-6  # slots by which bounds may miss a whole number
 
 
 def period_shares(weights: Sequence[float], period: int = PERIOD) -> list[int]:
@@ -44,55 +46,61 @@ def period_shares(weights: Sequence[float], period: int = PERIOD) -> list[int]:
     return shares
 
 
-def schedule(shares: Sequence[int]) -> list[int]:
-    """The source of every slot of one period, earliest deadline first."""
-    period = sum(shares)
-    future = [(0, i, 0) for i in range(len(shares))]  # release, source, block
+def fluid_bounds(blocks: Sequence[int], targets: Sequence[float]) -> list[np.ndarray]:
+    """For each source the slots, as floats, at which the fluid mix ends its first 0, 1, 2, ... blocks."""
+    if not len(targets) or min(targets) <= 0:
+        raise ValueError("need targets above 0")
+    blocks, targets = np.asarray(blocks, np.int64), np.asarray(targets, np.float64)
+    order = np.argsort(blocks / targets, kind="stable")
+    ends = (blocks / targets)[order]
+    ended = np.concatenate([[0], np.cumsum(blocks[order])])  # blocks of the sources that ended first
+    rates = np.concatenate([np.cumsum(targets[order][::-1])[::-1], [0.0]])  # of the others
+    out = []
+    for n, target in zip(blocks, targets):
+        v = np.arange(n + 1) / target
+        gone = np.searchsorted(ends, v, "left")
+        slots = ended[gone] + v * rates[gone]
+        near = np.rint(slots)
+        out.append(np.where(np.abs(slots - near) < ROUNDING, near, slots))
+    return out
+
+
+def schedule(blocks: Sequence[int], targets: Sequence[float] | None = None) -> list[int]:
+    """The source of every slot, earliest deadline first; targets are the numbers of blocks if not given.
+
+    Rounding of the bounds cannot make a deadline pass: between any two slots it would
+    have to add a whole block.
+    """
+    bounds = fluid_bounds(blocks, blocks if targets is None else targets)
+    released, due = [np.floor(b[:-1]).astype(int) for b in bounds], [np.ceil(b[1:]).astype(int) for b in bounds]
+    future = [(0, i, 0) for i, n in enumerate(blocks) if n]  # release, source, block
     ready: list[tuple[int, int, int]] = []  # deadline, source, block
     order = []
-    for now in range(period):
+    for now in range(sum(blocks)):
         while future and future[0][0] <= now:
             _, i, k = heappop(future)
-            heappush(ready, (-(-(k + 1) * period // shares[i]), i, k))
-        due, i, k = heappop(ready)
-        if due <= now:
+            heappush(ready, (int(due[i][k]), i, k))
+        deadline, i, k = heappop(ready)
+        if deadline <= now:
             raise AssertionError("a deadline passed")
         order.append(i)
-        if k + 1 < shares[i]:
-            heappush(future, ((k + 1) * period // shares[i], i, k + 1))
+        if k + 1 < blocks[i]:
+            heappush(future, (int(released[i][k + 1]), i, k + 1))
     return order
 
 
 Phase = tuple[int, int, int, int, np.ndarray]
 
 
-def phases(blocks: Sequence[int], weights: Sequence[float], period: int = PERIOD) -> list[list[Phase]]:
+def phases(blocks: Sequence[int], weights: Sequence[float], period: int | None = None) -> list[list[Phase]]:
     """For each source its phases: first block, first slot, blocks and slots a period, slots of one.
 
-    A phase ends with the source that ends first: whole periods up to its last, then
-    the part of a period up to its last block. There are at most two for each source.
+    The schedule does not repeat, so that a source has one phase of a single period
+    with all of its blocks; ``period`` is not used.
     """
-    left, done, slot = list(blocks), [0] * len(blocks), 0
-    out: list[list[Phase]] = [[] for _ in blocks]
-    while alive := [i for i, n in enumerate(left) if n]:
-        shares = period_shares([weights[i] for i in alive], period)
-        order = np.array(schedule(shares))
-        whole = min(left[i] // a for i, a in zip(alive, shares))
-        taken = [whole * a for a in shares]
-        length = whole * period
-        if not whole:
-            lasts = [
-                np.flatnonzero(order == j)[left[i] - 1] if left[i] <= a else period
-                for j, (i, a) in enumerate(zip(alive, shares))
-            ]
-            length = int(min(lasts)) + 1
-            taken = np.bincount(order[:length], minlength=len(alive)).tolist()
-        for j, i in enumerate(alive):
-            out[i].append((done[i], slot, shares[j], period, np.flatnonzero(order == j)))
-            done[i] += taken[j]
-            left[i] -= taken[j]
-        slot += length
-    return out
+    order = np.array(schedule(blocks, weights), np.int64)
+    slots = np.split(np.argsort(order, kind="stable"), np.cumsum(blocks)[:-1])
+    return [[(0, 0, n, len(order), own)] if n else [] for n, own in zip(blocks, slots)]
 
 
 def mix(
@@ -100,7 +108,6 @@ def mix(
     weights: Mapping[str | None, float] | None = None,
     temperature: float = 0.5,
     block_size: int = BLOCK_SIZE,
-    period: int = PERIOD,
     max_sources: int = MAX_SOURCES,
     carry: Sequence[str] = (),
 ) -> DataFrame:
@@ -156,7 +163,7 @@ def mix(
         "start", F.col("base") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     )
     tables = docs.sparkSession.sparkContext.broadcast(
-        phases(blocks, targets, max(period, len(blocks))) if everything.n else []
+        phases(blocks, targets) if everything.n else []
     )
 
     def slots(lanes: pa.Array, numbers: pa.Array) -> pa.Array:

@@ -6,6 +6,7 @@ import hashlib
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -63,6 +64,36 @@ def test_shares_follow_weights_at_every_slot():
     assert done == shares and sum(shares) == 97
 
 
+@pytest.mark.parametrize("blocks, targets", [
+    ([3000] + [250] * 19, [3000 ** 0.5] + [250 ** 0.5] * 19),
+    ([4000, 2000, 2000], [0.9993, 0.0004, 0.0003]),
+    ([9000, 1, 30, 400], [5, 0.001, 3, 7]),
+    ([7] * 1000 + [600], [1 / 3] * 1000 + [90]),
+])
+def test_mix_follows_the_targets_themselves(blocks, targets):
+    """Against a fluid mix in which sources that end leave their share to the others."""
+    at = np.empty(sum(blocks), np.int64)
+    for i, own in enumerate(mixing.phases(blocks, targets)):
+        for block in range(blocks[i]):
+            first, slot, share, length, slots = [p for p in own if p[0] <= block][-1]
+            at[slot + (block - first) // share * length + slots[(block - first) % share]] = i
+    targets, fluid, done = np.array(targets), np.zeros(len(blocks)), np.zeros(len(blocks))
+    for source in at:
+        left = 1.0
+        while left > 1e-12:
+            rate = np.where(fluid < blocks, targets, 0) / targets[fluid < blocks].sum()
+            first = min((blocks - fluid)[rate > 0] / rate[rate > 0])
+            step = min(left, first)
+            ends = (rate > 0) & ((blocks - fluid) <= rate * step * (1 + 1e-12))
+            fluid = np.where(ends, blocks, fluid + rate * step)
+            left -= step
+            if (fluid >= blocks).all():
+                break
+        done[source] += 1
+        assert np.abs(done - fluid).max() < 1 + 1e-6
+    assert done.tolist() == blocks
+
+
 def test_phases_place_every_block_once():
     blocks, weights = [70, 3, 11, 1, 40], [5.0, 1.0, 1.0, 0.5, 2.0]
     slots = []
