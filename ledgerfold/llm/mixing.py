@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ledgerfold.sources.workspace import written
 
-PERIOD, BLOCK_SIZE, MAX_SOURCES, RUN_ROWS = 1000, 1 << 16, 256, 512
+PERIOD, BLOCK_SIZE, RUN_ROWS = 1000, 1 << 16, 512
 ROUNDING = 1e-6  # slots by which bounds may miss a whole number
 
 
@@ -103,12 +103,16 @@ def phases(blocks: Sequence[int], weights: Sequence[float], period: int | None =
     return [[(0, 0, n, len(order), own)] if n else [] for n, own in zip(blocks, slots)]
 
 
+def _lane_of(source: str | None) -> str:
+    return "" if source is None else f"={source}"
+
+
 def mix(
     docs: DataFrame,
     weights: Mapping[str | None, float] | None = None,
     temperature: float = 0.5,
     block_size: int = BLOCK_SIZE,
-    max_sources: int = MAX_SOURCES,
+    max_sources: int | None = None,
     carry: Sequence[str] = (),
 ) -> DataFrame:
     """Every row of ``docs`` with its place in the mix; read in order of slot, start, doc_id.
@@ -117,8 +121,9 @@ def mix(
     and ``row``, a struct of the columns named in ``carry``. Sizes are characters;
     a row belongs to the block in which it begins. ``weights`` gives targets by
     source, those without one get 1; without ``weights``, a source's target is its
-    size to the power of ``temperature``. The ``max_sources`` largest sources are
-    scheduled one by one, all others as one source together.
+    size to the power of ``temperature``. Every source is scheduled by itself; with
+    ``max_sources``, only so many of the largest are, and all others as one source with
+    the sum of their targets.
 
     A missing source is a source of its own. A row without doc_id is ordered by its
     text; NULL and empty texts have size 0; rows that repeat a doc_id follow one
@@ -132,26 +137,21 @@ def mix(
         F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in carry]).alias("row"),
     )
     sums = written(rows.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")))
-    largest = sums.orderBy(F.desc("size"), F.asc_nulls_last("source")).limit(max_sources).collect()
-    everything = sums.agg(F.sum("size").alias("size"), F.sum("n").alias("n")).first()
-    names = [x.source for x in largest]
-    sizes = [x.size for x in largest] + [(everything.size or 0) - sum(x.size for x in largest)]
+    sources = sorted(sums.collect(), key=lambda x: (-x.size, x.source is None, x.source or ""))
+    n_rows, sizes = sum(x.n for x in sources), [x.size for x in sources]
     targets = [
-        (float(weights.get(names[i], 1.0)) if i < len(names) else 1.0) if weights is not None
-        else max(size, 1) ** temperature
-        for i, size in enumerate(sizes)
+        max(x.size, 1) ** temperature if weights is None else float(weights.get(x.source, 1.0)) for x in sources
     ]
-    if (everything.n or 0) == sum(x.n for x in largest):
-        sizes.pop(), targets.pop()
+    # A lane's name tells a missing source from an empty one.
+    numbers = {_lane_of(x.source): i for i, x in enumerate(sources)}
+    lane = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
+    if max_sources is not None and max_sources < len(sources):
+        single = F.array(*[F.lit(_lane_of(x.source)) for x in sources[:max_sources]]).cast("array<string>")
+        lane = F.when(F.array_contains(single, lane), lane).otherwise(F.lit("others"))
+        numbers = {_lane_of(x.source): i for i, x in enumerate(sources[:max_sources])} | {"others": max_sources}
+        sizes[max_sources:], targets[max_sources:] = [sum(sizes[max_sources:])], [sum(targets[max_sources:])]
     blocks = [size // block_size + 1 for size in sizes]
-    known = [n for n in names if n is not None]
-    lanes = F.array(*[F.lit(n) for n in known]).cast("array<string>")
-    number = {n: i for i, n in enumerate(names)}
-    to_lane = F.array(F.lit(len(names)), *[F.lit(number[n]) for n in known])
-    lane = F.when(F.col("source").isNull(), F.lit(number.get(None, len(names)))).otherwise(
-        F.element_at(to_lane, (F.array_position(lanes, F.col("source")) + 1).cast("int"))
-    )
-    run_bits = max(0, ceil(log2(max(everything.n or 0, 1) / RUN_ROWS)))
+    run_bits = max(0, ceil(log2(max(n_rows, 1) / RUN_ROWS)))
     rows = rows.withColumn("lane", lane).withColumn("run", F.shiftright("key", 63 - run_bits))
     runs = rows.groupBy("lane", "run").agg(F.sum("size").alias("run_size"))
     before = Window.partitionBy("lane").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
@@ -162,23 +162,17 @@ def mix(
     placed = rows.join(runs, ["lane", "run"]).withColumn(
         "start", F.col("base") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     )
+    # All slots by lane and block, and where those of a lane begin.
+    slots_of = [p[0][4] for p in phases(blocks, targets)] if n_rows else []
     tables = docs.sparkSession.sparkContext.broadcast(
-        phases(blocks, targets) if everything.n else []
+        (numbers, np.cumsum([0, *blocks]), np.concatenate([np.zeros(0, np.int64), *slots_of]))
     )
 
-    def slots(lanes: pa.Array, numbers: pa.Array) -> pa.Array:
-        lane, block = lanes.to_numpy(zero_copy_only=False), numbers.to_numpy(zero_copy_only=False)
-        out = np.zeros(len(lane), np.int64)
-        for i in np.unique(lane):
-            own = np.flatnonzero(lane == i)
-            of = tables.value[i]
-            phase = np.searchsorted([p[0] for p in of], block[own], "right") - 1
-            for j in np.unique(phase):
-                first, slot, share, length, at = of[j]
-                some = own[phase == j]
-                nth = block[some] - first
-                out[some] = slot + nth // share * length + at[nth % share]
-        return pa.array(out)
+    def slots(lanes: pa.Array, block: pa.Array) -> pa.Array:
+        numbers, begins, at = tables.value
+        lanes = lanes.dictionary_encode()
+        begin = np.array([begins[numbers[x]] for x in lanes.dictionary.to_pylist()], np.int64)
+        return pa.array(at[begin[lanes.indices.to_numpy()] + block.to_numpy()])
 
     block = F.floor(F.col("start") / block_size).cast("long")
     return placed.withColumn("block", block).select(

@@ -94,6 +94,20 @@ def test_mix_follows_the_targets_themselves(blocks, targets):
     assert done.tolist() == blocks
 
 
+def test_every_source_has_its_own_target(spark):
+    """400 equal sources, all past the 256th, and one whose weight is half of all."""
+    rows = [(i, "x" * 10, f"s{i % 400:03d}") for i in range(4000)] + [(4000 + i, "x" * 10, "zz") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mixing.mix(docs, {"zz": 400.0}, block_size=10).collect()
+    taken = {}
+    for slot, source in sorted({(r.slot, r.source) for r in mixed}):
+        taken[source] = taken.get(source, 0) + 1
+        if slot < 800:
+            assert all(abs(n - (slot + 1) / (2 if s == "zz" else 800)) < 1 + 1e-6 for s, n in taken.items())
+    assert len({r.slot for r in mixed}) == len({(r.source, r.block) for r in mixed}) == 4400
+    assert len({r.source for r in mixed if r.slot < 800}) == 401
+
+
 def test_phases_place_every_block_once():
     blocks, weights = [70, 3, 11, 1, 40], [5.0, 1.0, 1.0, 0.5, 2.0]
     slots = []
