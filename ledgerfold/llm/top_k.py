@@ -93,15 +93,17 @@ def top_k(
 
     ``queries`` has query_id and vector (array of long), ``vectors`` vec_id and
     vector. Rows with a missing id or vector take no part, nor does a row with the
-    query's own id. A shorter vector counts as padded with zeros; of queries that
-    repeat an id, the smallest vector is searched; candidates that repeat one each
-    count. Scores beyond a long are an error. Other columns are not read.
+    query's own id. A shorter vector counts as padded with zeros. Every different
+    vector of a query's id is searched, and the k best of all their answers are
+    returned, as the query's SQL has it; rows equal in both are one query.
+    Candidates that repeat an id each count. Scores beyond a long are an error.
+    Other columns are not read.
 
     Returns query_id, rank (from 1), vec_id, score; fewer than k rows where there
     are fewer candidates.
     """
     queries = queries.where("query_id is not null and vector is not null")
-    queries = queries.groupBy("query_id").agg(F.min("vector").alias("vector"))
+    queries = queries.select("query_id", "vector").distinct()
     vectors = vectors.where("vec_id is not null and vector is not null").select("vec_id", "vector")
     groups = -(-vectors.count() // group_rows) or 1
     blocks = -(-queries.count() // query_rows) or 1

@@ -44,6 +44,19 @@ def test_sql(spark, name):
     assert sorted(str(tuple(r)) for r in df.collect()) == expected
 
 
+def test_top_k_sql_on_repeated_ids(spark, tmp_path):
+    rows = [(0, [0.5, 0.25]), (0, [-0.5, 1.0]), (50, [1.0, 0.0]), (50, [0.0, -1.0]), (50, [0.25, 0.25])]
+    rows += [(i, [((i * 7) % 11 - 5) / 8, ((i * 5) % 13 - 6) / 8]) for i in range(1, 49)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    result = duck.execute(queries.oracle_sql()["op7_va_top_k"])
+    columns = [d[0] for d in result.description]
+    got = contract.queries()["op7_va_top_k"](spark, str(tmp_path)).select("query_id", "rank", "score").collect()
+    at = [columns.index(c) for c in ("query_id", "rank", "score")]
+    assert sorted(tuple(r) for r in got) == sorted(tuple(r[i] for i in at) for r in result.fetchall())
+
+
 def test_mix_deviates_by_less_than_a_block(spark, texts):
     rows = _run(spark, "op1_pfair_mix")
     assert sorted(r.doc_id for r in rows) == sorted(d for d, _ in texts)
