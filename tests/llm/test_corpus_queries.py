@@ -45,7 +45,7 @@ def test_sql(spark, name):
 
 
 def test_top_k_sql_on_repeated_ids(spark, tmp_path):
-    rows = [(0, [0.5, 0.25]), (0, [-0.5, 1.0]), (50, [1.0, 0.0]), (50, [0.0, -1.0]), (50, [0.25, 0.25])]
+    rows = [(0, [0.125, 0.0]), (0, [1.0, 0.5]), (50, [0.0, 0.125]), (50, [1.0, 0.0]), (50, [0.25, 0.25])]
     rows += [(i, [((i * 7) % 11 - 5) / 8, ((i * 5) % 13 - 6) / 8]) for i in range(1, 49)]
     spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
     duck = duckdb.connect()
