@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerfold.llm import (
-    exact_dedup, line_dedup, mixing, packing, pii, quality, sharding, simhash, token_counts, top_k,
+    exact_dedup, line_dedup, merkle, mixing, packing, pii, quality, sharding, simhash, token_counts, top_k,
 )
 
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
@@ -113,11 +113,22 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document; one in seven is handed in with a longer n_chars."""
+    altered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    claimed = F.when(altered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    found = merkle.manifest(_table(spark, sf_dir, "documents"), {"n_chars": claimed})
+    return found.select(
+        "doc_id", "leaf", "subroot", "root",
+        F.sha2(F.concat_ws("", "siblings"), 256).alias("proof_sha256"), "folded_root", "verified",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_pfair_mix, op2_edit_token_counts, op3_best_fit_packing, op4_ordinal_quality,
         op5_disclosing_terms, op6_line_windows, op7_va_top_k, op8_radix_dedup,
-        op9_lookup_sharding, op10_simhash_dedup,
+        op9_lookup_sharding, op10_simhash_dedup, op12_merkle_manifest,
     )}
 
 
@@ -167,4 +178,65 @@ def oracle_sql() -> dict[str, str]:
             )
             SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t.plain) AS text_sha256
             FROM t JOIN g USING (plain)""",
+        "op12_merkle_manifest": r"""
+            WITH RECURSIVE claimed AS (
+                SELECT *, n_chars + CASE WHEN xor(4294967295, list_reduce(
+                    list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+                    lambda crc, byte: list_reduce(
+                        range(8), lambda a, i: xor(a >> 1, 3988292384 * (a & 1)), xor(crc, byte)),
+                    CAST(4294967295 AS BIGINT))) % 7 = 0 THEN 1 ELSE 0 END AS claim
+                FROM documents
+            ), fields AS (
+                SELECT doc_id, lang,
+                    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+                        || coalesce(strlen(source) || ':' || source, '-')
+                        || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+                    coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS own,
+                    coalesce(strlen(CAST(claim AS VARCHAR)) || ':' || claim, '-') AS given,
+                    coalesce(strlen(text) || ':' || text, '-') AS tail
+                FROM claimed
+            ), leaves AS (
+                SELECT doc_id, lang, sha256(head || own || tail) AS leaf, sha256(head || given || tail) AS seen,
+                    row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos,
+                    count(*) OVER (PARTITION BY lang) AS width
+                FROM fields
+            ), nodes AS (
+                SELECT lang, 0 AS level, pos, leaf AS h, width FROM leaves
+                UNION ALL
+                SELECT lang, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (any_value(width) + 1) // 2
+                FROM nodes WHERE width > 1 GROUP BY lang, level, pos // 2
+            ), subroots AS (
+                SELECT lang, h AS subroot, level AS height, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos
+                FROM nodes WHERE width = 1
+            ), above AS (
+                SELECT 0 AS level, pos, subroot AS h, (SELECT count(*) FROM subroots) AS width FROM subroots
+                UNION ALL
+                SELECT level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (any_value(width) + 1) // 2
+                FROM above WHERE width > 1 GROUP BY level, pos // 2
+            ), ways AS (
+                SELECT l.doc_id, l.leaf, l.seen, s.subroot, s.height, s.lang, l.pos, s.pos AS root_pos,
+                    unnest(range(s.height + (SELECT max(level) FROM above))) AS step
+                FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang
+                UNION ALL
+                SELECT l.doc_id, l.leaf, l.seen, s.subroot, s.height, s.lang, l.pos, s.pos, -1
+                FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang
+            ), steps AS (
+                SELECT w.*, coalesce(n.h, a.h) AS sibling,
+                    CASE WHEN step < height THEN w.pos >> step ELSE root_pos >> (step - height) END & 1 AS side
+                FROM ways w
+                LEFT JOIN nodes n ON step BETWEEN 0 AND height - 1 AND n.lang IS NOT DISTINCT FROM w.lang
+                    AND n.level = step AND n.pos = xor(w.pos >> greatest(step, 0), 1)
+                LEFT JOIN above a ON step >= height AND a.level = step - height
+                    AND a.pos = xor(w.root_pos >> greatest(step - height, 0), 1)
+            )
+            SELECT doc_id, any_value(leaf) AS leaf, any_value(subroot) AS subroot,
+                any_value(a.h) AS root,
+                sha256(coalesce(string_agg(sibling, '' ORDER BY step), '')) AS proof_sha256,
+                list_reduce(
+                    list(CASE WHEN sibling IS NULL THEN '-' WHEN side = 1 THEN 'L' || sibling ELSE 'R' || sibling END
+                        ORDER BY step) FILTER (WHERE step >= 0),
+                    lambda node, s: sha256(CASE s[1] WHEN 'L' THEN s[2:] || node WHEN 'R' THEN node || s[2:]
+                        ELSE node END), any_value(seen)) AS folded_root,
+                folded_root = any_value(a.h) AS verified
+            FROM steps, (SELECT h FROM above WHERE width = 1) a GROUP BY doc_id""",
     }
