@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerfold.llm import (
-    exact_dedup, line_dedup, merkle, mixing, packing, pii, quality, sharding, simhash, token_counts, top_k,
+    exact_dedup, lexical, line_dedup, merkle, mixing, packing, pii, quality, sharding, simhash, token_counts,
+    top_k, toxicity,
 )
 
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
@@ -113,6 +114,11 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labels that are not held out."""
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots and proof of every document; one in seven is handed in with a longer n_chars."""
     altered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
@@ -124,11 +130,17 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_bit_sliced_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest-scoring documents of every benchmark item."""
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 20)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_pfair_mix, op2_edit_token_counts, op3_best_fit_packing, op4_ordinal_quality,
         op5_disclosing_terms, op6_line_windows, op7_va_top_k, op8_radix_dedup,
-        op9_lookup_sharding, op10_simhash_dedup, op12_merkle_manifest,
+        op9_lookup_sharding, op10_simhash_dedup, op11_subword_toxicity,
+        op12_merkle_manifest, op13_bit_sliced_search,
     )}
 
 
