@@ -10,7 +10,8 @@ Scale: a round joins on an exact ancestor, and only nodes whose height is a mult
 of the round's distance can be one, so the nodes left besides the leaves shrink to a
 third, a fifteenth, and so on, and a tree of 2**32 leaves takes five rounds. A
 language may hold most of the rows: ranks come from a range partitioning and one
-count per (language, partition), and an ancestor has at most 2**distance leaves.
+count per (language, partition), an ancestor has at most 2**distance leaves, and a
+root meets its leaves by runs of 2**RUN_LEVELS.
 Digests travel as 32 bytes; every round is a written table.
 """
 
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from ledgerfold.sources.workspace import remove, shared_folder, written
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
-BLOCK_LEVELS = 8
+BLOCK_LEVELS, RUN_LEVELS = 8, 14
 
 
 def leaf_hash(fields: Mapping[str, Column] | Sequence[str]) -> Column:
@@ -65,18 +66,18 @@ def manifest(docs: DataFrame, presented: Mapping[str, Column] | None = None) ->
         F.unhex(leaf_hash(own)).alias("digest"),
         F.struct("doc_id", F.unhex(seen).alias("seen")).alias("carried"),
     )
-    below = proofs(written(leaves, f"{folder}/leaves"), f"{folder}/leaf")
-    roots = below.where("at = 0").select(
-        F.lit("").alias("tree"), F.col("tree").alias("place"), F.col("root").alias("digest"),
-        F.struct(F.col("tree").alias("name")).alias("carried"),
+    ends, roots = proofs(written(leaves, f"{folder}/leaves"), f"{folder}/leaf")
+    trees = roots.select(
+        F.lit("").alias("tree"), F.col("tree").alias("place"), "digest",
+        F.struct(F.col("tree").alias("name"), "size").alias("carried"),
     )
-    above = proofs(written(roots, f"{folder}/roots"), f"{folder}/root").select(
-        F.col("carried.name").alias("tree"), F.col("at").alias("root_at"), F.col("height").alias("above"),
-        F.col("root").alias("top"), F.col("segment").alias("upper"),
+    above = _meet(*proofs(written(trees, f"{folder}/trees"), f"{folder}/root")).select(
+        F.col("carried.name").alias("tree"), F.col("carried.size").alias("size"), "digest",
+        F.struct("at", "segment", "root").alias("above"),
     )
-    joined = below.join(above, "tree").select(
-        "carried.*", "at", "height", "root_at", "root", "top", "digest",
-        F.concat("segment", "upper").alias("segment"),
+    joined = _meet(ends, above).select(
+        "carried.*", "at", "height", F.col("above.at").alias("root_at"), "root", F.col("above.root").alias("top"),
+        "digest", F.concat("segment", "above.segment").alias("segment"),
     )
     steps = F.sequence(F.lit(0), F.size("segment") - 1)
     # Which side: the bits of the node's place in its tree, then those of its root's place.
@@ -111,27 +112,37 @@ def fold(leaf: Column, siblings: Column, left: Column) -> Column:
     return F.aggregate(steps, leaf, up)
 
 
-def proofs(leaves: DataFrame, folder: str) -> DataFrame:
-    """Every leaf with its rank (``at``), its tree's ``height`` and ``root``, and the ``segment`` to that root.
+def proofs(leaves: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Every leaf with the ``segment`` that leads to its root, and the roots.
 
     ``leaves`` is a written table with tree (a string), place (what orders a tree's
-    leaves), digest (32 bytes) and carried (anything). ``segment`` holds a sibling or
-    NULL for every level. A run of one node is hashed alone, as long as its tree has
-    other nodes; the only leaf of a tree is its root.
+    leaves), digest (32 bytes) and carried (anything). The leaves come back with their
+    rank (``at``) and their tree's ``height``; ``segment`` holds a sibling or NULL for
+    every level. Roots have tree, size (leaves) and digest. A run of one node is hashed
+    alone, as long as its tree has other nodes; the only leaf of a tree is its root.
     """
-    spark = leaves.sparkSession
     nodes, roots = _grow(_ranked(leaves, f"{folder}-order"), folder)
-    heights = roots.select("height").distinct().agg(F.max("height")).first()[0] or 0
-    done, state, distance = [nodes.where("done")], nodes.where("not done").drop("done"), 1
-    while distance < heights:
-        path = f"{folder}-jump-{distance}"
-        table = written(_jump(state, distance), path, "done")
+    highest = roots.agg(F.max("height")).first()[0] or 0
+    done, state, distance = [nodes.where("done")], nodes.where("not done"), 1
+    while distance < highest:
+        table = written(_jump(state, distance), f"{folder}-jump-{distance}", "done")
         if distance > 1:
-            remove(spark, f"{folder}-jump-{distance // 2}/done=false")
+            remove(leaves.sparkSession, f"{folder}-jump-{distance // 2}/done=false")
         done.append(table.where("done"))
-        state, distance = table.where("not done").drop("done"), 2 * distance
-    ends = reduce(DataFrame.unionByName, done).drop("done").where("level = 0")
-    return ends.join(roots.select("tree", F.col("digest").alias("root")), "tree")
+        state, distance = table.where("not done"), 2 * distance
+    return reduce(DataFrame.unionByName, done).drop("done", "level"), roots.drop("height")
+
+
+def _meet(ends: DataFrame, roots: DataFrame) -> DataFrame:
+    """The leaves with their root's digest as ``root`` and its other columns.
+
+    A tree may have most of the leaves, so its root is given to each of its runs of
+    2**RUN_LEVELS leaves, and the join is on the run.
+    """
+    last = F.call_function("shiftright", F.col("size") - 1, F.lit(RUN_LEVELS))
+    by_run = roots.withColumnRenamed("digest", "root").withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    runs = ends.withColumn("run", F.call_function("shiftright", "at", F.lit(RUN_LEVELS)))
+    return runs.join(by_run.drop("size"), ["tree", "run"]).drop("run")
 
 
 def _jump(state: DataFrame, distance: int) -> DataFrame:
@@ -162,7 +173,7 @@ def _grow(leaves: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
     written_nodes, tops, base = [], [], 0
     while True:
         block = F.call_function("shiftright", "at", F.lit(BLOCK_LEVELS))
-        blocks = leaves.groupBy("tree", "height", block.alias("block")).agg(
+        blocks = leaves.groupBy("tree", "size", "height", block.alias("block")).agg(
             F.sort_array(F.collect_list(F.struct("at", "digest", "carried"))).alias("nodes")
         )
         levels = blocks.withColumn("d0", F.col("nodes.digest"))
@@ -179,15 +190,15 @@ def _grow(leaves: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
         path = f"{folder}-nodes-{base}"
         top = F.col(f"d{BLOCK_LEVELS}")[0]
         table = written(levels.select(
-            "tree", "height", "block", top.alias("top"), F.flatten(F.array(*kept)).alias("nodes")
+            "tree", "size", "height", "block", top.alias("top"), F.flatten(F.array(*kept)).alias("nodes")
         ), path)
         written_nodes.append(table.select("tree", "height", F.inline("nodes")))
         base += BLOCK_LEVELS
         next_leaves = table.select(
-            "tree", "height", F.col("block").alias("at"), F.col("top").alias("digest"),
+            "tree", "size", "height", F.col("block").alias("at"), F.col("top").alias("digest"),
             F.lit(None).cast(carried).alias("carried"),
         )
-        tops.append(next_leaves.where(F.col("height") <= base).select("tree", "height", "digest"))
+        tops.append(next_leaves.where(F.col("height") <= base).select("tree", "size", "height", "digest"))
         leaves = next_leaves.where(F.col("height") > base)
         if leaves.isEmpty():
             break
@@ -234,10 +245,11 @@ def _ranked(leaves: DataFrame, folder: str) -> DataFrame:
     total = F.sum("rows").over(Window.partitionBy("tree"))
     starts = written(counted.select(
         "tree", "part", (F.col("first") - before).alias("first"),
+        total.alias("size"),
         F.when(total > 1, F.length(F.conv((total - 1).cast("string"), 10, 2))).otherwise(0).alias("height"),
     ), f"{folder}-starts")
     return ordered.join(starts, ["tree", "part"]).select(
-        "tree", (F.col("row") - F.col("first")).alias("at"), "height", "digest", "carried"
+        "tree", (F.col("row") - F.col("first")).alias("at"), "size", "height", "digest", "carried"
     )
 
 
