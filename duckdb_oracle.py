@@ -184,6 +184,14 @@ pairs AS (
   WHERE today.snapshot_date = (SELECT MAX(snapshot_date) FROM snapshot)
 )"""
 
+ALL_PAIRS = """
+pairs AS (
+  SELECT snapshot_date, organization_id, cumulative_net_financial_balance_usd AS current_balance,
+         LAG(cumulative_net_financial_balance_usd) OVER (
+           PARTITION BY organization_id ORDER BY snapshot_date) AS previous_day_balance
+  FROM snapshot
+)"""
+
 CHANGES = f"""
 scaled AS (
   SELECT *, CAST(CAST(current_balance AS DECIMAL(28,8)) * 100000000 AS HUGEINT) AS n,
@@ -201,6 +209,28 @@ changes AS (
 _ALERT = "(o <> 0 AND ABS(n - o) * 100 > 50 * ABS(o)) OR (o = 0 AND n <> 0)"
 
 
+def _rejects() -> str:
+    """A row per column and reason for which staging gives NULL."""
+    rows = []
+
+    def row(column: str, reason: str, condition: str) -> None:
+        rows.append(f"""SELECT '{column.lower()}' AS column_name, '{reason}' AS reason,
+            CAST(COUNT(*) FILTER (WHERE {condition}) AS BIGINT) AS rejected_rows FROM raw_invoices""")
+
+    for column, digits, currency in (
+        ("AMOUNT", "38,2", None), ("PAYMENT_AMOUNT", "38,2", None),
+        ("FX_RATE", "13,8", "CURRENCY"), ("FX_RATE_PAYMENT", "13,8", "PAYMENT_CURRENCY"),
+    ):
+        lost = f'"{column}" IS NOT NULL AND TRY_CAST("{column}" AS DECIMAL({digits})) IS NULL'
+        row(column, "malformed", f'{lost} AND TRY_CAST("{column}" AS DOUBLE) IS NULL')
+        row(column, "out_of_range", f'{lost} AND TRY_CAST("{column}" AS DOUBLE) IS NOT NULL')
+        if currency:
+            row(column, "zero_rate", f""""{currency}" <> 'USD' AND TRY_CAST("{column}" AS DECIMAL({digits})) = 0""")
+            row(column, "missing_rate", f""""{currency}" <> 'USD' AND "{column}" IS NULL""")
+            row(currency, "missing_currency", f'"{currency}" IS NULL')
+    return " " + " UNION ALL ".join(rows)
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts)
 
@@ -293,7 +323,7 @@ def oracle_sql() -> dict[str, str]:
         WHEN 2 * ({size} % ABS(o)) > ABS(o)
           OR (2 * ({size} % ABS(o)) = ABS(o) AND ({size} // ABS(o)) % 2 = 1)
         THEN 1 ELSE 0 END)"""
-    alerts = f"""{changes} SELECT organization_id, snapshot_date, previous_day_balance,
+    shown_alerts = f""" SELECT organization_id, snapshot_date, previous_day_balance,
           current_balance, {pct} AS pct_change, o = 0 AS from_zero,
           {_money_text("o")} AS previous_display, {_money_text("n")} AS current_display,
           CASE WHEN o = 0 THEN 'N/A (From Zero)' ELSE
@@ -301,11 +331,20 @@ def oracle_sql() -> dict[str, str]:
              || '.' || LPAD(CAST({shown_pct} % 100 AS VARCHAR), 2, '0') || '%')
           END AS change_display
         FROM changes WHERE {_ALERT}"""
+    alerts = changes + shown_alerts
+    history = snapshot + "," + ALL_PAIRS + "," + CHANGES + shown_alerts
     suite = union(not_null + unique + domain + grain + rows + parents)
     return {
         "scan_invoices": _with(RAW_INVOICES) + " SELECT * FROM raw_invoices",
         "scan_organizations": _with(RAW_ORGANIZATIONS) + " SELECT * FROM raw_organizations",
         "ingest_invoices_csv": _with(RAW_INVOICES) + " SELECT * FROM raw_invoices",
+        "ingest_good_records": _with(RAW_INVOICES) + """ SELECT * FROM raw_invoices WHERE "INVOICE_ID" % 113 <> 0
+            AND "INVOICE_ID" % 127 <> 0 AND "INVOICE_ID" % 131 <> 0""",
+        "ingest_quarantine": _with(RAW_INVOICES) + """ SELECT CAST("INVOICE_ID" AS VARCHAR) AS invoice_id,
+            CASE WHEN "INVOICE_ID" % 113 = 0 THEN 'malformed record'
+                 WHEN "INVOICE_ID" % 127 = 0 AND "INVOICE_ID" % 131 = 0 THEN 'invalid PARENT_INVOICE_ID, CREATED_AT'
+                 WHEN "INVOICE_ID" % 127 = 0 THEN 'invalid CREATED_AT' ELSE 'invalid PARENT_INVOICE_ID' END AS reason
+            FROM raw_invoices WHERE "INVOICE_ID" % 113 = 0 OR "INVOICE_ID" % 127 = 0 OR "INVOICE_ID" % 131 = 0""",
         "stg_invoices": invoices + " SELECT * FROM invoices",
         "safe_cast_amounts": invoices
         + " SELECT invoice_id, amount, payment_amount, fx_rate, fx_rate_payment FROM invoices",
@@ -333,6 +372,7 @@ def oracle_sql() -> dict[str, str]:
         "daily_net_filled": snapshot + " SELECT * FROM filled",
         fact: snapshot + " SELECT * FROM snapshot",
         "fct_snapshot_by_scaffold": snapshot + " SELECT * FROM snapshot",
+        "incremental_snapshot": snapshot + " SELECT * FROM snapshot",
         "latest_snapshot_date": snapshot
         + " SELECT MAX(snapshot_date) AS latest_snapshot_date FROM snapshot",
         "balance_day_pairs": pairs + " SELECT * FROM pairs",
@@ -340,6 +380,11 @@ def oracle_sql() -> dict[str, str]:
             current_balance, previous_day_balance, {pct} AS pct_change FROM changes""",
         "balance_change_alerts": alerts,
         "stored_snapshot_alerts": alerts,
+        "balance_alert_history": history,
+        "segment_store_alerts": alerts,
+        "segment_store_days": snapshot + """ SELECT * FROM snapshot
+            WHERE snapshot_date BETWEEN DATE '2000-11-20' AND DATE '2001-01-19'""",
+        "rejected_values": _with(RAW_INVOICES) + _rejects(),
         "alert_summary": changes + f""" SELECT MAX(snapshot_date) AS snapshot_date,
             CAST(COUNT(*) AS BIGINT) AS organizations_processed,
             CAST(COUNT(*) FILTER (WHERE {_ALERT}) AS BIGINT) AS alerts_raised FROM changes""",
@@ -352,5 +397,6 @@ def oracle_sql() -> dict[str, str]:
         "dq_balance_consistency": snapshot + fallen,
         "dq_relationships": union(parents),
         "dq_stored_suite": suite,
+        "dq_folder_suite": suite,
         "dq_suite": suite,
     }

@@ -2,6 +2,7 @@
 
     ingest  CSV files          -> raw parquet table, or a catalog table with comments
     build   raw tables         -> stored marts, in a folder or a database
+    append  raw tables, marts  -> marts in a folder brought up to date, or built if it is empty
     check   raw tables, marts  -> quality report, exit code 1 if a check fails
     alerts  stored marts       -> alerts of their latest day and a summary row,
                                   exit code 2 if there is no day to look at
@@ -21,7 +22,8 @@ from ledgerfold.functions.change import THRESHOLD_PERCENT
 from ledgerfold.operators.alerts import alert_summary, balance_change_alerts, balance_day_pairs
 from ledgerfold.plans import checks, tables
 from ledgerfold.schemas import RAW_INVOICES, RAW_ORGANIZATIONS
-from ledgerfold.sources import catalog, marts, raw
+from ledgerfold.sources import catalog, increments, marts, raw
+from ledgerfold.sources.workspace import exists
 
 
 def _raw_tables(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame]:
@@ -33,7 +35,9 @@ def _raw_tables(spark: SparkSession, args: argparse.Namespace) -> dict[str, Data
 
 
 def _marts(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame]:
-    return catalog.load(spark, args.database) if args.database else marts.load(spark, args.marts)
+    if args.database:
+        return catalog.load(spark, args.database)
+    return (increments if exists(spark, f"{args.marts}/{increments.RUNS}") else marts).load(spark, args.marts)
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> int:
@@ -54,9 +58,14 @@ def build(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0
 
 
+def append(spark: SparkSession, args: argparse.Namespace) -> int:
+    increments.append(_raw_tables(spark, args), args.as_of, args.out)
+    return 0
+
+
 def check(spark: SparkSession, args: argparse.Namespace) -> int:
     stored = {**_raw_tables(spark, args), **_marts(spark, args)}
-    report = checks.run_suite(stored, args.relationships)
+    report = checks.run_suite(stored, args.relationships, in_files=not args.database)
     marts.write_table(report, args.out)
     return 0 if spark.read.parquet(args.out).where("NOT passed").isEmpty() else 1
 
@@ -80,18 +89,20 @@ def _parser() -> argparse.ArgumentParser:
         sub = commands.add_parser(job.__name__)
         sub.set_defaults(job=job)
         reads_marts = job in (check, alerts)
-        place = sub if reads_marts else sub.add_mutually_exclusive_group(required=True)
-        place.add_argument("--out", required=reads_marts, help="folder to replace")
+        to_folder = reads_marts or job is append
+        place = sub if to_folder else sub.add_mutually_exclusive_group(required=True)
+        place.add_argument("--out", required=to_folder, help="folder to replace, or to bring up to date")
         if reads_marts:
             place = sub.add_mutually_exclusive_group(required=True)
             place.add_argument("--marts", help="folder written by build")
-        place.add_argument("--database", help="database of catalog tables")
+        if job is not append:
+            place.add_argument("--database", help="database of catalog tables")
         return sub
 
     sub = command(ingest)
     sub.add_argument("--csv", required=True, help="file, folder or glob")
     sub.add_argument("--table", choices=["invoices", "organizations"], default="invoices")
-    for job in (build, check):
+    for job in (build, append, check):
         sub = command(job)
         sub.add_argument("--invoices", required=True)
         sub.add_argument("--organizations", required=True)

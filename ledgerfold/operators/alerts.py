@@ -49,6 +49,23 @@ def balance_day_pairs(snapshot: DataFrame, latest: Column | None = None) -> Data
     ).where(F.col("snapshot_date") == latest)
 
 
+def balance_changes(segments: DataFrame) -> DataFrame:
+    """Day pairs of the whole history, of the days on which a balance segment starts.
+
+    On every other day the balance is that of the day before, which is no change and
+    never an alert, so no day has to be generated. Segments follow each other without
+    gaps: the previous one ends on the previous day. The lag runs in the partitions of
+    the running sum that made the segments.
+    """
+    by_day = Window.partitionBy("organization_id").orderBy("valid_from")
+    return segments.select(
+        F.col("valid_from").alias("snapshot_date"),
+        "organization_id",
+        F.col("balance_usd").alias("current_balance"),
+        F.lag("balance_usd", 1).over(by_day).alias("previous_day_balance"),
+    )
+
+
 def balance_pct_change(pairs: DataFrame) -> DataFrame:
     """Day pairs with their percentage change."""
     return pairs.withColumn("pct_change", _change(pct_change))

@@ -12,10 +12,10 @@ from collections.abc import Iterable, Mapping
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerfold.schemas import INFLOW_STATUS, OUTFLOW_STATUSES
+from ledgerfold.schemas import BASE_CURRENCY, INFLOW_STATUS, MONEY, OUTFLOW_STATUSES, RATE
 
 
 def flagged_rows(
@@ -157,11 +157,63 @@ def second_of_its_day() -> Column:
     return day.eqNullSafe(first) & ~day.eqNullSafe(second)
 
 
+# The text columns that staging casts, with their types and the currency a rate belongs to.
+_CAST = {
+    "AMOUNT": (MONEY, None), "PAYMENT_AMOUNT": (MONEY, None),
+    "FX_RATE": (RATE, "CURRENCY"), "FX_RATE_PAYMENT": (RATE, "PAYMENT_CURRENCY"),
+}
+REJECTED = "column_name string, reason string, rejected_rows long"
+
+
+def reject_reasons() -> dict[tuple[str, str], Column]:
+    """For {(raw column, reason)} the condition on which staging gives NULL for a reason.
+
+    A value is malformed if it is no number, and out of range if it is one but does not
+    fit. Rates matter for currencies but USD only: there they are rejected if zero or
+    missing, and a missing currency rejects the amount.
+    """
+    reasons = {}
+    for name, (kind, currency) in _CAST.items():
+        text, lost = F.col(name), F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull()
+        number = text.try_cast("double").isNotNull()
+        reasons[name.lower(), "malformed"] = lost & ~number
+        reasons[name.lower(), "out_of_range"] = lost & number
+        if currency:
+            foreign = F.col(currency) != BASE_CURRENCY
+            reasons[name.lower(), "zero_rate"] = foreign & (text.try_cast(kind) == 0)
+            reasons[name.lower(), "missing_rate"] = foreign & text.isNull()
+            reasons[currency.lower(), "missing_currency"] = F.col(currency).isNull()
+    return reasons
+
+
+def _metric(column: str, reason: str) -> str:
+    return f"{column}.{reason}"
+
+
+def observed(raw: DataFrame, observation: Observation) -> DataFrame:
+    """The raw invoices, counting what staging rejects for whoever reads them to the end."""
+    counts = [F.count_if(F.coalesce(bad, F.lit(False))).alias(_metric(*at)) for at, bad in reject_reasons().items()]
+    return raw.observe(observation, *counts)
+
+
+def rejected_values(observation: Observation, spark: SparkSession) -> DataFrame:
+    """The counts of an observation, after its table was read: a row per column and reason."""
+    counts = observation.get
+    rows = [(*at, counts[_metric(*at)]) for at in reject_reasons()]
+    return spark.createDataFrame(rows, REJECTED).coalesce(1)
+
+
 def combine(reports: Iterable[DataFrame]) -> DataFrame:
     """All reports as one DataFrame."""
     return reduce(DataFrame.unionByName, reports)
 
 
+def added(report: DataFrame, more: DataFrame) -> DataFrame:
+    """A report with the failures of another one added to its checks."""
+    key = ["check_id", "table_name", "column_name"]
+    return _report(report.unionByName(more).groupBy(*key).agg(F.sum("failures").alias("failures")))
+
+
 def _repeated(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
 

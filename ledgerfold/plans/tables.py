@@ -5,11 +5,11 @@ from __future__ import annotations
 from datetime import date, timedelta
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerfold.functions.change import THRESHOLD_PERCENT
-from ledgerfold.operators import alerts, balances, segments, staging
+from ledgerfold.operators import alerts, balances, quality, segments, staging
 
 
 def daily_snapshot(
@@ -57,6 +57,12 @@ def latest_pairs(stg: DataFrame, as_of: date) -> DataFrame:
     return alerts.balance_day_pairs(snapshot, F.lit(balances.last_day(as_of)))
 
 
+def alert_history(days: DataFrame, as_of: date, threshold: Decimal = THRESHOLD_PERCENT) -> DataFrame:
+    """The alerts of every day before ``as_of``, from the daily activity, lazy or stored."""
+    changes = alerts.balance_changes(segments.balance_segments(days, as_of))
+    return alerts.balance_change_alerts(changes, threshold)
+
+
 def ordered(df: DataFrame, *columns: str) -> DataFrame:
     """Presentation order, NULLs last. Not for table writes: it sorts globally."""
     return df.orderBy(*[F.asc_nulls_last(c) for c in columns])
@@ -73,9 +79,15 @@ def alert_report(pairs: DataFrame, threshold: Decimal = THRESHOLD_PERCENT) -> Da
 
 
 def build_tables(
-    raw_invoices: DataFrame, raw_organizations: DataFrame, as_of: date
+    raw_invoices: DataFrame, raw_organizations: DataFrame, as_of: date, rejects: Observation | None = None
 ) -> dict[str, DataFrame]:
-    """All tables by name, lazily."""
+    """All tables by name, lazily.
+
+    ``rejects`` observes what staging rejects while invoices are read; a refresh that
+    gets it as well stores the counts. An observation counts for one reading.
+    """
+    if rejects is not None:
+        raw_invoices = quality.observed(raw_invoices, rejects)
     stg = staging.stg_invoices(raw_invoices)
     orgs = staging.stg_organizations(raw_organizations)
     return {

@@ -102,3 +102,20 @@ def raw_organizations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("first_order").alias("CREATED_DATE"),
     )
     return rows.to(RAW_ORGANIZATIONS)
+
+
+def deliver(invoices: DataFrame, path: str) -> None:
+    """Write raw invoices as CSV files in which some records are broken.
+
+    One record in 113 has two fields only; one in 127 has a date that is none, and one
+    in 131 a parent that is no number.
+    """
+    k = F.col("INVOICE_ID")
+    fields = [F.col(f.name).cast("string").alias(f.name) for f in RAW_INVOICES]
+    dated = F.when(k % 127 == 0, "2001-13-01").otherwise(F.col("CREATED_AT").cast("string"))
+    parent = F.when(k % 131 == 0, "none").otherwise(F.col("PARENT_INVOICE_ID").cast("string"))
+    text = invoices.select(*fields).withColumns({"CREATED_AT": dated, "PARENT_INVOICE_ID": parent})
+    line = F.when(k % 113 == 0, F.concat(k, F.lit(",short"))).otherwise(F.to_csv(F.struct(*RAW_INVOICES.names)))
+    writer = text.select(line.alias(",".join(RAW_INVOICES.names))).write.option("header", True)
+    # The lines are whole records: no separator or quote of the writer's own.
+    writer.option("sep", "\x01").option("quote", "").option("escapeQuotes", False).csv(path)

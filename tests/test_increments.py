@@ -1,0 +1,159 @@
+"""The snapshot that is brought up to date equals the one rebuilt."""
+
+from __future__ import annotations
+
+import glob
+import random
+from datetime import date, timedelta
+
+import golden
+import pytest
+
+from ledgerfold.operators import alerts, staging
+from ledgerfold.plans import checks
+from ledgerfold.plans import tables as plans
+from ledgerfold.sources import increments
+
+FACT = increments.FACT
+COLUMNS = ["snapshot_date", "organization_id", "daily_net_change_usd", "cumulative_net_financial_balance_usd"]
+
+
+def tables(spark, rows):
+    stg = staging.stg_invoices(golden.raw_invoices(spark, rows))
+    dim = spark.createDataFrame([("A", None)], "organization_id string, organization_created_date date")
+    return {"stg_invoices": stg, "dim_organizations": dim}
+
+
+def contents(folder):
+    return {f: open(f, "rb").read() for f in glob.glob(f"{folder}/{FACT}/**/*.parquet", recursive=True)}
+
+
+def days(df):
+    return sorted(map(str, df.select(*COLUMNS).collect()))
+
+
+def paid(number, org, day, amount, status="paid"):
+    return golden.invoice(number, org, status, "USD", "USD", str(amount), str(amount), "1", "1", day.isoformat())
+
+
+def history(seed):
+    rng, first = random.Random(seed), date(2024, 1, 20)
+    orgs = ["A", "B", "C", "D", "E", None]
+    return [
+        paid(n, rng.choice(orgs), first + timedelta(days=rng.randrange(150)), rng.randint(1, 99),
+             rng.choice(["paid", "paid", "refunded", "credited", "open"]))
+        for n in range(60)
+    ] + [paid(100, "A", first, 5)]
+
+
+@pytest.mark.parametrize("seed, scope", [(1, "paid"), (2, "all")])
+def test_appended_days_equal_a_rebuild(spark, tmp_path, seed, scope):
+    folder, rows = str(tmp_path), history(seed)
+    late = rows[7:9] + rows[30:31]
+    known = [r for r in rows if r not in late]
+    steps = [(known, date(2024, 4, 3)), (known, date(2024, 4, 20)), (rows, date(2024, 5, 1)), (rows, date(2024, 5, 1)),
+             (rows[2:], date(2024, 6, 30))]
+    increments.build(tables(spark, steps[0][0]), steps[0][1], folder, spine_scope=scope, buckets=4)
+    for now, as_of in steps[1:]:
+        stored = increments.append(tables(spark, now), as_of, folder)
+        assert days(stored[FACT]) == days(plans.daily_snapshot(tables(spark, now)["stg_invoices"], as_of, spine_scope=scope))
+        assert stored[increments.LATEST].first()[0] == as_of - timedelta(days=1)
+    assert [v.number for v in increments.published(spark, folder)] == [1, 2, 3, 4, 5]
+    with pytest.raises(ValueError):
+        increments.append(tables(spark, rows), date(2024, 1, 1), folder)
+
+
+def test_only_new_days_and_late_buckets_are_written(spark, tmp_path):
+    folder, first, then = str(tmp_path), date(2024, 3, 10), date(2024, 3, 12)
+    rows = [paid(n, org, date(2024, 1, 5 + n), 10) for n, org in enumerate("ABCDEFGH")]
+    increments.build(tables(spark, rows), first, folder, buckets=8)
+    before = contents(folder)
+    increments.append(tables(spark, rows), then, folder)
+    newest = increments.published(spark, folder)[-1]
+    added = [p for p in newest.live if p[2] == newest.run]
+    # Without late changes: the month of the new days, and nothing else.
+    assert {m for m, _, _ in added} == {date(2024, 3, 1)}
+    assert spark.read.parquet(f"{folder}/{FACT}/run={newest.run}").count() == 2 * 8
+    changed = [*rows, paid(50, "C", date(2024, 2, 3), 7)]
+    stored = increments.append(tables(spark, changed), then, folder)
+    newest = increments.published(spark, folder)[-1]
+    added = [p for p in newest.live if p[2] == newest.run]
+    assert len({b for _, b, _ in added}) == 1 and {m for m, _, _ in added} == {date(2024, 2, 1), date(2024, 3, 1)}
+    assert days(stored[FACT]) == days(plans.daily_snapshot(tables(spark, changed)["stg_invoices"], then))
+    now = contents(folder)
+    assert set(before) <= set(now) and all(now[f] == data for f, data in before.items())
+
+
+def test_no_stored_day_is_read(spark, tmp_path):
+    folder, first, then = str(tmp_path), date(2024, 3, 10), date(2024, 4, 12)
+    rows = history(3)
+    increments.build(tables(spark, rows), first, folder, buckets=4)
+    version = increments.published(spark, folder)[-1]
+    own = f"{folder}/{increments.RUNS}/{version.run}"
+    activity, balances = (spark.read.parquet(f"{own}/{t}") for t in (increments.ACTIVITY, increments.BALANCES))
+    added = increments.new_rows(activity, then, version.start, "paid", 4, {1: date(2024, 2, 1)}, balances, first)
+    assert added.count() and not any(f"/{FACT}/" in f for f in added.inputFiles())
+
+
+def test_a_new_start_rewrites_everything(spark, tmp_path):
+    folder, as_of = str(tmp_path), date(2024, 3, 10)
+    rows = [paid(1, "A", date(2024, 2, 5), 10), paid(2, "B", date(2024, 1, 9), 4, "refunded")]
+    increments.build(tables(spark, rows), as_of, folder, buckets=2)
+    for now in ([*rows, paid(3, "C", date(2024, 1, 7), 1)], rows, rows[1:], []):
+        stored = increments.append(tables(spark, now), as_of, folder)
+        assert days(stored[FACT]) == days(plans.daily_snapshot(tables(spark, now)["stg_invoices"], as_of))
+    assert stored[increments.LATEST].first()[0] is None and stored[FACT].count() == 0
+    stored = increments.append(tables(spark, rows), as_of, folder)
+    assert stored[FACT].count() > 0
+
+
+def test_of_two_runs_on_one_version_one_counts(spark, tmp_path, monkeypatch):
+    folder, as_of = str(tmp_path), date(2024, 3, 10)
+    built = tables(spark, history(5))
+    increments.build(built, as_of, folder, buckets=2)
+    publish, results = increments._publish, []
+
+    def twice(spark_, folder_, version):
+        # Another run publishes in between.
+        monkeypatch.setattr(increments, "_publish", publish)
+        try:
+            results.append(increments.append(built, as_of + timedelta(days=1), folder))
+        except increments.Conflict:
+            results.append(None)
+        publish(spark_, folder_, version)
+
+    monkeypatch.setattr(increments, "_publish", twice)
+    try:
+        increments.append(built, as_of + timedelta(days=2), folder)
+        lost = 0
+    except increments.Conflict:
+        lost = 1
+    versions = increments.published(spark, folder)
+    assert [v.number for v in versions] == [1, 2]
+    stored = increments.load(spark, folder)
+    assert days(stored[FACT]) == days(plans.daily_snapshot(built["stg_invoices"], versions[-1].as_of))
+    assert lost == (versions[-1].as_of == as_of + timedelta(days=1))
+
+
+def test_what_only_older_versions_need_is_removed(spark, tmp_path):
+    folder = str(tmp_path)
+    for n in range(4):
+        rows = [paid(k, "A", date(2024, 1, 5), 10 + n) for k in range(3)]
+        step = increments.build if n == 0 else increments.append
+        step(tables(spark, rows), date(2024, 2, 3 + n), folder)
+    runs = {v.run for v in increments.published(spark, folder)[-2:]}
+    assert {f.split("run=")[1].split("/")[0] for f in glob.glob(f"{folder}/{FACT}/**/*.parquet", recursive=True)} == runs
+    assert {f.split("/")[-1] for f in glob.glob(f"{folder}/{increments.RUNS}/*")} == runs
+
+
+def test_checks_and_alerts_read_it(spark, tmp_path):
+    rows, as_of = history(6), date(2024, 6, 2)
+    built = tables(spark, rows)
+    increments.build(built, as_of - timedelta(days=20), str(tmp_path), buckets=3)
+    stored = increments.append(built, as_of, str(tmp_path))
+    fresh = {**built, FACT: plans.daily_snapshot(built["stg_invoices"], as_of)}
+    assert sorted(map(str, checks.snapshot_checks(stored, False).collect())) == sorted(
+        map(str, checks.snapshot_checks(fresh, False).collect()))
+    pairs = alerts.balance_day_pairs(stored[FACT], stored[increments.LATEST].scalar())
+    fresh = plans.latest_pairs(built["stg_invoices"], as_of)
+    assert sorted(map(str, pairs.collect())) == sorted(map(str, fresh.collect()))
