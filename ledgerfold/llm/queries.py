@@ -13,6 +13,7 @@ from ledgerfold.llm import (
     exact_dedup, lexical, line_dedup, merkle, mixing, packing, pii, quality, sharding, simhash, token_counts,
     top_k, toxicity,
 )
+from ledgerfold.sources.workspace import written
 
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
 PACKING_TOKENIZER = "word_bpe_49k.json"
@@ -88,10 +89,11 @@ def op6_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_va_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The five best inner products of every fiftieth embedding against all others."""
-    vectors = _table(spark, sf_dir, "embeddings").select(
-        "vec_id", top_k.quantised(F.col("embedding")).alias("vector")
-    )
+    """The five best inner products of every fiftieth embedding against all other rows."""
+    # Written, so that a row has one number wherever it is read.
+    vectors = written(_table(spark, sf_dir, "embeddings").select(
+        "vec_id", top_k.quantised(F.col("embedding")).alias("vector"), F.monotonically_increasing_id().alias("row")
+    ))
     queries = vectors.where("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
     return top_k.top_k(queries, vectors, 5)
 
@@ -166,17 +168,17 @@ def oracle_sql() -> dict[str, str]:
                         lambda i: lines[i + 1]), chr(10))) AS kept_sha256
             FROM cut LEFT JOIN gone USING (doc_id)""",
         "op7_va_top_k": r"""
-            WITH v AS (
-                SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec
+            WITH v AS MATERIALIZED (
+                SELECT vec_id, row_number() OVER () AS row, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec
                 FROM embeddings
                 WHERE embedding IS NOT NULL
                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
             ), scored AS (
-                SELECT q.vec_id AS query_id, c.vec_id,
+                SELECT q.vec_id AS query_id, q.row AS asking, c.vec_id,
                     CAST(list_sum(list_transform(list_zip(q.vec, c.vec), lambda p: p[1] * p[2])) AS BIGINT) AS score
-                FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id != c.vec_id
+                FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.row != c.row
             ), ranked AS (
-                SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+                SELECT *, row_number() OVER (PARTITION BY asking ORDER BY score DESC, vec_id) AS rank FROM scored
             )
             SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5""",
         "op8_radix_dedup": r"""

@@ -49,8 +49,8 @@ def _cells(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return codes, edges
 
 
-def _search(queries, query_ids, vectors, ids, k):
-    """Per query the best k rows of one group, as (query row, row, score)."""
+def _search(queries, asking, vectors, ids, rows, k):
+    """Per query the best k rows of one group but the row that asks, as (query row, row, score)."""
     largest = max(int(np.abs(queries).max(initial=0)), 1) * max(int(np.abs(vectors).max(initial=0)), 1)
     exact = largest * max(vectors.shape[1], 1) < 2**53
     codes, edges = _cells(vectors)
@@ -65,7 +65,7 @@ def _search(queries, query_ids, vectors, ids, k):
         most = up @ high.T + down @ low.T
         least = up @ low.T + down @ high.T
         for i in range(len(block)):
-            others = np.flatnonzero(ids != query_ids[at + i])
+            others = np.flatnonzero(rows != asking[at + i])
             if not len(others):
                 continue
             upper = most[i, others]
@@ -92,27 +92,34 @@ def top_k(
     """The k highest integer inner products of each query, ties to the smaller vec_id.
 
     ``queries`` has query_id and vector (array of long), ``vectors`` vec_id and
-    vector. Rows with a missing id or vector take no part, nor does a row with the
-    query's own id. A shorter vector counts as padded with zeros. Every different
-    vector of a query's id is searched, and the k best of all their answers are
-    returned, as the query's SQL has it; rows equal in both are one query.
-    Candidates that repeat an id each count. Scores beyond a long are an error.
-    Other columns are not read.
+    vector. Rows with a missing id or vector take no part. A shorter vector counts as
+    padded with zeros. Candidates that repeat an id each count. Scores beyond a long
+    are an error. Empty tables give no rows. Other columns are not read.
+
+    Where both tables have a column ``row``, a long that numbers the rows, every query
+    row is a search of its own against every row but the one of its number, also if
+    ids or whole rows repeat. Without it, rows are told apart by their ids: no row with
+    the query's own id is a candidate, every different vector of a query's id is
+    searched, and the k best of all their answers are returned.
 
     Returns query_id, rank (from 1), vec_id, score; fewer than k rows where there
     are fewer candidates.
     """
+    numbered = "row" in queries.columns and "row" in vectors.columns
     queries = queries.where("query_id is not null and vector is not null")
-    queries = queries.select("query_id", "vector").distinct()
-    vectors = vectors.where("vec_id is not null and vector is not null").select("vec_id", "vector")
+    queries = queries.select("query_id", "vector", F.col("row" if numbered else "query_id").alias("asking"))
+    if not numbered:
+        queries = queries.distinct()
+    vectors = vectors.where("vec_id is not null and vector is not null")
+    vectors = vectors.select("vec_id", "vector", F.col("row" if numbered else "vec_id").alias("own"))
     groups = -(-vectors.count() // group_rows) or 1
     blocks = -(-queries.count() // query_rows) or 1
     dealt = vectors.repartition(groups).select(
-        F.spark_partition_id().alias("group"), "vec_id", "vector",
+        F.spark_partition_id().alias("group"), "vec_id", "vector", "own",
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
     )
     asked = queries.repartition(blocks).select(
-        F.spark_partition_id().alias("block"), "query_id", "vector",
+        F.spark_partition_id().alias("block"), "query_id", "vector", "asking",
         F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"),
     )
 
@@ -122,20 +129,20 @@ def top_k(
             width = max(
                 int(np.diff(t["vector"].combine_chunks().offsets.to_numpy()).max()) for t in (have, ask)
             )
-            ids, query_ids = have["vec_id"].to_numpy(), ask["query_id"].to_numpy()
+            ids, query_ids, asking = have["vec_id"].to_numpy(), ask["query_id"].to_numpy(), ask["asking"].to_numpy()
             rows = [
-                (query_ids[q], ids[v], score) for q, v, score in _search(
-                    _matrix(ask["vector"], width), query_ids, _matrix(have["vector"], width), ids, k
+                (asking[q], query_ids[q], ids[v], score) for q, v, score in _search(
+                    _matrix(ask["vector"], width), asking, _matrix(have["vector"], width), ids, have["own"].to_numpy(), k
                 )
             ]
-        columns = list(zip(*rows)) or [(), (), ()]
+        columns = list(zip(*rows)) or [(), (), (), ()]
         return pa.table(
-            [pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"]
+            [pa.array(c, pa.int64()) for c in columns], names=["asking", "query_id", "vec_id", "score"]
         )
 
     found = dealt.groupBy("group", "block").cogroup(asked.groupBy("group", "block")).applyInArrow(
-        best, "query_id long, vec_id long, score long"
+        best, "asking long, query_id long, vec_id long, score long"
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("asking").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

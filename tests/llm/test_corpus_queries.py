@@ -57,6 +57,17 @@ def test_top_k_sql_on_repeated_ids(spark, tmp_path):
     assert sorted(tuple(r) for r in got) == sorted(tuple(r[i] for i in at) for r in result.fetchall())
 
 
+def test_every_query_row_has_its_own_answers(spark, tmp_path):
+    """Rows that repeat an id, or a whole row, are searched each, also against one another."""
+    rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (50, [0.0, 1.0])] + [(i, [i / 64, (40 - i) / 64]) for i in range(1, 20)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = contract.queries()["op7_va_top_k"](spark, str(tmp_path)).collect()
+    assert len(found) == 15 and sorted(r["rank"] for r in found) == sorted([1, 2, 3, 4, 5] * 3)
+    answers = sorted((r["rank"], r.vec_id, r.score) for r in found)
+    # Each of the two equal rows finds the other first; the third row finds the largest first components.
+    assert answers[:3] == [(1, 19, 256 * 76), (1, 50, 1 << 16), (1, 50, 1 << 16)]
+
+
 def test_mix_deviates_by_less_than_a_block(spark, texts):
     rows = _run(spark, "op1_pfair_mix")
     assert sorted(r.doc_id for r in rows) == sorted(d for d, _ in texts)
