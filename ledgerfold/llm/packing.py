@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from ledgerfold.sources.workspace import shared_folder, written
 
 CAPACITY = 2048
+# For each plan the eighths of the capacity from which on a piece's gap is filled by pairs, and by triples.
+COMBINED_FROM = ((0, 0), (0, 4), (0, 6), (0, 7), (4, 4), (4, 6), (4, 7), (6, 6), (6, 7), (7, 7))
 SLICE_BYTES = 4 << 20
 KNOWN_WORDS, RUN_WORDS = 1 << 19, 1024
 
@@ -172,16 +174,17 @@ def pieces(
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Pattern]:
     """Patterns (times used, [(length, pieces of it)]) that use up all counts.
 
-    Exact combinations of many pieces can starve longer gaps, so plans with up to
-    three, two, one and no pieces in a combination are made, and the one with the
-    fewest sequences is taken.
+    Exact complements by one, two and three pieces come first, in every plan. Pairs and
+    triples for short pieces use up what longer gaps would need, so plans that stop to
+    look for them at different lengths are made, and the one with the fewest sequences
+    is taken.
     """
-    plans = [_plan(counts, capacity, most) for most in (3, 2, 1, 0)]
+    plans = [_plan(counts, capacity, *(capacity * n // 8 for n in least)) for least in COMBINED_FROM]
     return min(plans, key=lambda patterns: sum(times for times, _ in patterns))
 
 
-def _plan(counts: dict[int, int], capacity: int, most: int) -> list[Pattern]:
-    """The plan with exact combinations of up to ``most`` pieces."""
+def _plan(counts: dict[int, int], capacity: int, pairs_from: int, triples_from: int) -> list[Pattern]:
+    """The plan that fills gaps of pieces of at least these lengths by pairs and by triples too."""
     left = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
         left[length] = n
@@ -197,7 +200,7 @@ def _plan(counts: dict[int, int], capacity: int, most: int) -> list[Pattern]:
     sums = _pair_sums(left, capacity)
     for length in range(capacity, 0, -1):
         while left[length]:
-            filled = _exact(left, sums, length, capacity, most)
+            filled = _exact(left, sums, length, capacity, 3 if length >= triples_from else 2 if length >= pairs_from else 1)
             if filled is None:
                 break
             before = left > 0
@@ -238,7 +241,7 @@ def _exact(left: np.ndarray, sums: np.ndarray, length: int, capacity: int, most:
     free[length] -= 1
     if gap == 0:
         return []
-    if most >= 1 and free[gap] > 0:
+    if free[gap] > 0:
         return [gap]
     if most >= 2 and gap >= 2 and sums[gap] and (pair := _pair(free, free > 0, gap)):
         return pair

@@ -134,6 +134,13 @@ def test_plan_uses_all_counts():
         assert sequences <= best_fit * 1.02 + 1
 
 
+def test_every_plan_looks_for_triples():
+    assert packing.plan({9: 2, 4: 2, 2: 2, 1: 2}, 16) == [(2, [(9, 1), (4, 1), (2, 1), (1, 1)])]
+    for least in packing.COMBINED_FROM:
+        patterns = packing._plan({28: 1, 2: 1, 1: 2}, 32, *(32 * n // 8 for n in least))
+        assert patterns == [(1, [(28, 1), (2, 1), (1, 2)])]
+
+
 def _best_fit_decreasing(counts, capacity):
     bins = []
     for length in sorted(Counter(counts).elements(), reverse=True):
