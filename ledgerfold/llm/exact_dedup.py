@@ -22,6 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerfold.llm.rows import carried
 from ledgerfold.sources.workspace import remove, shared_folder, written
 
 FIRST_DIGIT, GROWTH, WIDEST_DIGIT = 64, 8, 1 << 20
@@ -50,7 +51,7 @@ def exact_dedup(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
         "doc_id",
         F.length(F.coalesce(text, F.lit(""))).alias("n"),
         F.sha2(plain, 256).alias("text_sha256"),
-        F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in carry]).alias("row"),
+        carried(carry).alias("row"),
         F.lit(0).cast("long").alias("group"),
         plain.cast("binary").alias("rest"),
     )

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerfold.llm.rows import carried
 from ledgerfold.sources.workspace import written
 
 PERIOD, BLOCK_SIZE, RUN_ROWS = 1000, 1 << 16, 512
@@ -134,7 +135,7 @@ def mix(
         F.length(F.coalesce("text", F.lit(""))).cast("long").alias("size"),
         F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(5), F.coalesce("text", F.lit(""))))
         .otherwise(F.xxhash64(F.lit(4), "doc_id")).bitwiseAND(F.lit((1 << 63) - 1)).alias("key"),
-        F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in carry]).alias("row"),
+        carried(carry).alias("row"),
     )
     sums = written(rows.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")))
     sources = sorted(sums.collect(), key=lambda x: (-x.size, x.source is None, x.source or ""))

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfold.llm.packing import slices
+from ledgerfold.llm.rows import carried
 
 BITS = 18
 FIT_ROWS = 12_000
@@ -218,7 +219,7 @@ def graded(
     scored = docs.select(
         "doc_id",
         grade(F.col("text"), model, docs.sparkSession).alias("grade"),
-        F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in carry]).alias("row"),
+        carried(carry).alias("row"),
     )
     return scored.select(
         "doc_id", "grade.expected_grade", "grade.tail_probability",

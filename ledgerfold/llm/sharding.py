@@ -17,6 +17,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerfold.llm.rows import free_name
+
 TABLE_SIZE = 65537
 
 
@@ -71,11 +73,12 @@ def write_shards(docs: DataFrame, shards: Sequence[str], path: str, size: int =
     """Write ``docs`` with all their columns, one folder per shard.
 
     The folder name holds the shard; a column of that name in ``docs`` stays, as the
-    folder column is called ``shard_``.
+    folder column is called ``shard_``, with more underscores where that is taken too.
     """
+    folder = free_name(docs.columns, "shard_")
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         slot(F.col("doc_id"), F.col("text"), size).alias("slot"),
     )
     placed = _placed(rows, shards, size)
-    placed.select("row.*", F.col("shard").alias("shard_")).write.partitionBy("shard_").parquet(path)
+    placed.select("row.*", F.col("shard").alias(folder)).write.partitionBy(folder).parquet(path)

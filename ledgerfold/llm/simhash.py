@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfold.llm.components import connected_components
+from ledgerfold.llm.rows import carried
 from ledgerfold.sources.workspace import shared_folder, written
 
 BITS, SEED = 64, 42
@@ -92,7 +93,7 @@ def near_duplicates(
             F.monotonically_increasing_id().alias("uid"),
             "doc_id",
             fingerprint(F.col("text"), shingle).alias("fp"),
-            F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in carry]).alias("row"),
+            carried(carry).alias("row"),
         ),
         f"{folder}/rows",
     )

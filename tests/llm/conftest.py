@@ -15,12 +15,14 @@ SF_DIR = "/root/testdata/sf0.001"
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, uid string, row string, size string,"
     " rest string, open string, slot string, block string, start string, kept string, lines string, first string,"
-    " length string, rank string, level string, root string, fp string, `group` string, key string, lane string"
+    " length string, rank string, level string, root string, fp string, `group` string, key string, lane string,"
+    " _ string, shard_ string, spare string, tree string, at string, place string, digest string, score string,"
+    " bound string, item string, wanted string, ask string, held_out string, predicted string"
 )
 
 
 def row(doc_id, text, source="a"):
-    return (doc_id, text, "en", source, len(text or ""), *["x"] * 19)
+    return (doc_id, text, "en", source, len(text or ""), *["x"] * 33)
 
 
 @pytest.fixture(scope="session")
