@@ -20,20 +20,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfold.llm.packing import slices
 
 BITS, WIDTH, GRAMS = 18, 2, (3, 4, 5, 6)
-FIT_ROWS = 16_000
+FIT_ROWS = 12_000
 STEPS, MOST_EPOCHS, BATCH, SOFTMAX_RATE = 1500, 40, 64, 0.05
 # In units of what one row adds to a mean: the mean number of members of a text's bags.
 RATE, SHRINK = 0.02, 0.2
 MIN_COUNT = 8
 # Toxic texts are the fewer; each counts for as many.
 TOXIC_WEIGHT = 3.0
-SLICE_BYTES, WORDS_AT_ONCE = 1 << 21, 1 << 16
+SLICE_BYTES, WORDS_AT_ONCE = 1 << 21, 1 << 15
 
 # Letters and digits; all beyond ASCII belongs to a word.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -57,7 +58,7 @@ def bags(found: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.array([len(w) + 2 for w in found])
     owner = np.repeat(np.arange(len(found)), sizes)
     starts = np.cumsum(sizes) - sizes
-    powers = np.cumprod(np.concatenate([[1], np.full(int(sizes.max()) - 1, _BASE)]).astype(np.uint64))
+    powers = np.cumprod(np.concatenate([[1], np.full(max(int(sizes.max()), *GRAMS) - 1, _BASE)]).astype(np.uint64))
     whole = np.add.reduceat(codes * powers[np.arange(len(codes)) - starts[owner]], starts)
     members, rows = [np.arange(len(found))], [_row(whole, 0)]
     for n in GRAMS:
@@ -161,7 +162,7 @@ def _sums(group: np.ndarray, rows: np.ndarray, groups: int) -> np.ndarray:
     return np.stack([np.bincount(group, rows[:, d], groups) for d in range(rows.shape[1])], axis=1)
 
 
-def fit(texts: Sequence[Sequence[str]], labels: Sequence[int], steps: int = STEPS) -> Model:
+def fit(texts: pa.Array | Sequence[Sequence[str]], labels: Sequence[int], steps: int = STEPS) -> Model:
     """A model of texts given by their distinct words, in an order fixed by a seed.
 
     With labels of one kind, or none, every text gets that kind's score, or 0.
@@ -169,17 +170,21 @@ def fit(texts: Sequence[Sequence[str]], labels: Sequence[int], steps: int = STEP
     labels = np.array(labels, np.int64)
     if len(np.unique(labels)) < 2:
         return Model(np.zeros(1 << BITS), np.inf if labels.any() else -np.inf)
-    place: dict[str, int] = {}
-    own = [np.array([place.setdefault(w, len(place)) for w in text], np.int64) for text in texts]
-    member, row = bags(list(place))
-    bag_sizes = np.bincount(member, minlength=len(place))
+    lists = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.list_(pa.string()))
+    ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    coded = lists.flatten().dictionary_encode()
+    index, known = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+    own = np.split(index, ends[:-1])
+    in_texts = np.bincount(index, minlength=len(known))
+    row, bag_sizes, met = _all_bags(known, in_texts)
     # Rows met in few texts teach nothing; they stay zero, and their words are as long as before.
-    met = np.bincount(row, np.bincount(np.concatenate(own), minlength=len(place))[member], 1 << BITS)
-    common = met[row] >= MIN_COUNT
-    kept, row = np.unique(row[common], return_inverse=True)
-    member = member[common]
-    begins = np.searchsorted(member, np.arange(len(place) + 1))
-    members = sum(bag_sizes[x].sum() for x in own) / len(own)
+    kept, place = np.flatnonzero(met >= MIN_COUNT), np.full(1 << BITS, -1, np.int32)
+    place[kept] = np.arange(len(kept), dtype=np.int32)
+    row = place[row]
+    common = row >= 0
+    begins = np.concatenate([[0], np.cumsum(common, dtype=np.int32)])[np.concatenate([[0], np.cumsum(bag_sizes)])]
+    row = row[common]
+    members = (in_texts * bag_sizes).sum() / len(own)
     network, random = Network(len(kept), members), np.random.default_rng(18)
     epochs = min(MOST_EPOCHS, -(-steps * BATCH // len(labels)))
     for epoch in range(epochs):
@@ -198,6 +203,18 @@ def fit(texts: Sequence[Sequence[str]], labels: Sequence[int], steps: int = STEP
     return Model(odds, float(network.bias[1] - network.bias[0]))
 
 
+def _all_bags(known: pa.Array, in_texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The table rows of all words' bags, one after the other, the sizes of the bags, and how often texts meet each row."""
+    rows, sizes, met = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], np.zeros(1 << BITS)
+    for at in range(0, len(known), WORDS_AT_ONCE):
+        part = known.slice(at, WORDS_AT_ONCE).to_pylist()
+        member, row = bags(part)
+        rows.append(row.astype(np.int32))
+        sizes.append(np.bincount(member, minlength=len(part)))
+        met += np.bincount(row, in_texts[at + member], 1 << BITS)
+    return np.concatenate(rows), np.concatenate(sizes), met
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether labels of a document are kept from the fit: one in five, by the CRC-32 of its id."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
@@ -208,7 +225,7 @@ def fit_on(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Mode
 
     Labels without doc_id or mark are left out; of several for one document, the
     higher counts. The sample is bounded, so it is broadcast to the texts, and its
-    words go to the driver.
+    words are gathered in the task that fits; the driver receives the model.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     sample = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -227,8 +244,18 @@ def fit_on(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Mode
     rows = rated.select(F.col("doc_id").cast("long"), "text", "toxic").mapInArrow(
         extract, "doc_id long, toxic int, words array<string>"
     )
-    table = rows.orderBy("doc_id", F.hash("words")).limit(fit_rows).toArrow()
-    return fit(table["words"].to_pylist(), table["toxic"].to_pylist())
+
+    def train(batches):
+        table = pa.Table.from_batches(batches, sample_schema)
+        model = fit(table["words"].combine_chunks(), table["toxic"].to_pylist())
+        yield pa.RecordBatch.from_pydict({"odds": [model.odds], "bias": [model.bias]})
+
+    sample_schema = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("words", pa.list_(pa.string()))])
+    limited = rows.orderBy("doc_id", F.hash("words")).limit(fit_rows)
+    model = limited.mapInArrow(train, "odds array<double>, bias double").toArrow()
+    if not len(model):
+        return fit([], [])
+    return Model(model["odds"].combine_chunks().flatten().to_numpy(), model["bias"][0].as_py())
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
