@@ -209,6 +209,30 @@ changes AS (
 _ALERT = "(o <> 0 AND ABS(n - o) * 100 > 50 * ABS(o)) OR (o = 0 AND n <> 0)"
 
 
+# What the catalog says of tables (no column) and columns.
+DESCRIPTIONS = (
+    ("int_daily_activity", None, "One row per organisation and day with movements"),
+    ("int_daily_activity", "organization_id", "Organisation that owns the invoice"),
+    ("int_daily_activity", "transaction_date", "Day the invoice was created"),
+    ("dim_organizations", None, "One row per organisation"),
+    ("dim_organizations", "organization_id", "Organisation key"),
+    ("dim_organizations", "legal_entity_country_code", "Numeric country code of the legal entity"),
+    ("dim_organizations", "organization_created_date", "Day the organisation was registered"),
+    ("fct_daily_financial_snapshot", None, "One row per organisation and day with its running balance"),
+    ("fct_daily_financial_snapshot", "snapshot_date", "Day of the balance"),
+    ("fct_daily_financial_snapshot", "organization_id", "Organisation key"),
+    ("fct_daily_financial_snapshot", "daily_net_change_usd", "Net USD movement of the day, 0 on quiet days"),
+    ("fct_daily_financial_snapshot", "cumulative_net_financial_balance_usd", "USD balance at the end of the day"),
+    ("latest_snapshot_date", None, "The latest day of the snapshot, one row"),
+)
+
+
+def _descriptions() -> str:
+    text = lambda x: "NULL" if x is None else f"'{x}'"
+    rows = ", ".join(f"({text(t)}, {text(c)}, {text(d)})" for t, c, d in DESCRIPTIONS)
+    return f"SELECT * FROM (VALUES {rows}) AS d(table_name, column_name, comment)"
+
+
 def _rejects() -> str:
     """A row per column and reason for which staging gives NULL."""
     rows = []
@@ -380,6 +404,14 @@ def oracle_sql() -> dict[str, str]:
             current_balance, previous_day_balance, {pct} AS pct_change FROM changes""",
         "balance_change_alerts": alerts,
         "stored_snapshot_alerts": alerts,
+        "sql_over_views": moves + "," + RAW_ORGANIZATIONS + "," + ORGANIZATIONS + """
+            SELECT o.legal_entity_country_code, CAST(COUNT(*) AS BIGINT) AS paid_invoices,
+                   CAST(SUM(payment_amount_usd) AS DECIMAL(38,8)) AS paid_usd, MIN(i.created_date) AS first_paid
+            FROM invoices i JOIN organizations o USING (organization_id)
+            WHERE i.status = 'paid' AND i.created_date >= (SELECT day FROM opening) GROUP BY o.legal_entity_country_code""",
+        "numbered_alert_report": f"""SELECT row_number() OVER (ORDER BY organization_id NULLS LAST) AS row_number, *
+            FROM ({alerts})""",
+        "stored_descriptions": _descriptions(),
         "balance_alert_history": history,
         "segment_store_alerts": alerts,
         "segment_store_days": snapshot + """ SELECT * FROM snapshot

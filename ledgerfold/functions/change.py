@@ -184,7 +184,18 @@ def pct_text(old: Column, new: Column) -> Column:
             ".", whole.cast("decimal(38,0)").cast("string"), F.lpad(last.cast("string"), 2, "0")
         )
 
-    size = F.when(old != 0, _ratio(old, new, lambda r: _part(r, 10**4, exact))).when(old == 0, "0.00")
+    # Hundredths of a percent in the short type; NULL where it does not hold them.
+    o, n, _ = _short(old, new)
+    parts, base = F.abs(n - o) * number(10**4), F.abs(o)
+    rest = parts % base
+    near = F.try_divide(parts - rest, F.nullif(base, number(0))).try_cast("decimal(32,0)")
+    up = (rest * 2 > base) | ((rest * 2 == base) & (near % 2 == 1))
+    short = (F.when(up, near + 1).otherwise(near).cast("decimal(33,0)") * F.lit("0.01").cast("decimal(2,2)")).cast("string")
+    size = (
+        F.when((old != 0) & near.isNotNull(), short)
+        .when(old != 0, _ratio(old, new, lambda r: _part(r, 10**4, exact)))
+        .when(old == 0, "0.00")
+    )
     return F.when((old == 0) & (new != 0), FROM_ZERO_TEXT).otherwise(
         F.concat(F.when(new >= old, "+").otherwise("-"), size, F.lit("%"))
     )

@@ -79,37 +79,22 @@ def let(body: Callable[[Column], Column], **values: Column) -> Column:
 
 
 def _quotient(amount: Column, rate: Column) -> Column:
-    """amount / rate with eight decimals, half-up; NULL from 10^30 up, or by zero.
+    """amount / rate with eight decimals, half-up, for amounts from 1 up; NULL from 10^30 up, or by zero.
 
-    The quotient in hundred-millionths is (cents / divisor) * 10^14: first the
-    integer quotient, then 14 more digits of what is left.
+    The quotient in hundred-millionths is cents * 10^14 / units of the rate: first the
+    integer quotient of the two, then 14 more digits from what is left. Both being
+    below 10^13, Spark types their quotient decimal(27,14), one half-up rounding.
     """
-
-    def divided(v: Column) -> Column:
-        left = (v.cents % v.divisor).cast("decimal(13,0)")
-        return let(
-            lambda w: let(lambda x: let(joined, first=x.first, second=rounded(x), negative=x.negative),
-                          first=w.first, dividend=w.dividend, divisor=w.divisor, negative=w.negative,
-                          rest=(w.dividend % w.divisor).cast("decimal(13,0)")),
-            first=F.try_divide(v.cents - left, v.divisor).try_cast("decimal(24,0)"),
-            dividend=(left * number(10**14)).cast("decimal(27,0)"),
-            divisor=v.divisor, negative=v.negative,
-        )
-
-    def rounded(x: Column) -> Column:
-        whole = ((x.dividend - x.rest) / x.divisor).cast("decimal(15,0)")
-        return F.when(x.rest * 2 >= x.divisor, whole + 1).otherwise(whole).cast("decimal(15,0)")
-
-    def joined(y: Column) -> Column:
-        decimals = (y.second % number(10**8)).cast("decimal(8,0)")
-        carried = ((y.second - decimals) / number(10**8)).cast("decimal(7,0)")
-        return with_decimals((y.first * number(10**6) + carried).try_cast("decimal(30,0)"), decimals, y.negative)
-
-    divisor = units(rate.cast(USD), 8).cast("decimal(13,0)")
-    return let(
-        divided, cents=units(amount, 2), divisor=F.nullif(divisor, number(0, 13)),
-        negative=(amount < 0) != (rate < 0),
-    )
+    cents = F.translate(amount.cast("string"), "-.", "").cast("decimal(38,0)")
+    divisor = F.nullif(F.abs(rate * number(10**8)).cast("decimal(13,0)"), number(0, 13))
+    left = (cents % divisor).cast("decimal(13,0)")
+    first = F.try_divide(cents - left, divisor).try_cast("decimal(24,0)")
+    more = (F.try_divide(left, divisor).cast("decimal(15,14)") * number(10**14)).cast("decimal(14,0)")
+    digits = F.concat(first.cast("string"), F.lpad(more.cast("string"), 14, "0"))
+    sign = F.when((amount < 0) != (rate < 0), "-").otherwise("")
+    return F.concat(
+        sign, F.substr(digits, F.lit(1), F.length(digits) - 8), F.lit("."), F.right(digits, F.lit(8))
+    ).try_cast(USD)
 
 
 def to_usd(currency: Column, amount: Column, rate: Column) -> Column:

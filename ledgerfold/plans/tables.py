@@ -5,11 +5,13 @@ from __future__ import annotations
 from datetime import date, timedelta
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ledgerfold.functions.change import THRESHOLD_PERCENT
 from ledgerfold.operators import alerts, balances, quality, segments, staging
+from ledgerfold.operators.balances import shuffle_tasks
+from ledgerfold.sources.workspace import written
 
 
 def daily_snapshot(
@@ -68,6 +70,23 @@ def ordered(df: DataFrame, *columns: str) -> DataFrame:
     return df.orderBy(*[F.asc_nulls_last(c) for c in columns])
 
 
+def numbered(df: DataFrame, *columns: str) -> DataFrame:
+    """The rows with their place (``row_number``, from 1) in the order of columns, NULLs last.
+
+    Ranges of the order are numbered apart and offset by the sizes of those before, so
+    no task sees more than its range. ``columns`` must tell all rows apart.
+    """
+    order = [F.asc_nulls_last(c) for c in columns]
+    ranges = df.repartitionByRange(shuffle_tasks(df), *order).sortWithinPartitions(*order)
+    # Written, as sizes and rows are two readings of the same ranges.
+    ranges = written(ranges.select("*", F.spark_partition_id().alias("_range"), F.monotonically_increasing_id().alias("_row")))
+    sizes = ranges.groupBy("_range").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_range", (F.coalesce(F.sum("_size").over(before), F.lit(0)) + 1 - F.col("_first")).alias("_start"))
+    place = (F.col("_row") + F.col("_start")).alias("row_number")
+    return ranges.join(F.broadcast(starts), "_range").select(place, *df.columns)
+
+
 def snapshot_report(snapshot: DataFrame) -> DataFrame:
     """The snapshot in reading order."""
     return ordered(snapshot, "organization_id", "snapshot_date")

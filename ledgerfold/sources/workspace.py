@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +12,22 @@ def shared_folder(spark: SparkSession) -> str:
     """The name of a fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
 
     Where that setting is missing, as in tests, the folder is below the warehouse,
-    which is shared by definition: catalog tables are there.
+    which is shared if catalog tables are. By default it is a folder of the driver's
+    machine, which will do for local mode alone.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        check_shared(root, spark.sparkContext.master)
     return f"{root.rstrip('/')}/ledgerfold-{uuid.uuid4().hex}"
 
 
+def check_shared(place: str, master: str) -> None:
+    """Fail for a folder of this machine where executors may run on others."""
+    if place.startswith(("file:", "/")) and not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"{place} is on the driver's machine: set spark.checkpoint.dir to a folder all executors share")
+
+
 def written(df: DataFrame, path: str | None = None, *partition_by: str) -> DataFrame:
     """Write ``df`` as parquet to ``path`` (a fresh shared folder) and read it back.
 

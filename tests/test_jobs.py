@@ -74,6 +74,16 @@ def test_jobs_on_tables_by_name(spark, folder):
     assert any("Invoices as delivered" in (r.data_type or "") for r in described)
 
 
+def test_append_job(spark, folder):
+    sources = ["--invoices", f"{folder}/inv", "--organizations", f"{folder}/orgs"]
+    for days in (3, 1, 0):
+        as_of = (golden.AS_OF - timedelta(days=days)).isoformat()
+        assert main(["append", *sources, "--as-of", as_of, "--out", f"{folder}/daily"]) == 0
+    assert main(["alerts", "--marts", f"{folder}/daily", "--out", f"{folder}/daily-out"]) == 0
+    rows = spark.read.parquet(f"{folder}/daily-out/alerts").collect()
+    assert {r.organization_id for r in rows} == {NUMBER[org] for org in golden.ALERTS}
+
+
 def test_alerts_without_a_day(spark, folder):
     early = ["--invoices", f"{folder}/inv", "--organizations", f"{folder}/orgs", "--as-of", "2020-01-01"]
     assert main(["build", *early, "--out", f"{folder}/none"]) == 0

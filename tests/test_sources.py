@@ -17,7 +17,7 @@ from ledgerfold.plans import checks
 from ledgerfold.plans import tables as plans
 from ledgerfold.schemas import RAW_INVOICES, RAW_ORGANIZATIONS
 from ledgerfold.sources import catalog, marts, raw
-from ledgerfold.sources.workspace import shared_folder
+from ledgerfold.sources.workspace import check_shared, shared_folder
 
 HEADER = ",".join(f.name for f in RAW_INVOICES)
 ROW = '1,,11,7,x,paid,USD,USD,card,"1,5",2.50,1,,2024-01-03 08:00:00'
@@ -239,3 +239,87 @@ def test_shared_folder_follows_the_setting(spark):
     if before:
         assert folder.startswith(before.rstrip("/"))
     assert folder != shared_folder(spark)
+
+
+def test_a_folder_of_the_driver_will_not_do_on_a_cluster():
+    for place in ("file:/tmp/warehouse", "/tmp/warehouse"):
+        for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+            with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+                check_shared(place, master)
+        check_shared(place, "local[8]")
+        check_shared(place, "local")
+    check_shared("hdfs://store/warehouse", "yarn")
+
+
+def test_catalog_readers_see_one_version(spark, monkeypatch):
+    """A refresh that fails between two marts, or before the last step, changes nothing for any reader."""
+    orgs = "ORGANIZATION_ID string, FIRST_PAYMENT_DATE date, LAST_PAYMENT_DATE date, LEGAL_ENTITY_COUNTRY_CODE int, " \
+           "COUNT_TOTAL_CONTRACTS_ACTIVE long, CREATED_DATE timestamp_ntz"
+    older = plans.build_tables(golden.raw_invoices(spark), spark.createDataFrame([], orgs), golden.AS_OF)
+    later = golden.AS_OF.replace(day=15)
+    newer = plans.build_tables(
+        golden.raw_invoices(spark), spark.createDataFrame([("A", None, None, 840, 0, None)], orgs), later
+    )
+    db = "catalog_atomic"
+
+    def seen():
+        by_sql = {t: spark.sql(f"SELECT COUNT(*) FROM {db}.{t}").first()[0] for t in catalog.MARTS}
+        loaded = {t: df.count() for t, df in catalog.load(spark, db).items()}
+        assert by_sql == loaded
+        return by_sql, spark.table(f"{db}.latest_snapshot_date").first()[0]
+
+    catalog.refresh(older, golden.AS_OF, db, buckets=2)
+    before = seen()
+    shown, calls = catalog._show, []
+
+    def stops(*args):
+        calls.append(args)
+        if len(calls) == 3:
+            raise OSError("full")
+        shown(*args)
+
+    for name, broken in (("_show", stops), ("_point", lambda *a: (_ for _ in ()).throw(OSError("full")))):
+        with monkeypatch.context() as patch:
+            patch.setattr(catalog, name, broken)
+            with pytest.raises(OSError):
+                catalog.refresh(newer, later, db, buckets=2)
+        assert seen() == before
+    catalog.refresh(newer, later, db, buckets=2)
+    after = seen()
+    assert after != before and after[0]["dim_organizations"] == 1 and after[1] == later - timedelta(days=1)
+    with pytest.raises(FileNotFoundError):
+        catalog.load(spark, "default")
+
+
+def test_new_files_are_loaded_once(spark, tmp_path):
+    folder, quarantine = f"{tmp_path}/raw", lambda: sorted(
+        (r.reason, r.record, r.file.split("/")[-1]) for r in raw.read_quarantine(spark, f"{tmp_path}/raw").collect()
+    )
+    two = ROW.replace("1,,11", "2,1,12")
+    write(tmp_path / "in", "a.csv", HEADER, ROW, "1,2,3", two)
+    load = lambda: sorted(r.INVOICE_ID for r in raw.load_new_files(spark, f"{tmp_path}/in/*.csv", folder).collect())
+    assert load() == [1, 2]
+    assert load() == [1, 2]
+    assert quarantine() == [("malformed record", "1,2,3", "a.csv")]
+    three, bad_day = ROW.replace("1,,11", "3,,13"), ROW.replace("1,,11", "x,,14").replace("2024-01-03", "2024-99-03")
+    write(tmp_path / "in", "b.csv", HEADER, three, bad_day, f"{ROW},more")
+    write(tmp_path / "in", "c.csv", HEADER.replace("INVOICE_ID", "OTHER", 1), ROW)
+    assert load() == [1, 2, 3]
+    reasons = [reason for reason, _, _ in quarantine()]
+    assert reasons == ["invalid INVOICE_ID, CREATED_AT", "malformed record", "malformed record", "other header"]
+    assert raw.read_loaded(spark, folder).schema == RAW_INVOICES
+    write(tmp_path / "in", "a.csv", HEADER, ROW)
+    with pytest.raises(ValueError, match="a.csv"):
+        load()
+    assert raw.read_loaded(spark, folder).count() == 3
+
+
+def test_a_failed_load_leaves_no_rows(spark, tmp_path, monkeypatch):
+    write(tmp_path / "in", "a.csv", HEADER, ROW)
+    with monkeypatch.context() as patch:
+        patch.setattr(raw, "_MANIFEST", "no schema")
+        with pytest.raises(Exception):
+            raw.load_new_files(spark, f"{tmp_path}/in", f"{tmp_path}/raw")
+    assert raw.read_loaded(spark, f"{tmp_path}/raw").count() == 0
+    assert raw.load_new_files(spark, f"{tmp_path}/in", f"{tmp_path}/raw").count() == 1
+    assert raw.read_quarantine(spark, f"{tmp_path}/raw").count() == 0
