@@ -5,18 +5,23 @@ value found is a protected entity. Terms are judged by how much they disclose, o
 with counts over all lines and once with counts over all documents: the pointwise
 mutual information PMI(entity; term) = log(units * both / (entity * term)) over the
 entity's own information content log(units / entity) is the share of it that the
-term gives away. A term that occurs with an entity in ``support`` different lines, or
-in as many different documents, and discloses at least ``generalise`` of it by those
-counts is generalised, at least ``remove`` removed, wherever it stands: without the
-value beside it, it discloses most. Equal lines and equal texts count once towards
-support, so copies of a text are no evidence.
+term gives away. ``both`` is estimated from the other witnesses of each: of n different
+lines or texts that hold the two, any one is expected by n - 1, so that ``both`` counts
+(n - 1) / n of itself. One witness speaks for every word beside it alike and proves
+nothing; two can prove that a rare term goes with an entity; with many, the estimate is
+the plain one. Copies of a line or text are one witness. A term that discloses at least
+``generalise`` of an entity is generalised, at least ``remove`` removed, wherever it
+stands: without the value beside it, it discloses most.
 
 A term is a run of letters and digits of any length, in lower case; in Chinese and
 Japanese letters and Korean syllables, which are written without blanks or with
 endings, every two neighbours.
 
-Pairs are made only for entities with enough support, and terms are counted and
-placed only where a bitmap of fixed size may hold them; joins on the term then decide.
+Entities that occur in the same units have the same counts with every term, so one of
+them stands for all: a directory that repeats with all its entities is one entity for
+each of its terms. Pairs are made only for entities with two witnesses, as others
+disclose nothing, and terms are counted and placed only where a bitmap of fixed size
+may hold them; joins on the term then decide.
 """
 
 from __future__ import annotations
@@ -48,7 +53,7 @@ UNSPACED = "\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uac00-\ud7af\uf900-\ufaff\U0
 WORD = re.compile(rf"[^\W_{UNSPACED}]+")
 RUN = re.compile(rf"[{UNSPACED}]+")
 
-SUPPORT, GENERALISE, REMOVE = 3, 0.7, 0.9
+GENERALISE, REMOVE = 0.7, 0.9
 TERMS_AT_ONCE, PAIRS_AT_ONCE, BUCKETS = 1 << 18, 1 << 16, 1 << 20
 
 Span = tuple[int, int, int]
@@ -206,47 +211,52 @@ def found_in(docs: DataFrame) -> DataFrame:
 PAIRS = "by string, unit long, kind string, value string, term string, n long"
 
 
-def together(found: DataFrame, support: int = SUPPORT) -> DataFrame:
+def together(found: DataFrame) -> DataFrame:
     """(by, kind, value, term, support, both): in how many lines and documents an entity and a term occur.
 
-    ``by`` is line or document. The row of an entity itself has the empty term.
+    ``by`` is line or document; ``support`` counts different ones, ``both`` all. The row
+    of an entity itself has the empty term. An entity stands for all that occur in the
+    same lines, or documents. Those with one witness are left out.
     """
     values = found.select("twin", F.inline("values"))
-    common = values.groupBy("kind", "value").agg(
-        F.count_distinct("line").alias("lines"), F.count_distinct("twin").alias("texts")
-    ).where((F.col("lines") >= support) | (F.col("texts") >= support)).select("kind", "value")
-    entities = values.join(common, ["kind", "value"]).groupBy("twin").agg(
-        F.collect_set(F.struct("kind", "value")).alias("entities")
+    by_line = _leaders(values, "line").select("kind", "value", F.col("leader").alias("in_line"))
+    by_text = _leaders(values, "twin").select("kind", "value", F.col("leader").alias("in_text"))
+    entities = values.select("twin", "kind", "value").distinct().join(
+        by_line.join(by_text, ["kind", "value"], "full"), ["kind", "value"]
+    ).groupBy("twin").agg(
+        F.collect_set("in_text").alias("in_text"),
+        F.collect_list(F.when(F.col("in_line").isNotNull(), F.struct("kind", "value", "in_line"))).alias("in_line"),
     )
     texts = found.where("text is not null").groupBy("twin").agg(
         F.first("text").alias("text"), F.count(F.lit(1)).alias("copies")
-    ).join(entities, "twin").select("twin", "text", "copies", "entities")
+    ).join(entities, "twin").select("twin", "text", "copies", "in_text", "in_line")
 
     def pair(batches):
         rows: list[tuple] = []
         for batch in batches:
-            for twin, text, copies, entities in zip(*[c.to_pylist() for c in batch.columns]):
-                for row in pairs(twin, text, copies, {(e["kind"], e["value"]) for e in entities}):
+            for twin, text, copies, in_text, in_line in zip(*[c.to_pylist() for c in batch.columns]):
+                leaders = {(e["kind"], e["value"]): tuple(e["in_line"].values()) for e in in_line}
+                for row in pairs(twin, text, copies, [tuple(e.values()) for e in in_text], leaders):
                     rows.append(row)
                     if len(rows) >= PAIRS_AT_ONCE:
                         yield of_rows(rows)
                         rows = []
         yield of_rows(rows)
 
-    def pairs(twin, text, copies, entities):
+    def pairs(twin, text, copies, in_text, leaders):
         spans = base_spans(text)
         outside = _outside(text, spans)
         ordered = sorted(outside)
         starts = [a for a, _, _ in ordered]
         whole = {term for _, _, term in outside}
-        for kind, value in entities:
+        for kind, value in in_text:
             yield "document", twin, kind, value, "", copies
             for term in whole:
                 yield "document", twin, kind, value, term, copies
         by_line: dict[tuple[int, int], set] = {}
         for (start, kind, end), place in zip(spans, _lines(text, spans)):
-            if (BASE[kind], text[start:end]) in entities:
-                by_line.setdefault(place, set()).add((BASE[kind], text[start:end]))
+            if leader := leaders.get((BASE[kind], text[start:end])):
+                by_line.setdefault(place, set()).add(leader)
         for (first, last), own in by_line.items():
             line = _hash(text[first:last])
             beside = {t for _, _, t in ordered[bisect_left(starts, first):bisect_left(starts, last)]}
@@ -264,7 +274,17 @@ def together(found: DataFrame, support: int = SUPPORT) -> DataFrame:
     per_unit = texts.mapInArrow(pair, PAIRS).groupBy("by", "kind", "value", "term", "unit").agg(F.sum("n").alias("n"))
     return per_unit.groupBy("by", "kind", "value", "term").agg(
         F.count(F.lit(1)).alias("support"), F.sum("n").alias("both")
-    ).where(F.col("support") >= support)
+    ).where("support > 1")
+
+
+def _leaders(values: DataFrame, unit: str) -> DataFrame:
+    """(kind, value, leader) of the entities in two or more units; the leader is the first that is in the same ones."""
+    entity = F.struct("kind", "value")
+    seen = values.select("kind", "value", unit).distinct().groupBy("kind", "value").agg(
+        F.count(F.lit(1)).alias("units"), *[F.bit_xor(F.xxhash64(F.lit(i), unit)).alias(f"units_{i}") for i in (1, 2)]
+    ).where("units > 1")
+    same = ["units", "units_1", "units_2"]
+    return seen.join(seen.groupBy(*same).agg(F.min(entity).alias("leader")), same)
 
 
 def _bitmap(some: DataFrame):
@@ -343,7 +363,8 @@ def disclosures(
     units = F.when(by_line, n_lines).otherwise(n_documents)
     occurs = F.when(by_line, F.col("lines")).otherwise(F.col("documents"))
     content = F.log(units / F.col("entity"))
-    pmi = F.log(units * F.col("both") / (F.col("entity") * occurs))
+    both = F.col("both") * (F.col("support") - 1) / F.col("support")
+    pmi = F.log(units * both / (F.col("entity") * occurs))
     share = F.when(content > 0, pmi / content)
     return judged.select("by", "kind", "value", "term", share.alias("share")).where(
         F.col("share") >= generalise
@@ -387,19 +408,19 @@ def placed_in(docs: DataFrame, some: DataFrame) -> DataFrame:
 
 
 def flagged_terms(
-    docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE
+    docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE
 ) -> DataFrame:
     """The rows of ``disclosures`` for ``docs``, from a written table."""
     folder = shared_folder(docs.sparkSession)
     found = written(found_in(docs), f"{folder}/found")
-    pairs = written(together(found, support), f"{folder}/pairs")
+    pairs = written(together(found), f"{folder}/pairs")
     n_lines, n_documents = found.agg(F.sum("n_lines")).scalar(), found.agg(F.count(F.lit(1))).scalar()
     counts = term_counts(docs, pairs.where("term != ''"))
     return written(disclosures(pairs, counts, n_lines, n_documents, generalise, remove), f"{folder}/flagged")
 
 
 def personal_data(
-    docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE
+    docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id and all spans, by start, then kind.
 
@@ -408,7 +429,7 @@ def personal_data(
     repeat a doc_id are judged each. An empty table gives no rows. Other columns of
     ``docs`` are not read, whatever their names.
     """
-    flagged = flagged_terms(docs, support, generalise, remove).groupBy("term").agg(F.max("level").alias("level"))
+    flagged = flagged_terms(docs, generalise, remove).groupBy("term").agg(F.max("level").alias("level"))
     placed = written(placed_in(docs, flagged).withColumn("uid", F.monotonically_increasing_id()))
     more = (
         placed.select("uid", F.inline("terms")).join(flagged, "term")

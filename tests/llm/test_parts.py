@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections import Counter
 
@@ -92,6 +93,61 @@ def test_a_line_copied_into_different_documents_is_evidence(spark):
     assert all(terms[i] == {"Jane", "Roe"} for i in range(9)) and not terms[10]
 
 
+def _plain_disclosures(texts, generalise=pii.GENERALISE, remove=pii.REMOVE):
+    """(by, term) -> (highest share, level), from all entities and all terms."""
+    rows = {"line": [x for t in texts for x in t.split("\n")], "document": texts}
+    out = {}
+    for by, units in rows.items():
+        def held(unit):
+            spans = pii.base_spans(unit)
+            return {unit[a:b] for a, _, b in spans}, {t for _, _, t in pii._outside(unit, spans)}, {t for _, _, t in pii.terms(unit)}
+
+        found = [(unit, *held(unit)) for unit in units]
+        for value in set().union(*(values for _, values, _, _ in found)):
+            entity = sum(value in values for _, values, _, _ in found)
+            content = math.log(len(units) / entity)
+            for term in set().union(*(own for _, values, own, _ in found if value in values)):
+                with_both = [unit for unit, values, own, _ in found if value in values and term in own]
+                support, occurs = len(set(with_both)), sum(term in every for *_, every in found)
+                both = len(with_both) * (support - 1) / support
+                if both and content and (share := math.log(len(units) * both / (entity * occurs)) / content) >= generalise:
+                    level = pii.KINDS.index("remove" if share >= remove else "generalise")
+                    out[by, term] = max(out.get((by, term), (0, 0)), (round(share, 9), level))
+    return out
+
+
+def test_disclosures_equal_plain_counts(spark):
+    rng = random.Random(21)
+    people = [(f"p{i}@x.org", f"name{i}", f"town{i % 4}") for i in range(6)]
+    texts = []
+    for i in range(90):
+        lines = [" ".join(rng.choices(["ab", "cd", "ef", f"w{rng.randrange(200)}"], k=5)) for _ in range(rng.randint(1, 4))]
+        for mail, name, town in rng.sample(people, rng.choice([0, 0, 1, 2])):
+            lines.insert(rng.randrange(len(lines) + 1), rng.choice([f"{name} {mail}", f"{mail} {town}", f"{name} in {town} is {mail}", mail]))
+        texts += ["\n".join(lines)] * rng.choice([1, 1, 1, 3])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for r in pii.flagged_terms(docs).collect():
+        got[r.by, r.term] = max(got.get((r.by, r.term), (0, 0)), (round(r.share, 9), r.level))
+    expected = _plain_disclosures(texts)
+    assert got == expected and {term[:4] for _, term in expected} >= {"name"}
+
+
+def test_two_witnesses_can_flag_and_one_cannot(spark):
+    rows = [(i, f"plain line {chr(97 + i % 26)}{i}") for i in range(200)]
+    rows += [(200, "yesterday Yolanda wrote y@x.org"), (201, "Yolanda again, y@x.org"), (202, "only Oona o@x.org")]
+    terms = _flagged(spark, rows)
+    assert terms[200] == terms[201] == {"Yolanda"} and not terms[202]
+
+
+def test_a_directory_that_repeats_makes_few_pairs(spark):
+    lines = [f"entry{i} mail{i}@x.org" for i in range(400)]
+    docs = spark.createDataFrame([(n, "\n".join([*lines, f"edition {n}"])) for n in range(4)], "doc_id long, text string")
+    found = docs.sparkSession.createDataFrame(pii.found_in(docs).collect(), pii.found_in(docs).schema)
+    # 400 entities in the same four texts, each on a line of its own that repeats: one entity for all terms.
+    assert pii.together(found).count() < 3 * 400
+
+
 def test_tree_follows_random_edits():
     encoder = token_counts.Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     rng = random.Random(7)
