@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerfold.operators import boundaries
 from ledgerfold.operators import quality as q
 from ledgerfold.schemas import INVOICE_STATUSES
-from ledgerfold.sources.workspace import written
+from ledgerfold.sources.workspace import remove, shared_folder, written
 
 Tables = dict[str, DataFrame]
 
@@ -145,7 +145,9 @@ def boundary_checks(tables: Tables, with_relationships: bool) -> DataFrame:
     checked row by row, if there are any; in a snapshot as it is written there are none.
     """
     key, nulls = "organization_id", NOT_NULL[FACT]
-    per_key = written(boundaries.joined(written(boundaries.runs(tables[FACT]))))
+    folder = shared_folder(tables[FACT].sparkSession)
+    per_key = written(boundaries.joined(written(boundaries.runs(tables[FACT]), f"{folder}/runs")), f"{folder}/joined")
+    remove(tables[FACT].sparkSession, f"{folder}/runs")
     torn = per_key.where("torn")
     exact = None
     if not torn.isEmpty():
