@@ -128,7 +128,8 @@ def mix(
 
     A missing source is a source of its own. A row without doc_id is ordered by its
     text; NULL and empty texts have size 0; rows that repeat a doc_id follow one
-    another. An empty table gives no rows.
+    another. Carried columns may have any names, and others are not read. An empty
+    table gives no rows.
     """
     rows = docs.select(
         "doc_id", "source",

@@ -212,8 +212,9 @@ def graded(
 
     Columns: doc_id, expected_grade, tail_probability (of the best grade), kept
     (tail_probability >= ``min_tail``) and ``row``, a struct of the columns named in
-    ``carry``. NULL texts are scored as empty ones. Repeated rows come out alike.
-    Without usable labels every row is kept. An empty table gives no rows.
+    ``carry``, whatever they are called. NULL texts are scored as empty ones, long texts
+    whole. Repeated rows come out alike. Without usable labels every row is kept. An
+    empty table gives no rows. Columns that are not carried are not read.
     """
     model = fit_on(docs, labels, fit_rows)
     scored = docs.select(

@@ -85,7 +85,9 @@ def near_duplicates(
     ``max_bits`` (0 to 3) are linked; a component is all that links reach, its id
     the smallest doc_id in it (NULL if it has none). ``kept`` marks one row per
     component, that of the smallest doc_id; of rows that repeat it, exactly one.
-    Texts without words are linked like any other. An empty table gives no rows.
+    NULL and empty texts have no words; texts without words are linked like any other,
+    and long texts are hashed whole. Carried columns may have any names, and others are
+    not read. An empty table gives no rows.
     """
     folder = shared_folder(docs.sparkSession)
     rows = written(

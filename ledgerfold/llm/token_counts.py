@@ -157,7 +157,10 @@ def count_tokens(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """``docs`` (doc_id, text) with ``tokens`` and the leaves of each text's tree.
 
     ``leaf_chars`` and ``leaf_tokens`` are 32-bit integers, little-endian; the sums
-    above them are made again where a tree is used. NULL counts as an empty text.
+    above them are made again where a tree is used. NULL counts as an empty text, which
+    has no tokens; a long text is counted whole. Rows that repeat are counted each, a
+    missing doc_id stays missing, and an empty table gives no rows. Other columns are
+    not read, whatever their names.
     """
 
     def build(batches):
@@ -181,7 +184,9 @@ def apply_edits(counted: DataFrame, ranks: str, pattern: str) -> DataFrame:
     that the one before left. A missing or empty array changes nothing; an edit
     outside the text is an error. Columns: those of ``counted`` without ``edits``,
     with the new text, tokens and leaves, and tokens_before, edited (number of edits)
-    and encoded (pre-tokens that were encoded again). One row per row.
+    and encoded (pre-tokens that were encoded again). One row per row, also where rows
+    repeat; a NULL text is edited as an empty one. An empty table gives no rows. Other
+    columns are not read, whatever their names.
     """
 
     def edit(batches):

@@ -1,0 +1,126 @@
+"""Grades, places in the mix, shards, edits and pipeline stages against plain Python."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+
+import __spark_entry__ as contract
+import brute
+import corpus_pipeline
+from ledgerfold.llm import mixing, pii, quality, queries, sharding, token_counts
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def spark_hash(*values):
+    """XXH64 of 32-bit (small seeds) and 64-bit integers, each seeded by the one before."""
+    seed = 42
+    for value, size in values:
+        seed = xxhash.xxh64_intdigest((value % (1 << 8 * size)).to_bytes(size, "little"), seed)
+    return seed - (1 << 64) if seed >= 1 << 63 else seed
+
+
+def plain_features(text):
+    """The features of a text, one word at a time."""
+    found, own = set(), re.findall(r"[^ \t\n\x0b\x0c\r]+", text or "")
+    marked = capitals = 0
+    for word in own:
+        core = word.strip(".,;:\"'()[]{}<>")
+        letters = core.rstrip(".,;:!?#$%&*|_~^=+-/\\@")
+        mark, lower = core[len(letters):].strip(".,;:"), letters.lower()
+        marked += mark != ""
+        capitals += len(letters) > 1 and letters.isupper()
+        found |= {f"m {mark}", f"w {lower}", f"b {lower[:4]}", f"b {lower[:5]}"}
+    again = sum(a == b for a, b in zip(own, own[1:]))
+    for name, n in (("new", len(set(own))), ("again", again), ("marks", marked), ("capitals", capitals)):
+        found.add(f"{name} {int(10 * n / max(len(own), 1))}")
+    return sorted({xxhash.xxh64_intdigest(x) & ((1 << quality.BITS) - 1) for x in found})
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return spark.read.parquet(f"{SF_DIR}/documents.parquet").orderBy("doc_id").collect()
+
+
+def test_grades(spark, documents):
+    labels = {r.doc_id: r.quality + 1 - r.toxic for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
+    features = {r.doc_id: np.array(plain_features(r.text)) for r in documents}
+    rated = [i for i in features if i in labels]
+    model = quality.fit([features[i] for i in rated], [labels[i] for i in rated])
+    for r in contract.queries()["op4_ordinal_quality"](spark, SF_DIR).collect():
+        score = sum(model.weights[f] for f in features[r.doc_id])
+        tails = [1 / (1 + np.exp(cut - score)) for cut in model.thresholds]
+        expected = model.grades[0] + sum(t * step for t, step in zip(tails, np.diff(model.grades)))
+        assert abs(r.expected_grade - expected) < 1e-9 and abs(r.tail_probability - tails[-1]) < 1e-9
+        assert r.kept == (r.tail_probability >= 0.5)
+
+
+def test_places_in_the_mix(spark, documents):
+    by_source = {}
+    for r in documents:
+        key = spark_hash((4, 4), (r.doc_id, 8)) & ((1 << 63) - 1)
+        by_source.setdefault(r.source, []).append((key, r.doc_id, len(r.text or "")))
+    sizes = {s: sum(size for *_, size in rows) for s, rows in by_source.items()}
+    order = sorted(by_source, key=lambda s: (-sizes[s], s))
+    block = 4096
+    slots = mixing.schedule([sizes[s] // block + 1 for s in order], [max(sizes[s], 1) ** 0.5 for s in order])
+    expected = {}
+    for i, source in enumerate(order):
+        own, start = [at for at, s in enumerate(slots) if s == i], 0
+        for _, doc_id, size in sorted(by_source[source]):
+            expected[doc_id] = (source, start, start // block, own[start // block])
+            start += size
+    rows = mixing.mix(spark.read.parquet(f"{SF_DIR}/documents.parquet"), block_size=block).collect()
+    assert {r.doc_id: (r.source, r.start, r.block, r.slot) for r in rows} == expected
+
+
+def test_slots_of_shards(spark):
+    for r in contract.queries()["op9_lookup_sharding"](spark, SF_DIR).collect():
+        assert r.slot == spark_hash((r.doc_id, 8)) % sharding.TABLE_SIZE
+
+
+def test_revisions_of_odd_rows(odd):
+    path = public_tokenizers.path(queries.COUNTING_RANKS)
+    encode = token_counts.Encoder(path, public_tokenizers.PATTERN).encoding.encode_ordinary
+    counted = token_counts.count_tokens(odd, path, public_tokenizers.PATTERN)
+    rows = token_counts.apply_edits(
+        counted.withColumn("edits", queries.revision(counted.text)), path, public_tokenizers.PATTERN
+    ).collect()
+
+    def revised(text):
+        text = text or ""
+        spans, out, before = pii.base_spans(text), text + "\n", None
+        for start, kind, end in sorted(spans, reverse=True):
+            if before is None or end <= before:
+                out, before = f"{out[:start]}<{pii.KINDS[kind]}>{out[end:]}", start
+        return out
+
+    expected = Counter((r.doc_id, revised(r.text)) for r in odd.select("doc_id", "text").collect())
+    assert Counter((r.doc_id, r.text) for r in rows) == expected
+    assert all(r.tokens == len(encode(r.text)) for r in rows)
+
+
+def test_stages_on_odd_rows(spark, odd):
+    """Each stage on NULLs, repeated rows, very long texts and columns of its own names."""
+    stages = dict(corpus_pipeline.STAGES)
+    rows = Counter(map(str, odd.collect()))
+    texts = [r.text for r in odd.select("text").collect()]
+    kept = {}
+    for name in list(stages)[:-1]:
+        found = stages[name](spark, odd, SF_DIR)
+        assert found.columns == odd.columns
+        kept[name] = Counter(map(str, found.collect()))
+        assert not kept[name] - rows
+    assert kept["mixing sources"] == rows
+    assert sum(kept["exact dedup"].values()) == len({brute.plain(t) for t in texts})
+    components = brute.components([(i, brute.fingerprint(t)) for i, t in enumerate(texts)])
+    assert sum(kept["SimHash near-dedup"].values()) == len(set(components.values()))
+    packed = stages["best-fit packing"](spark, odd, SF_DIR).collect()
+    got = sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packed), key=str)
+    assert got == brute.pieces([(r.doc_id, r.text) for r in odd.collect()])
