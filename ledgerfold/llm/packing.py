@@ -17,8 +17,9 @@ from __future__ import annotations
 import os
 import zlib
 from collections import Counter
+from collections.abc import Sequence
 from functools import cache
-from itertools import accumulate
+from itertools import accumulate, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerfold.operators.balances import shuffle_tasks
+from ledgerfold.plans.tables import numbered
 from ledgerfold.sources.workspace import shared_folder, written
 
 CAPACITY = 2048
@@ -135,13 +138,14 @@ def slices(batch: pa.RecordBatch, column: int = 0, most: int = SLICE_BYTES) -> l
 
 
 def pieces(
-    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, keep_ids: bool = False
+    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, keep_ids: bool = False,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Every document's ids and ``end_id``, cut to ``capacity`` where longer.
 
     Columns: doc_id, piece, start, length, ids_crc32, and block and rank, which
-    count pieces of a length within their task; ``keep_ids`` adds the ids. NULL and
-    empty texts are one piece of one id.
+    count pieces of a length within their task; ``keep_ids`` adds the ids, and the columns
+    in ``order``, which are longs, go along. NULL and empty texts are one piece of one id.
     """
 
     def cut(batches):
@@ -149,13 +153,14 @@ def pieces(
         block = TaskContext.get().partitionId()
         for batch in batches:
             for part in slices(batch, 1):
-                out = [[] for _ in range(8)]
-                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1))):
+                out = [[] for _ in range(8 + len(order))]
+                places = zip(*(part.column(2 + i).to_pylist() for i in range(len(order)))) if order else repeat(())
+                for doc_id, ids, place in zip(part.column(0).to_pylist(), encoder.encode(part.column(1)), places):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                     for piece, start in enumerate(range(0, len(ids), capacity)):
                         own = ids[start:start + capacity]
                         row = (doc_id, piece, start, len(own), zlib.crc32(own.tobytes()), block,
-                               seen[len(own)], own if keep_ids else None)
+                               seen[len(own)], *place, own if keep_ids else None)
                         seen[len(own)] += 1
                         for column, value in zip(out, row):
                             column.append(value)
@@ -166,9 +171,11 @@ def pieces(
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "block", "rank"]
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, block int, rank long"
+    kinds, names = [*kinds, *[pa.int64()] * len(order)], [*names, *order]
+    schema = ", ".join([schema, *(f"{c} long" for c in order)])
     if keep_ids:
         kinds, names, schema = [*kinds, pa.list_(pa.int64())], [*names, "ids"], f"{schema}, ids array<long>"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text", *order).mapInArrow(cut, schema)
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Pattern]:
@@ -261,12 +268,15 @@ def _pair(free: np.ndarray, there: np.ndarray, total: int) -> list[int] | None:
     return [int(a[good][0]), int(total - a[good][0])] if good.any() else None
 
 
-def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+def pack(cut: DataFrame, capacity: int = CAPACITY, order: Sequence[str] = ()) -> DataFrame:
     """The pieces with ``sequence_id`` and ``offset``: their place without gaps.
 
-    ``cut`` must be a written table, as ranks hold for one run of ``pieces``. An
-    empty table gives no rows.
+    ``cut`` must be a written table, as ranks hold for one run of ``pieces``. With
+    ``order``, pieces of a length are taken in the order of these columns, and sequences
+    are numbered in the order of their first piece. An empty table gives no rows.
     """
+    if order:
+        cut = _in_order(cut, order)
     counts = cut.groupBy("block", "length").agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy("length").agg(F.sum("n").alias("n")).collect()
     patterns = plan({x.length: x.n for x in totals}, capacity)
@@ -302,21 +312,47 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             )
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ranked.select(*names).schema)
-    return ranked.mapInArrow(place, f"{schema}, sequence_id long, offset long")
+    placed = ranked.mapInArrow(place, f"{schema}, sequence_id long, offset long")
+    if not order:
+        return placed
+    placed = written(placed)
+    firsts = placed.groupBy("sequence_id").agg(F.min(F.struct(*order)).alias("first"))
+    numbers = numbered(firsts, "first", "sequence_id").select("sequence_id", (F.col("row_number") - 1).alias("place"))
+    return placed.join(numbers, "sequence_id").withColumn("sequence_id", F.col("place")).drop("place")
+
+
+def _in_order(cut: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The pieces, ranked among those of their length by ``order`` instead of by task.
+
+    A range of the order is a block, and ranks begin anew in it, so that a length with
+    most of the pieces is spread over many tasks.
+    """
+    keys = [*order, "doc_id", "piece", "block", "rank"]
+    ranges = cut.repartitionByRange(shuffle_tasks(cut), "length", *keys).sortWithinPartitions("length", *keys)
+    rows = written(ranges.withColumns({"at": F.monotonically_increasing_id(), "block": F.spark_partition_id()}))
+    first = rows.groupBy("length", "block").agg(F.min("at").alias("first"))
+    ranked = rows.join(first, ["length", "block"]).withColumn("rank", F.col("at") - F.col("first"))
+    return ranked.select(*cut.columns)
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bool = False
+    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bool = False, order: Sequence[str] = ()
 ) -> DataFrame:
     """Encode, cut and pack ``docs``: a row per piece with its place.
 
+    ``order`` names columns of ``docs``, longs, in whose order pieces of a length are
+    used and sequences are numbered, from 0.
+
     NULL texts count as empty; a missing doc_id stays missing; repeated rows are
     packed each. Other columns of ``docs`` are not read, whatever their names.
     """
     folder = shared_folder(docs.sparkSession)
-    cut = written(pieces(docs, tokenizer, capacity, keep_ids=keep_ids), f"{folder}/pieces")
-    order = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-    return pack(cut, capacity).select(*order, *(["ids"] if keep_ids else []))
+    # Under names that no column of the pieces has.
+    by = [f"by_{i}" for i in range(len(order))]
+    known = docs.select("doc_id", "text", *[F.col(f"`{c}`").cast("long").alias(b) for b, c in zip(by, order)])
+    cut = written(pieces(known, tokenizer, capacity, keep_ids=keep_ids, order=by), f"{folder}/pieces")
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    return pack(cut, capacity, by).select(*columns, *(["ids"] if keep_ids else []))
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -239,6 +239,23 @@ def test_pipeline(spark, texts):
         assert stage(spark, docs.limit(0), SF_DIR).columns == docs.columns
 
 
+def test_sequences_follow_the_mix(spark, tmp_path):
+    """After the mixing stage is written to files and these are read in another order."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    corpus_pipeline.mix_sources(spark, docs, SF_DIR).write.parquet(f"{tmp_path}/mixed")
+    reread = spark.read.parquet(f"{tmp_path}/mixed").repartition(3, "source")
+    rows = corpus_pipeline.pack_sequences(spark, reread, SF_DIR).collect()
+    brute.check_packing(rows)
+    places = {r.doc_id: (r.slot, r.start) for r in _run(spark, "op1_pfair_mix")}
+    first = {}
+    for r in rows:
+        first[r.sequence_id] = min(first.get(r.sequence_id, places[r.doc_id]), places[r.doc_id])
+    assert [s for s, _ in sorted(first.items(), key=lambda x: x[1])] == list(range(len(first)))
+    assert len(first) == len({r.sequence_id for r in _run(spark, "op3_best_fit_packing")})
+    again = corpus_pipeline.pack_sequences(spark, docs, SF_DIR).collect()
+    assert sorted(map(str, again)) == sorted(map(str, rows))
+
+
 def test_mixing_stage_orders_rows(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     ordered = [r.doc_id for r in corpus_pipeline.mix_sources(spark, docs, SF_DIR).collect()]
