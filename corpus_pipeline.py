@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
 Parquet and read again as the docs of the next. All but the last return the columns
-of ``documents``.
+of ``documents``, whatever they are called. An empty table gives no rows in any stage.
 """
 
 from __future__ import annotations
@@ -20,32 +20,51 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that reach the best grade more likely than not."""
+    """Documents that reach the best grade more likely than not.
+
+    NULL texts are graded as empty ones, rows that repeat alike; without labels all stay.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.graded(docs, labels, carry=docs.columns).where("kept").select(*_carried(docs))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that is equal but for white space."""
+    """One document of each group that is equal but for white space: the longest, then that of the smallest doc_id.
+
+    NULL, empty and blank texts are one group; of rows that repeat, one stays.
+    """
     return exact_dedup.exact_dedup(docs, carry=docs.columns).where("kept").select(*_carried(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component."""
+    """One document of each SimHash component: that of the smallest doc_id, or one of those without.
+
+    NULL and empty texts have the fingerprint zero and are linked like any other.
+    """
     found = simhash.near_duplicates(docs, shingle=3, max_bits=2, carry=docs.columns)
     return found.where("kept").select(*_carried(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order of the mix of their sources."""
+    """All documents, in the order of the mix of their sources.
+
+    A missing source is one of its own; rows without doc_id are ordered by their text.
+    """
     mixed = mixing.mix(docs, carry=docs.columns)
     ordered = mixed.repartitionByRange("slot", "start", "doc_id").sortWithinPartitions("slot", "start", "doc_id")
     return ordered.select(*_carried(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every piece of every document in sequences of 2048 tokens."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """The place of every piece of every document in sequences of 2048 tokens.
+
+    Pieces are used, and sequences numbered, in the order of the mix. A document's place
+    in it depends on the documents alone, so it is worked out again here: the files that
+    hold them may be read in any order.
+    """
+    mixed = mixing.mix(docs, carry=["text"]).select("doc_id", F.col("row.text").alias("text"), "slot", "start")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(mixed, path, order=["slot", "start"])
 
 
 STAGES: list[tuple[str, Stage]] = [
