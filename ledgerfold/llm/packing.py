@@ -36,7 +36,7 @@ CAPACITY = 2048
 # For each plan the eighths of the capacity from which on a piece's gap is filled by pairs, and by triples.
 COMBINED_FROM = ((0, 0), (0, 4), (0, 6), (0, 7), (4, 4), (4, 6), (4, 7), (6, 6), (6, 7), (7, 7))
 SLICE_BYTES = 4 << 20
-KNOWN_WORDS, RUN_WORDS = 1 << 19, 1024
+KNOWN_WORDS, RUN_WORDS = 1 << 18, 1024
 
 Pattern = tuple[int, list[tuple[int, int]]]
 
