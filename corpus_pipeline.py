@@ -64,7 +64,8 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     mixed = mixing.mix(docs, carry=["text"]).select("doc_id", F.col("row.text").alias("text"), "slot", "start")
     path = public_tokenizers.path("word_bpe_49k.json")
-    return packing.pack_documents(mixed, path, order=["slot", "start"])
+    # Written, so that no task sorts texts and encodes them at the same time.
+    return packing.pack_documents(written(mixed), path, order=["slot", "start"])
 
 
 STAGES: list[tuple[str, Stage]] = [
