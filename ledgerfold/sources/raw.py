@@ -15,6 +15,7 @@ from ledgerfold.sources.workspace import exists
 LOADS, MANIFEST = "loads", "manifest"
 _LISTED = "path string, length long, modified timestamp"
 _MANIFEST = f"{_LISTED}, load string"
+_QUARANTINE = T.StructType([T.StructField(c, T.StringType()) for c in ("file", "record", "reason")])
 
 
 def read_invoices(spark: SparkSession, path: str) -> DataFrame:
@@ -161,4 +162,4 @@ def read_loaded(spark: SparkSession, folder: str, schema: T.StructType = RAW_INV
 
 def read_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     """The records of all loads that were set apart: file, record and reason."""
-    return _loaded(spark, folder, T._parse_datatype_string("file string, record string, reason string"), bad=True)
+    return _loaded(spark, folder, _QUARANTINE, bad=True)
