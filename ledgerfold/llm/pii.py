@@ -54,7 +54,9 @@ WORD = re.compile(rf"[^\W_{UNSPACED}]+")
 RUN = re.compile(rf"[{UNSPACED}]+")
 
 GENERALISE, REMOVE = 0.7, 0.9
-TERMS_AT_ONCE, PAIRS_AT_ONCE, BUCKETS = 1 << 18, 1 << 16, 1 << 20
+TERMS_AT_ONCE, PAIRS_AT_ONCE = 1 << 18, 1 << 16
+# Bits of a bitmap: so many for each term, between these bounds (16 MB at most).
+BITS_PER_TERM, LEAST_BITS, MOST_BITS = 64, 1 << 20, 1 << 27
 
 Span = tuple[int, int, int]
 
@@ -288,23 +290,30 @@ def _leaders(values: DataFrame, unit: str) -> DataFrame:
 
 
 def _bitmap(some: DataFrame):
-    """Broadcast bytes that are 1 at the hash of every term of ``some``."""
-    bits = np.zeros(BUCKETS, np.uint8)
-    rows = some.select(F.crc32(F.encode("term", "utf-8")).bitwiseAND(F.lit(BUCKETS - 1)).alias("bucket"))
-    for batch in rows.distinct().toArrow().to_batches():
-        bits[batch.column(0).to_numpy()] = 1
-    return some.sparkSession.sparkContext.broadcast(bits.tobytes())
+    """Broadcast bits that are set at the hash of every term of ``some``, a written table."""
+    size = BITS_PER_TERM * some.select("term").distinct().count()
+    size = min(max(LEAST_BITS, 1 << size.bit_length()), MOST_BITS)
+    place = F.crc32(F.encode("term", "utf-8")).bitwiseAND(F.lit(size - 1)) + 1
+    pieces = some.groupBy(F.bitmap_bucket_number(place).alias("piece")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    bits = bytearray(size // 8)
+    for row in pieces.toLocalIterator():
+        at = (row.piece - 1) * len(row.bits)
+        bits[at:at + len(row.bits)] = row.bits
+    return some.sparkSession.sparkContext.broadcast(bytes(bits))
 
 
 class _Wanted(dict):
     """The term of a spelling where its bit is set, else None; spellings met are remembered."""
 
     def __init__(self, bits: bytes):
-        self.bits, self.any = bits, 1 in bits
+        self.bits, self.last, self.any = bits, 8 * len(bits) - 1, any(bits)
 
     def __missing__(self, word: str) -> str | None:
         term = word.lower()
-        self[word] = found = term if self.bits[crc32(term.encode()) & (BUCKETS - 1)] else None
+        bit = crc32(term.encode()) & self.last
+        self[word] = found = term if self.bits[bit >> 3] >> (bit & 7) & 1 else None
         return found
 
     def of(self, text: str) -> set[str]:
