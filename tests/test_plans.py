@@ -71,11 +71,6 @@ def test_pairs_need_no_further_shuffle(stg):
     assert main.count("Exchange hashpartitioning(organization_id#") <= 2
 
 
-def test_staging_stays_in_whole_stage_code(stg):
-    plan = stg._jdf.queryExecution().executedPlan().toString()
-    assert "*(1) Project" in plan and plan.count("Project") == plan.count("*(1) Project")
-
-
 @pytest.mark.parametrize("name", sorted(contract.balance_queries()))
 def test_no_python_and_no_row_pairing(spark, name):
     df = contract.balance_queries()[name](spark, SF_DIR)
