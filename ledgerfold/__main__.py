@@ -65,7 +65,7 @@ def append(spark: SparkSession, args: argparse.Namespace) -> int:
 
 def check(spark: SparkSession, args: argparse.Namespace) -> int:
     stored = {**_raw_tables(spark, args), **_marts(spark, args)}
-    report = checks.run_suite(stored, args.relationships, in_files=not args.database)
+    report = checks.run_suite(stored, args.relationships, by_summaries=True)
     marts.write_table(report, args.out)
     return 0 if spark.read.parquet(args.out).where("NOT passed").isEmpty() else 1
 

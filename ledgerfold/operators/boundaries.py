@@ -1,11 +1,13 @@
-"""Checks of a stored snapshot that shuffle summaries of its rows instead of the rows.
-
-Wherever rows are read, neighbouring days of an organisation are summed up as one run:
-its first and last day and balance, and the failures inside. Runs are put in order per
-organisation, and only where one ends and the next begins is there anything left to
-compare. Files written in the order of organisations give about one run for the thirty
-days of a month; any other order gives more runs and the same result. Where the runs of
-an organisation overlap, or have a day twice or none, its rows are checked one by one.
+"""Checks of a snapshot that shuffle and sort summaries of its rows instead of the rows.
+
+Neighbouring days of an organisation are summed up as one run: its first and last day and
+balance, and the failures inside. Runs are put in order per organisation, and only where
+one ends and the next begins is there anything left to compare. Where the runs of an
+organisation overlap, or have a day twice or none, its rows are checked one by one.
+
+``stretches`` makes runs by a hash aggregation, in any order of the rows: one for each
+balance in 64 days, whose days are the bits of a number. ``runs`` makes them without an
+aggregation, of rows that lie together, in Arrow batches.
 """
 
 from __future__ import annotations
@@ -15,12 +17,87 @@ from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 COLUMNS = ("organization_id", "snapshot_date", "daily_net_change_usd", "cumulative_net_financial_balance_usd")
 
 
+def _chunk_and_bit() -> tuple[Column, Column]:
+    """The number of the 64 days in which a day lies, and its bit in them."""
+    day = F.unix_date("snapshot_date")
+    return F.shiftright(day, 6), F.call_function("shiftleft", F.lit(1).cast("long"), day.bitwiseAND(F.lit(63)))
+
+
+def stretches(snapshot: DataFrame) -> DataFrame:
+    """The runs of rows with one balance inside 64 days, in the columns of ``runs``.
+
+    Rows are counted per (organisation, 64 days, balance, whether the change is not
+    negative), which is map-side and needs no order. Neighbouring bits are a run; inside
+    it the balance cannot fall. A day that such a group has twice leaves it without days.
+    """
+    chunk, bit = _chunk_and_bit()
+    key, day, change, balance = COLUMNS
+    groups = (
+        snapshot.select(
+            key, day, F.coalesce(F.col(change) >= 0, F.lit(False)).alias("rises"), F.col(balance).alias("balance"),
+            F.col(change).isNull().alias("unknown"), chunk.alias("chunk"), bit.alias("bit"),
+        )
+        .groupBy(key, "chunk", "rises", "balance")
+        .agg(
+            F.bit_or("bit").alias("bits"), F.min(day).alias("first"), F.count(F.lit(1)).alias("rows"),
+            F.count_if("unknown").alias("unknown"),
+        )
+    )
+    bits, first, days = F.col("bits"), F.unix_date("first"), F.bit_count("bits")
+    begins = bits.bitwiseAND(F.bitwise_not(F.shiftleft(bits, 1)))
+    ends = bits.bitwiseAND(F.bitwise_not(F.shiftrightunsigned(bits, 1)))
+
+    def places(mask: Column) -> Column:
+        return F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.bit_get(mask, i) == 1)
+
+    def run(begin: Column, end: Column) -> Column:
+        return F.struct(begin.alias("begin"), end.alias("end"))
+
+    base = F.col("chunk") * 64
+    found = F.when(F.bit_count(begins) == 1, F.array(run(first, first + days - 1))).otherwise(
+        F.zip_with(places(begins), places(ends), lambda b, e: run(base + b, base + e))
+    )
+    single, rows = days == F.col("rows"), F.col("rows")
+    # What the group counts stands at its first run.
+    here = F.col("run.begin").eqNullSafe(first)
+
+    def counted(count: Column) -> Column:
+        return F.when(here, count).otherwise(F.lit(0).cast("long"))
+
+    nulls = [F.col(key).isNull(), F.col("first").isNull(), None, F.col("balance").isNull()]
+    return groups.select("*", F.explode_outer(found).alias("run")).select(
+        key,
+        F.when(single, F.date_from_unix_date("run.begin")).alias("first_day"),
+        F.when(single, F.date_from_unix_date("run.end")).alias("last_day"),
+        "rises", F.col("balance").alias("first_balance"), F.col("balance").alias("last_balance"),
+        F.lit(0).cast("long").alias("falls"), counted(rows).alias("rows"),
+        *[
+            (counted(F.col("unknown")) if null is None else counted(F.when(null, rows).otherwise(F.lit(0).cast("long"))))
+            .alias(f"no_{c}") for c, null in zip(COLUMNS, nulls)
+        ],
+    )
+
+
+def suspects(snapshot: DataFrame) -> DataFrame:
+    """The organisations with a fall, or with rows that only a check row by row can judge."""
+    return joined(stretches(snapshot)).where(F.col("torn") | (F.col("falls") > 0)).select("organization_id")
+
+
+def repeating(snapshot: DataFrame) -> DataFrame:
+    """The organisations with a day, or rows without one, more than once."""
+    chunk, bit = _chunk_and_bit()
+    groups = snapshot.select("organization_id", chunk.alias("chunk"), bit.alias("bit")).groupBy("organization_id", "chunk")
+    days = groups.agg(F.bit_or("bit").alias("bits"), F.count(F.lit(1)).alias("rows"))
+    twice = F.col("rows") > F.coalesce(F.bit_count("bits"), F.lit(1))
+    return days.where(twice).select("organization_id").distinct()
+
+
 def runs(snapshot: DataFrame) -> DataFrame:
     """The runs of the rows, without a shuffle.
 

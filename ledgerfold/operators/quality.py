@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerfold.operators import boundaries
 from ledgerfold.schemas import BASE_CURRENCY, INFLOW_STATUS, MONEY, OUTFLOW_STATUSES, RATE
 
 
@@ -119,9 +120,15 @@ def negative_missing_usd(stg: DataFrame) -> DataFrame:
 
 
 def balance_consistency(snapshot: DataFrame) -> DataFrame:
-    """Days on which the balance fell although the day's change was not negative."""
+    """Days on which the balance fell although the day's change was not negative.
+
+    Organisations with such a day are found by summaries, so that only their rows are
+    sorted. They are few in any snapshot worth reading, and so are broadcast; where there
+    are none, Spark leaves out the second reading.
+    """
+    rows = boundaries.rows_of(snapshot, F.broadcast(boundaries.suspects(snapshot)))
     return (
-        snapshot.select("*", previous_day_balance().alias("previous_day_balance"))
+        rows.select("*", previous_day_balance().alias("previous_day_balance"))
         .where(fell_without_outflow(F.col("previous_day_balance")))
         .select(
             "snapshot_date",

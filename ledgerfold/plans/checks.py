@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerfold.operators import boundaries
 from ledgerfold.operators import quality as q
 from ledgerfold.schemas import INVOICE_STATUSES
-from ledgerfold.sources.workspace import remove, shared_folder, written
+from ledgerfold.sources.workspace import written
 
 Tables = dict[str, DataFrame]
 
@@ -57,9 +57,9 @@ def accepted_values(tables: Tables) -> DataFrame:
 
 
 def unique_combination(tables: Tables) -> DataFrame:
-    return q.unique_combination(
-        tables[FACT], FACT, "Q15", ["snapshot_date", "organization_id"]
-    )
+    """Organisations with a repeated day are found by bits; only their days are counted one by one."""
+    rows = boundaries.rows_of(tables[FACT], F.broadcast(boundaries.repeating(tables[FACT])))
+    return q.unique_combination(rows, FACT, "Q15", ["snapshot_date", "organization_id"])
 
 
 def relationships(tables: Tables) -> DataFrame:
@@ -139,15 +139,14 @@ def snapshot_checks(tables: Tables, with_relationships: bool) -> DataFrame:
 
 
 def boundary_checks(tables: Tables, with_relationships: bool) -> DataFrame:
-    """The checks of a snapshot stored in files, by boundary summaries; the result of ``snapshot_checks``.
+    """The checks of a snapshot by boundary summaries; the result of ``snapshot_checks``.
 
-    Runs of rows are written and read again. Organisations whose runs are torn are
-    checked row by row, if there are any; in a snapshot as it is written there are none.
+    The summary of each organisation is written and read again. Organisations whose runs
+    are torn are checked row by row, if there are any; in a snapshot as it is built there
+    are none. A snapshot grouped by organisation is not shuffled, of any other its runs.
     """
     key, nulls = "organization_id", NOT_NULL[FACT]
-    folder = shared_folder(tables[FACT].sparkSession)
-    per_key = written(boundaries.joined(written(boundaries.runs(tables[FACT]), f"{folder}/runs")), f"{folder}/joined")
-    remove(tables[FACT].sparkSession, f"{folder}/runs")
+    per_key = written(boundaries.joined(boundaries.stretches(tables[FACT])))
     torn = per_key.where("torn")
     exact = None
     if not torn.isEmpty():
@@ -178,17 +177,17 @@ def _orphans(key: str) -> Column:
     return F.sum(F.when(F.col("_known").isNull() & F.col(key).isNotNull(), F.col("_rows")))
 
 
-def run_suite(tables: Tables, with_relationships: bool = False, in_files: bool = False) -> DataFrame:
+def run_suite(tables: Tables, with_relationships: bool = False, by_summaries: bool = False) -> DataFrame:
     """Every check, one row each.
 
     Works on lazy and on stored tables. The lazy snapshot is generated once and not
     shuffled, as it is already grouped by organisation; nor is a bucketed stored one.
-    ``in_files`` is for a snapshot stored in folders, which is checked by boundary
-    summaries and not shuffled either.
+    ``by_summaries`` is for a large snapshot, lazy or stored: it is checked at once, by
+    boundary summaries, and its rows are not sorted.
     """
     return q.combine([
         organization_checks(tables, "stg_organizations"),
         organization_checks(tables, "dim_organizations"),
         invoice_checks(tables, with_relationships),
-        (boundary_checks if in_files else snapshot_checks)(tables, with_relationships),
+        (boundary_checks if by_summaries else snapshot_checks)(tables, with_relationships),
     ])
