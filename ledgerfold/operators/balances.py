@@ -159,55 +159,76 @@ def date_spine(global_min: DataFrame, as_of: date) -> DataFrame:
     return global_min.where(start <= end).select(days_between(start, end).alias("date_day"))
 
 
-def organization_daily_scaffold(
-    spans: DataFrame, as_of: date, spine_scope: str = "paid"
-) -> DataFrame:
-    """Every organisation on every spine day from its first activity on.
+# Days that a task sorts in memory.
+DAYS_PER_TASK = 1 << 21
+
+
+def _scaffold_starts(spans: DataFrame, as_of: date, spine_scope: str) -> tuple[DataFrame, Column]:
+    """(organization_id, _start): the first day of each series, and the start of the spine.
 
-    Each organisation generates its own days, so nothing is paired and dropped.
     The spine start is a scalar over the same spans. An organisation that began
     with a payment began in the spine; testing that first keeps both columns in
     both uses, and Spark aggregates the spans once.
     """
-    end = F.lit(last_day(as_of))
     first, first_paid = F.col("first_transaction_date"), F.col("first_paid_date")
     spans = spans.where(first.isNotNull())
     opens = first_paid if check_scope(spine_scope) == "paid" else first
     start = spans.agg(F.coalesce(F.min(opens), F.lit(as_of))).scalar()
+    own_start = F.when(first_paid == first, first).otherwise(F.greatest(first, start))
+    return spans.select("organization_id", own_start.alias("_start")), start
+
+
+def organization_daily_scaffold(
+    spans: DataFrame, as_of: date, spine_scope: str = "paid"
+) -> DataFrame:
+    """Every organisation on every spine day from its first activity on.
+
+    Each organisation generates its own days, so nothing is paired and dropped.
+    """
+    end = F.lit(last_day(as_of))
+    starts, _ = _scaffold_starts(spans, as_of, spine_scope)
     return (
-        spans.select(
-            "organization_id",
-            F.when(first_paid == first, first).otherwise(F.greatest(first, start)).alias("_start"),
-        )
         # A row becomes many days: keep these small partitions apart.
-        .repartition(shuffle_tasks(spans), "organization_id")
+        starts.repartition(shuffle_tasks(spans), "organization_id")
         .where(F.col("_start") <= end)
         .select(days_between(F.col("_start"), end).alias("snapshot_date"), "organization_id")
     )
 
 
-def daily_net_filled(scaffold: DataFrame, daily_net: DataFrame) -> DataFrame:
-    """The scaffold with its movements, 0 on quiet days.
+def dense_balance(
+    spans: DataFrame, daily_net: DataFrame, as_of: date, spine_scope: str = "paid"
+) -> DataFrame:
+    """The scaffold with its movements, 0 on quiet days, and the running balance.
 
-    The plain equi-join never matches a NULL organisation, whose days stay 0.
+    Series and movements are shuffled by organisation before the days are generated.
+    There each day of the scaffold meets the movement sorted right before it, if one is of
+    its day, so no day is shuffled, and the join and the running sum share one sort. The
+    days are counted first, for as many tasks as sort their days in memory. A NULL
+    organisation is joined to nothing: its days stay 0.
     """
-    moves = daily_net.withColumnRenamed("transaction_date", "snapshot_date")
-    return scaffold.join(moves, ["organization_id", "snapshot_date"], "left").select(
+    end = F.lit(last_day(as_of))
+    starts, start = _scaffold_starts(spans, as_of, spine_scope)
+    series = starts.where(F.col("_start") <= end)
+    days = series.agg(F.sum(F.datediff(end, "_start").cast("long") + 1)).first()[0] or 0
+    tasks = max(shuffle_tasks(spans), -(-days // DAYS_PER_TASK))
+    day = F.col("transaction_date")
+    moves = daily_net.where(F.col("organization_id").isNotNull() & (day >= start) & (day <= end))
+    rows = series.select(
+        "organization_id", F.col("_start").alias("_first"), end.alias("_last"), zero_usd().alias("_change"),
+        F.lit(True).alias("_scaffold"),
+    ).unionAll(moves.select("organization_id", day, day, "daily_net_change_usd", F.lit(False)))
+    daily = rows.repartition(tasks, "organization_id").select(
+        "organization_id", days_between(F.col("_first"), F.col("_last")).alias("snapshot_date"), "_change", "_scaffold",
+    )
+    # The movement of a day comes before its place in the scaffold.
+    by_day = Window.partitionBy("organization_id").orderBy("snapshot_date", "_scaffold")
+    history = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    moved = F.lag("snapshot_date").over(by_day) == F.col("snapshot_date")
+    filled = daily.select(
         "snapshot_date",
         "organization_id",
-        F.coalesce("daily_net_change_usd", zero_usd()).alias("daily_net_change_usd"),
-    )
-
-
-def running_balance(filled: DataFrame) -> DataFrame:
-    """Cumulative balance per organisation in day order."""
-    history = (
-        Window.partitionBy("organization_id")
-        .orderBy("snapshot_date")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    total = F.sum("daily_net_change_usd").over(history).cast(USD)
-    return with_comments(
-        filled.withColumn("cumulative_net_financial_balance_usd", total),
-        "fct_daily_financial_snapshot",
+        F.when(moved, F.lag("_change").over(by_day)).otherwise(zero_usd()).alias("daily_net_change_usd"),
+        F.sum("_change").over(history).cast(USD).alias("cumulative_net_financial_balance_usd"),
+        "_scaffold",
     )
+    return with_comments(filled.where("_scaffold").drop("_scaffold"), "fct_daily_financial_snapshot")

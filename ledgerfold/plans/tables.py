@@ -34,11 +34,8 @@ def daily_snapshot(
         return segments.expand_days(segments.balance_segments(days, as_of, spine_scope), first)
     if plan != "dense":
         raise ValueError(f"plan must be 'sparse' or 'dense', not {plan!r}")
-    scaffold = balances.organization_daily_scaffold(
-        balances.organization_spans(stg), as_of, spine_scope
-    )
-    filled = balances.daily_net_filled(scaffold, balances.daily_net_aggregates(stg))
-    snapshot = balances.running_balance(filled)
+    spans, daily_net = balances.organization_spans(stg), balances.daily_net_aggregates(stg)
+    snapshot = balances.dense_balance(spans, daily_net, as_of, spine_scope)
     return snapshot if first is None else snapshot.where(F.col("snapshot_date") >= F.lit(first))
 
 

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 
-from ledgerfold.operators import boundaries, quality, staging
+from ledgerfold.operators import balances, boundaries, quality, staging
 from ledgerfold.operators.balances import daily_activity
 from ledgerfold.plans import checks
 from ledgerfold.plans import tables as plans
@@ -129,3 +129,15 @@ def test_a_checked_snapshot_needs_no_python(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "MapInArrow" not in plan
     assert "snapshot_date ASC" not in plan
+
+
+def test_the_dense_plan_shuffles_no_days(spark, monkeypatch):
+    """Days are generated after the last shuffle, in tasks that their number sets, and sorted once."""
+    stg = staging.stg_invoices(golden.raw_invoices(spark))
+    monkeypatch.setattr(balances, "DAYS_PER_TASK", 100)
+    dense = plans.daily_snapshot(stg, AS_OF, plan="dense")
+    plan = dense._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+    above = plan[:plan.index("Generate explode(sequence")]
+    assert "Exchange" not in above and "Join" not in above and above.count("Sort [") == 1, plan
+    assert dense.rdd.getNumPartitions() > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(map(str, dense.collect())) == sorted(map(str, plans.daily_snapshot(stg, AS_OF).collect()))
