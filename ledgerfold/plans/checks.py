@@ -138,15 +138,15 @@ def snapshot_checks(tables: Tables, with_relationships: bool) -> DataFrame:
     return q.reported(per_key.agg(*failures), FACT, checks)
 
 
-def boundary_checks(tables: Tables, with_relationships: bool) -> DataFrame:
+def boundary_checks(tables: Tables, with_relationships: bool, folder: str | None = None) -> DataFrame:
     """The checks of a snapshot by boundary summaries; the result of ``snapshot_checks``.
 
-    The summary of each organisation is written and read again. Organisations whose runs
+    The summary of each organisation is written, to ``folder`` or a fresh one, and read again. Organisations whose runs
     are torn are checked row by row, if there are any; in a snapshot as it is built there
     are none. A snapshot grouped by organisation is not shuffled, of any other its runs.
     """
     key, nulls = "organization_id", NOT_NULL[FACT]
-    per_key = written(boundaries.joined(boundaries.stretches(tables[FACT])))
+    per_key = written(boundaries.joined(boundaries.stretches(tables[FACT])), folder)
     torn = per_key.where("torn")
     exact = None
     if not torn.isEmpty():
@@ -177,17 +177,23 @@ def _orphans(key: str) -> Column:
     return F.sum(F.when(F.col("_known").isNull() & F.col(key).isNotNull(), F.col("_rows")))
 
 
-def run_suite(tables: Tables, with_relationships: bool = False, by_summaries: bool = False) -> DataFrame:
+def run_suite(
+    tables: Tables, with_relationships: bool = False, by_summaries: bool = False, folder: str | None = None
+) -> DataFrame:
     """Every check, one row each.
 
     Works on lazy and on stored tables. The lazy snapshot is generated once and not
     shuffled, as it is already grouped by organisation; nor is a bucketed stored one.
     ``by_summaries`` is for a large snapshot, lazy or stored: it is checked at once, by
-    boundary summaries, and its rows are not sorted.
+    boundary summaries, written to ``folder``, and its rows are not sorted.
     """
+    if by_summaries:
+        snapshot = boundary_checks(tables, with_relationships, folder)
+    else:
+        snapshot = snapshot_checks(tables, with_relationships)
     return q.combine([
         organization_checks(tables, "stg_organizations"),
         organization_checks(tables, "dim_organizations"),
         invoice_checks(tables, with_relationships),
-        (boundary_checks if by_summaries else snapshot_checks)(tables, with_relationships),
+        snapshot,
     ])
