@@ -160,8 +160,8 @@ def ratings(labels: DataFrame) -> DataFrame:
 def fit_on(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """A model fitted on up to ``fit_rows`` rated rows of ``docs``.
 
-    The sample is bounded, so it is broadcast to the texts and its features go to
-    the driver.
+    The sample is bounded, so it is broadcast to the texts, and its features are
+    gathered in the task that fits; the driver receives the model.
     """
     sample = ratings(labels).orderBy(F.xxhash64(F.lit(7), "doc_id"), "doc_id").limit(fit_rows)
     rated = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
@@ -178,11 +178,23 @@ def fit_on(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Mode
     rows = rated.select(F.col("doc_id").cast("long"), "text", "rating").mapInArrow(
         extract, "doc_id long, rating int, features array<int>"
     )
-    table = rows.orderBy("doc_id", F.hash("features")).limit(fit_rows).toArrow()
-    lists = table["features"].combine_chunks()
-    flat, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
-    features = [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
-    return fit(features, table["rating"].to_pylist())
+
+    def train(batches):
+        table = pa.Table.from_batches(batches, sample_schema)
+        lists = table["features"].combine_chunks()
+        flat, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+        features = [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+        model = fit(features, table["rating"].to_pylist())
+        yield pa.RecordBatch.from_pydict({
+            "weights": [model.weights], "thresholds": [model.thresholds], "grades": [model.grades],
+        })
+
+    sample_schema = pa.schema([("doc_id", pa.int64()), ("rating", pa.int32()), ("features", pa.list_(pa.int32()))])
+    limited = rows.orderBy("doc_id", F.hash("features")).limit(fit_rows)
+    model = limited.mapInArrow(train, "weights array<double>, thresholds array<double>, grades array<long>").toArrow()
+    if not len(model):
+        return fit([], [])
+    return Model(*[model[c].combine_chunks().flatten().to_numpy() for c in ("weights", "thresholds", "grades")])
 
 
 def grade(text: Column, model: Model, spark) -> Column:

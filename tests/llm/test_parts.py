@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark import TaskContext
 
 import brute
 from ledgerfold.llm import line_dedup, mixing, packing, pii, quality, simhash, token_counts, top_k
@@ -274,3 +275,22 @@ def test_shares_need_room():
     with pytest.raises(ValueError):
         mixing.period_shares([1, 1], 1)
     assert mixing.period_shares([1], 10) == [10]
+
+
+def test_grades_are_fitted_in_a_task(spark, monkeypatch):
+    rows = [(i, f"good clean words {i % 7}" if i % 2 else f"bad junk!! words {i % 7}", i % 2, 0) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int, toxic int")
+    labels = docs.drop("text")
+    features = quality.Features().of(pa.array([text for _, text, _, _ in rows]))
+    expected = quality.fit(features, [mark + 1 for _, _, mark, _ in rows])
+    fit = quality.fit
+
+    def in_task(features, ratings):
+        assert not features or TaskContext.get() is not None
+        return fit(features, ratings)
+
+    monkeypatch.setattr(quality, "fit", in_task)
+    model = quality.fit_on(docs, labels)
+    for got, same in zip((model.weights, model.thresholds, model.grades), (expected.weights, expected.thresholds, expected.grades)):
+        assert got.dtype == same.dtype and np.array_equal(got, same)
+    assert len(quality.fit_on(docs, labels.limit(0)).thresholds) == 0
