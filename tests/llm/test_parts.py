@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -294,3 +295,90 @@ def test_grades_are_fitted_in_a_task(spark, monkeypatch):
     for got, same in zip((model.weights, model.thresholds, model.grades), (expected.weights, expected.thresholds, expected.grades)):
         assert got.dtype == same.dtype and np.array_equal(got, same)
     assert len(quality.fit_on(docs, labels.limit(0)).thresholds) == 0
+
+
+def _all_bits(some=None):
+    """Bits for the terms in ``some``; for all terms without it."""
+    bits = bytearray(b"\xff" if some is None else b"\0") * (1 << 17)
+    for term in some or ():
+        bit = zlib.crc32(term.encode()) & (8 * len(bits) - 1)
+        bits[bit >> 3] |= 1 << (bit & 7)
+    return bytes(bits)
+
+
+def test_places_of_terms_equal_a_search_of_each_text(monkeypatch):
+    alphabet = [*"abAB01_ \n\t.,-@", "é", "İ", "Σ", "中", "国", "한", "🙂", "\xa0", "　", "\x1c", "\x85", "ß", "ab", "x.y@z.org"]
+    texts = [None, "", " \n", *_random_texts(alphabet, 4_000, 40), "", None, "\n", "end"]
+    for some, at_once in ((None, 1 << 18), ({"ab", "中国", "é", "a"}, 1 << 18), (None, 300), (set(), 300)):
+        monkeypatch.setattr(pii, "TERMS_AT_ONCE", at_once)
+        known = pii._Wanted(_all_bits(some))
+        for n in (1, 700, 3_000, len(texts)):
+            # A part of an array that begins later.
+            part = pa.array(["x y", *texts]).slice(len(texts) + 1 - n)
+            term, text, line, start, end = known.places(part)
+            got = sorted((int(t), known.names[i], a, b) for i, t, a, b in zip(term, text, start, end))
+            expected = sorted(
+                (i, word, a, b) for i, t in enumerate(texts[len(texts) - n:])
+                for a, b, word in pii.terms(t or "") if some is None or word in some
+            )
+            assert got == [(i, w, a, b) for i, w, a, b in expected]
+            lines = {}
+            for t, number, a in zip(text, line, start):
+                lines.setdefault(int(number), set()).add((int(t), (texts[len(texts) - n + t] or "").count("\n", 0, a)))
+            assert all(len(own) == 1 for own in lines.values())
+            assert len({x for own in lines.values() for x in own}) == len(lines)
+
+
+def test_each_distinct_run_is_searched_once(monkeypatch):
+    searched = Counter()
+    terms = pii.terms
+
+    def counted(text):
+        searched[text] += 1
+        return terms(text)
+
+    monkeypatch.setattr(pii, "terms", counted)
+    known = pii._Wanted(_all_bits())
+    for _ in range(3):
+        term, *_ = known.places(pa.array(["the words, the words,\nand co-op 王小明"] * 50))
+        assert len(term) == 50 * 9
+    assert searched == {"co-op": 1, "王小明": 1}
+
+
+def test_terms_that_cannot_disclose_are_not_counted_in_all_texts(spark, monkeypatch):
+    rows = [(i, f"lorem ipsum {i} Yolanda{i // 2} wrote y{i // 2}@x.org today") for i in range(120)]
+    rows += [(200 + i, f"lorem plain line {i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counted, term_counts = [], pii.term_counts
+
+    def counts(texts, some):
+        counted.append({r.term for r in some.select("term").collect()})
+        return term_counts(texts, some)
+
+    monkeypatch.setattr(pii, "term_counts", counts)
+    flagged = {r.term for r in pii.flagged_terms(docs).collect()}
+    assert flagged == {f"yolanda{i}" for i in range(60)}
+    assert {"lorem", "wrote"} <= counted[0] and flagged <= counted[1] and not counted[1] & {"lorem", "wrote"}
+
+
+def test_counts_and_places_of_terms(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SLICE_BYTES", 200)
+    monkeypatch.setattr(pii, "TERMS_AT_ONCE", 40)
+    rng = random.Random(8)
+    alphabet = ["Ab", "c", "İ", "中国", "n@x.org", "10.0.0.1", "@", ",", " ", " ", "\n", *[f"w{i}" for i in range(60)]]
+    texts = [None, "", *("".join(rng.choices(alphabet, k=rng.randint(0, 40))) for _ in range(200))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    wanted = ["ab", "中国", "w1", "w2", "org", "c"]
+    some = spark.createDataFrame([(t,) for t in wanted], "term string")
+    counts = {r.term: (r.lines, r.documents) for r in pii.term_counts(docs, some).collect()}
+    placed = {r.doc_id: r for r in pii.placed_in(docs, some).collect()}
+    assert sorted(placed) == list(range(len(texts)))
+    for term in wanted:
+        held = [[term in {t for _, _, t in pii.terms(x)} for x in (text or "").split("\n")] for text in texts]
+        expected = sum(map(sum, held)), sum(map(any, held))
+        assert counts.get(term, (0, 0)) == expected
+    for i, text in enumerate(texts):
+        spans = pii.base_spans(text or "")
+        assert [tuple(s) for s in placed[i].spans] == spans
+        got = {(x.term, p.start, p.end) for x in placed[i].terms for p in x.places if x.term in wanted}
+        assert got == {(t, a, b) for a, b, t in pii._outside(text or "", spans) if t in wanted}
