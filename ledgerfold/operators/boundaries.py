@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 COLUMNS = ("organization_id", "snapshot_date", "daily_net_change_usd", "cumulative_net_financial_balance_usd")
 
@@ -29,25 +30,37 @@ def _chunk_and_bit() -> tuple[Column, Column]:
     return F.shiftright(day, 6), F.call_function("shiftleft", F.lit(1).cast("long"), day.bitwiseAND(F.lit(63)))
 
 
+def _short(balance: T.DataType) -> T.DataType:
+    """The type of balances that fit a 64-bit number; that of others if they are no decimals."""
+    if not isinstance(balance, T.DecimalType):
+        return balance
+    return T.DecimalType(max(18, balance.scale), balance.scale)
+
+
 def stretches(snapshot: DataFrame) -> DataFrame:
     """The runs of rows with one balance inside 64 days, in the columns of ``runs``.
 
     Rows are counted per (organisation, 64 days, balance, whether the change is not
     negative), which is map-side and needs no order. Neighbouring bits are a run; inside
     it the balance cannot fall. A day that such a group has twice leaves it without days.
+    A balance is a key of two parts, of which the first, a plain number, holds most.
     """
     chunk, bit = _chunk_and_bit()
     key, day, change, balance = COLUMNS
+    kind = snapshot.schema[balance].dataType
+    short = F.col(balance).try_cast(_short(kind))
     groups = (
         snapshot.select(
-            key, day, F.coalesce(F.col(change) >= 0, F.lit(False)).alias("rises"), F.col(balance).alias("balance"),
+            key, day, F.coalesce(F.col(change) >= 0, F.lit(False)).alias("rises"),
+            short.alias("short"), F.when(short.isNull(), F.col(balance)).alias("long"),
             F.col(change).isNull().alias("unknown"), chunk.alias("chunk"), bit.alias("bit"),
         )
-        .groupBy(key, "chunk", "rises", "balance")
+        .groupBy(key, "chunk", "rises", "short", "long")
         .agg(
             F.bit_or("bit").alias("bits"), F.min(day).alias("first"), F.count(F.lit(1)).alias("rows"),
             F.count_if("unknown").alias("unknown"),
         )
+        .withColumn("balance", F.coalesce(F.col("short").cast(kind), F.col("long")))
     )
     bits, first, days = F.col("bits"), F.unix_date("first"), F.bit_count("bits")
     begins = bits.bitwiseAND(F.bitwise_not(F.shiftleft(bits, 1)))

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-from ledgerfold.operators import staging
+from ledgerfold.operators import boundaries, staging
 from ledgerfold.operators.segments import expand_days
 from ledgerfold.plans import tables as plans
 from ledgerfold.sources import amounts, catalog, increments, marts
@@ -41,7 +41,7 @@ def tables(spark):
     return {"stg_invoices": staging.stg_invoices(golden.raw_invoices(spark, rows)), "dim_organizations": dim}
 
 
-@pytest.mark.parametrize("store", ["increments"])
+@pytest.mark.parametrize("store", ["increments", "folders"])
 def test_amounts_that_fit_are_64_bits(spark, tmp_path, store):
     """Every row comes back, and only amounts that need them are in 38 digits."""
     built = tables(spark)
@@ -89,10 +89,28 @@ def test_folders_with_one_column_an_amount_are_read(spark, tmp_path, monkeypatch
     built, folder = tables(spark), str(tmp_path)
     with monkeypatch.context() as patch:
         patch.setattr(increments, "stored_days", lambda pieces, keep: expand_days(pieces, keep=keep))
+        patch.setattr(marts, "stored_days", lambda pieces, keep: expand_days(pieces, keep=keep))
         older = increments.build(built, AS_OF, f"{folder}/daily", buckets=2)
+        stored = marts.refresh(built, AS_OF, f"{folder}/marts")
     fresh = days(plans.daily_snapshot(built["stg_invoices"], AS_OF))
-    assert days(older[FACT]) == fresh
+    assert days(older[FACT]) == days(stored[FACT]) == fresh
     later = AS_OF + timedelta(days=40)
     newer = increments.append(built, later, f"{folder}/daily")
     assert len({p[2] for p in increments.published(spark, f"{folder}/daily")[-1].live}) == 2
     assert days(newer[FACT]) == days(plans.daily_snapshot(built["stg_invoices"], later))
+
+
+def test_checks_group_days_by_64_bits(spark):
+    """The key of a balance is a plain number if it fits; both kinds give the same runs."""
+    values = [EDGE, EDGE, BEYOND, BEYOND, MOST, EDGE, None, Decimal(0), -BEYOND, -EDGE]
+    rows = [(date(2024, 1, 1) + timedelta(days=n), 1, Decimal(1), v) for n, v in enumerate(values)]
+    snapshot = spark.createDataFrame(rows, (
+        "snapshot_date date, organization_id long, daily_net_change_usd decimal(38,8), "
+        "cumulative_net_financial_balance_usd decimal(38,8)"))
+    found = boundaries.stretches(snapshot)
+    assert "decimal(18,8)" in found._jdf.queryExecution().optimizedPlan().toString()
+    runs = sorted((r.first_day.day, r.last_day.day, r.first_balance) for r in found.collect() if r.first_day)
+    assert runs == [(1, 2, EDGE), (3, 4, BEYOND), (5, 5, MOST), (6, 6, EDGE), (7, 7, None), (8, 8, Decimal(0)),
+                    (9, 9, -BEYOND), (10, 10, -EDGE)]
+    # From the largest to the edge, and to minus ten billion; a missing balance is not compared.
+    assert boundaries.joined(found).first().falls == 2
