@@ -41,7 +41,7 @@ def tables(spark):
     return {"stg_invoices": staging.stg_invoices(golden.raw_invoices(spark, rows)), "dim_organizations": dim}
 
 
-@pytest.mark.parametrize("store", ["increments", "folders"])
+@pytest.mark.parametrize("store", ["increments", "folders", "catalog"])
 def test_amounts_that_fit_are_64_bits(spark, tmp_path, store):
     """Every row comes back, and only amounts that need them are in 38 digits."""
     built = tables(spark)
